@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import new_rows, upsert
+from tidemark.schema import TABLES, create_table_sql
 from tidemark.session import apply_settings, pin
 
 # dataset -> partition columns; every report reads what is written here.
@@ -65,10 +66,10 @@ class Lake:
     def write_batch(self, df: DataFrame, dataset: str, batch_id: int) -> None:
         """Write a micro-batch so that writing it again replaces it: one sub-folder per batch."""
         apply_settings(self.spark)
-        columns = [*DATASETS[dataset], "batch_id"]
+        columns = list(dict.fromkeys([*DATASETS[dataset], "batch_id"]))
         marked = df.withColumn("batch_id", F.lit(batch_id))
         shaped = marked.hint("rebalance", *[F.col(c) for c in columns])
-        shaped.write.mode("overwrite").partitionBy(*dict.fromkeys(columns)).parquet(self.path(dataset))
+        shaped.write.mode("overwrite").partitionBy(*columns).parquet(self.path(dataset))
 
     def report(self, df: DataFrame, name: str, date: str, mode: str = "overwrite") -> None:
         """One report of one day as JSON; a later run of the same day replaces it."""
@@ -84,7 +85,8 @@ class Lake:
         """
         if self.exists(dataset):
             span = incoming.agg(F.min("date"), F.max("date")).first()
-            target = self.read(dataset).filter(F.col("date").between(F.lit(span[0]), F.lit(span[1])))
+            stored = self.read(dataset, incoming.drop(arrival).schema)
+            target = stored.filter(F.col("date").between(F.lit(span[0]), F.lit(span[1])))
         else:
             target = incoming.limit(0)
         fresh = pin(new_rows(incoming, target, keys, arrival).drop(arrival))
@@ -101,8 +103,8 @@ class Lake:
         merged = changes
         if self.exists(dataset):
             touched = [r[0] for r in changes.select(partition).distinct().collect()]
-            stored = self.read(dataset).filter(F.col(partition).isin(touched))
-            merged = upsert(stored.select(*changes.columns), changes, keys)
+            stored = self.read(dataset, changes.schema).filter(F.col(partition).isin(touched))
+            merged = upsert(stored, changes, keys)
         self.write(pin(merged), dataset, "overwrite")
 
     def archive(self, before: str, dataset: str = "raw", target: str = "archive") -> DataFrame:
@@ -173,7 +175,5 @@ def stored_prices(events: DataFrame, ingested_at) -> DataFrame:
 
 def create_tables(spark: SparkSession, database: str | None = None) -> None:
     """The three operational and three warehouse tables."""
-    from tidemark.schema import TABLES, create_table_sql
-
     for name in TABLES:
         spark.sql(create_table_sql(name, database))
