@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -94,25 +95,50 @@ class State:
     averages: np.ndarray = field(default_factory=lambda: np.zeros(3))
     tail: np.ndarray = field(default_factory=lambda: np.empty(0))
 
+    def text(self, **more: float) -> str:
+        """As JSON, which keeps doubles exact."""
+        return json.dumps(
+            {
+                "seen": int(self.seen),
+                "gain": float(self.gain),
+                "loss": float(self.loss),
+                "averages": self.averages.tolist(),
+                "tail": self.tail.tolist(),
+                **more,
+            }
+        )
+
+    @staticmethod
+    def of(text: str | None) -> State:
+        if text is None:
+            return State()
+        d = json.loads(text)
+        return State(d["seen"], d["gain"], d["loss"], np.array(d["averages"]), np.array(d["tail"]))
+
 
 _OUT = ["sma", "upper", "middle", "lower", "rsi", "macd", "signal", "histogram"]
-_STATE = "_seen bigint, _gain double, _loss double, _averages array<double>, _tail array<double>"
 
 
 def scan_indicators(series: Series, periods: Periods = Periods()) -> DataFrame:
     """All indicators in one ordered pass; a column is null where its series has no value yet."""
     enough = periods.slow + periods.signal
     rows = series.rows.withColumn("_length", F.count(F.lit(1)).over(series.whole()))
+    state = F.lit(None).cast("string")
     if series.split:
-        carried = _carried_states(rows, series, periods)
-        rows = rows.join(F.broadcast(carried), [*series.keys, SEG], "left")
-    else:
-        rows = rows.withColumns(
-            {c.split()[0]: F.lit(None).cast(c.split()[1]) for c in _STATE.split(", ")}
-        )
-    rows = rows.withColumn(
-        "_long_enough", (F.col(SEG_COUNT) > 1) | (F.col("_length") >= enough)
-    ).drop("_length", SEG_COUNT)
+        # Only the first row of a segment carries the state, the others would only move copies.
+        carried = F.broadcast(_carried_states(rows, series, periods))
+        rows = rows.withColumn("_row", F.row_number().over(series.window()))
+        rows = rows.join(carried, [*series.keys, SEG], "left")
+        state = F.when(F.col("_row") == 1, F.col("_carried"))
+    long_enough = (F.col(SEG_COUNT) > 1) | (F.col("_length") >= enough)
+    rows = rows.select(
+        *series.keys,
+        SEG,
+        series.order,
+        "price_usd",
+        state.alias("_state"),
+        long_enough.alias("_long_enough"),
+    )
     rows = rows.sortWithinPartitions(*series.keys, SEG, series.order)
     key, order = series.keys[0], series.order
     schema = f"{key} string, {order} {_type(rows, order)}, price_usd double, " + ", ".join(
@@ -126,7 +152,7 @@ def scan_indicators(series: Series, periods: Periods = Periods()) -> DataFrame:
             for part in _runs(batch, key):
                 group = (part[key].iat[0], part[SEG].iat[0])
                 if group != current:
-                    current, state = group, _state_of(part.iloc[0])
+                    current, state = group, State.of(part["_state"].iat[0])
                 values, state = _advance(state, part["price_usd"].to_numpy(), periods)
                 out = part[[key, order, "price_usd"]].assign(**values)
                 out.loc[~part["_long_enough"], ["macd", "signal", "histogram"]] = np.nan
@@ -183,14 +209,6 @@ def _runs(batch: pd.DataFrame, key: str) -> Iterator[pd.DataFrame]:
         yield batch.iloc[a:b]
 
 
-def _state_of(row: pd.Series) -> State:
-    if row["_averages"] is None:
-        return State()
-    return State(
-        int(row["_seen"]), row["_gain"], row["_loss"], np.array(row["_averages"]), np.array(row["_tail"])
-    )
-
-
 def _smooth(start: float, values: np.ndarray, alpha: float) -> np.ndarray:
     """y = (1 - alpha) * y + alpha * value, begun at `start`."""
     chain = pd.Series(np.concatenate([[start], values]))
@@ -263,71 +281,65 @@ def _advance(state: State, x: np.ndarray, p: Periods) -> tuple[dict[str, np.ndar
 def _carried_states(rows: DataFrame, series: Series, p: Periods) -> DataFrame:
     """The state each segment starts from: one row per segment of a long series."""
     key = series.keys[0]
-    own = f"{key} string, {SEG} int, _first double, {_STATE}"
-    names = [key, SEG, "_first", "_seen", "_gain", "_loss", "_averages", "_tail"]
     warm = p.rsi + 2
     long_rows = rows.filter(F.col(SEG_COUNT) > 1).select(key, SEG, series.order, "price_usd")
 
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each segment alone: row count, first price and the state after it.
+
+        Segments after the first begin with zero averages; `chain` adds their true start.
+        """
         current, state, first, done = None, State(), 0.0, []
+
+        def close() -> None:
+            n = state.seen - (warm if current[1] else 0)
+            own = State(n, state.gain, state.loss, state.averages, state.tail[-n:])
+            done.append((*current, own.text(first=float(first))))
+
         for batch in batches:
             for part in _runs(batch, key):
                 group = (part[key].iat[0], int(part[SEG].iat[0]))
                 x = part["price_usd"].to_numpy()
                 if group != current:
                     if current is not None:
-                        done.append(_summary(current, first, state, warm))
-                    # Later segments start from zero averages; `chain` adds their true start.
+                        close()
                     current, first = group, x[0]
                     state = State(warm, tail=x[:1]) if group[1] else State()
                 _, state = _advance(state, x, p)
         if current is not None:
-            done.append(_summary(current, first, state, warm))
+            close()
         if done:
-            yield pd.DataFrame(done, columns=names)
+            yield pd.DataFrame(done, columns=[key, SEG, "_summary"])
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         """Hand the state from segment to segment; one row per segment, so this stays small."""
-        pdf = pdf.sort_values(SEG)
         keep = 1 - 1.0 / p.rsi
         state, out = None, []
-        for row in pdf.itertuples(index=False):
-            name, seg, first, n, gain, loss, averages, tail = row
+        for name, seg, summary in pdf.sort_values(SEG).itertuples(index=False):
+            own, first = State.of(summary), json.loads(summary)["first"]
             if state is None:
-                if seg or n <= p.rsi:
+                if seg or own.seen <= p.rsi:
                     raise ValueError("the first segment is shorter than the RSI period")
-                state = State(n, gain, loss, np.array(averages), np.array(tail))
+                state = own
                 continue
-            out.append((name, seg, *_fields(state)))
-            move = first - state.tail[-1]
+            out.append((name, seg, state.text()))
+            n, move = own.seen, first - state.tail[-1]
             decay = keep ** (n - 1) / p.rsi
             state = State(
                 state.seen + n,
-                state.gain * keep**n + max(move, 0.0) * decay + gain,
-                state.loss * keep**n + max(-move, 0.0) * decay + loss,
-                np.linalg.matrix_power(p.step(), int(n)) @ state.averages + np.array(averages),
-                np.concatenate([state.tail, np.array(tail)])[-max(p.window - 1, 1):],
+                state.gain * keep**n + max(move, 0.0) * decay + own.gain,
+                state.loss * keep**n + max(-move, 0.0) * decay + own.loss,
+                np.linalg.matrix_power(p.step(), n) @ state.averages + own.averages,
+                np.concatenate([state.tail, own.tail])[-max(p.window - 1, 1):],
             )
-        return pd.DataFrame(out, columns=[c for c in names if c != "_first"])
+        return pd.DataFrame(out, columns=[key, SEG, "_carried"])
 
     summaries = (
         long_rows.repartition(key, SEG)
         .sortWithinPartitions(key, SEG, series.order)
-        .mapInPandas(summarise, own)
+        .mapInPandas(summarise, f"{key} string, {SEG} int, _summary string")
     )
-    return summaries.groupBy(key).applyInPandas(chain, f"{key} string, {SEG} int, {_STATE}")
-
-
-def _fields(state: State) -> tuple:
-    return state.seen, state.gain, state.loss, state.averages.tolist(), state.tail.tolist()
-
-
-def _summary(group: tuple, first: float, state: State, warm: int) -> tuple:
-    """Row count, state and last prices of one segment, without what was assumed before it."""
-    if not group[1]:
-        return (*group, float(first), *_fields(state))
-    n = state.seen - warm
-    return (*group, float(first), n, *_fields(state)[1:4], state.tail[-n:].tolist())
+    return summaries.groupBy(key).applyInPandas(chain, f"{key} string, {SEG} int, _carried string")
 
 
 ship_with_jobs(__name__)

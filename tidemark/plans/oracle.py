@@ -404,8 +404,8 @@ sql("kpi_row", "latest assets", """SELECT symbol, CASE WHEN price_usd >= 1 THEN
     FROM assets JOIN latest USING (crypto_id)""")
 
 # ---- marts and windows --------------------------------------------------------------------------
-_WINDOW = """round(avg(price_usd), 6) AS avg_price, min(price_usd) AS min_price, max(price_usd) AS max_price,
-    round(max(price_usd) - min(price_usd), 6) AS price_range, round(avg(change_24h_pct), 6) AS avg_change_24h,
+_WINDOW = f"""{half_up('avg(price_usd)', 6)} AS avg_price, min(price_usd) AS min_price, max(price_usd) AS max_price,
+    round(max(price_usd) - min(price_usd), 6) AS price_range, {half_up('avg(change_24h_pct)', 6)} AS avg_change_24h,
     count(*) AS record_count"""
 for _name, _size in (("window_agg", "1 HOUR"), ("window_agg_minute", "1 MINUTE")):
     sql(_name, "prices", f"""SELECT crypto_id, time_bucket(INTERVAL {_size}, event_timestamp) AS window_start,
