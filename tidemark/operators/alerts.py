@@ -51,7 +51,7 @@ def tiered_alerts(
 
     A rule whose metric the events lack, or is null, or whose operator is unknown, never fires.
     """
-    fired = []
+    fired, fires = [], F.lit(False)
     for rule_id, name, metric, operator, threshold, severity in rules:
         if metric not in events.columns:
             continue
@@ -65,11 +65,14 @@ def tiered_alerts(
             F.lit(severity).alias("severity"),
             value.alias("triggered_value"),
         )
-        fired.append(F.when(_fires(operator, value, threshold) & ~F.isnan(value), alert))
+        hit = F.coalesce(_fires(operator, value, threshold) & ~F.isnan(value), F.lit(False))
+        fired.append(F.when(hit, alert))
+        fires = fires | hit
     if not fired:
         raise ValueError("no rule uses a column of the events")
     return (
-        events.withColumn("_alert", F.explode(F.array_compact(F.array(*fired))))
+        events.filter(fires)
+        .withColumn("_alert", F.explode_outer(F.array_compact(F.array(*fired))))
         .select(
             *keep,
             "_alert.*",

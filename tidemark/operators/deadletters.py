@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import count_where, parsed_time
 from tidemark.operators.validation import validate_aggregates, validate_events
 from tidemark.schema import AGGREGATE_EVENT, PRICE_EVENT, TRACKED_IDS
-from tidemark.sources.landed import where_equal
+from tidemark.sources.landed import parsed_once, where_equal
 
 
 def dead_letters(
@@ -37,56 +38,41 @@ def replay(
 ) -> DataFrame:
     """Run every letter through its step again; adds `outcome` and `replayed`.
 
-    validate: the event passes now. postgres: key and time are present. s3: the event parses.
+    validate: the event passes now. postgres: key and time are present. s3: there is an event.
     alert: an alert is due, or none is due any more; a missing change still fails. The two stream
     steps hold aggregates and are checked as such. Any other step fails.
     """
-    events = letters.withColumn("_e", F.from_json("event", PRICE_EVENT)).select(
-        *letters.columns, *[F.col(f"_e.{f}").alias(f"_e_{f}") for f in PRICE_EVENT.names]
+    both = StructType([*PRICE_EVENT, *[f for f in AGGREGATE_EVENT if f.name != "crypto_id"]])
+    parsed = letters.withColumnRenamed("crypto_id", "_letter_id").select(
+        "*", parsed_once(F.col("event"), both)
     )
-    plain = validate_events(
-        events.select(
-            *letters.columns, *[F.col(f"_e_{f}").alias(f) for f in PRICE_EVENT.names if f != "crypto_id"],
-            F.col("_e_crypto_id").alias("_id"),
-        ).withColumnsRenamed({"crypto_id": "_letter_id", "_id": "crypto_id"}),
-        tracked,
+    events = validate_events(parsed, tracked).withColumn("_event_valid", F.col("valid"))
+    checked = validate_aggregates(
+        events.withColumns({c: parsed_time(c) for c in ("window_start", "window_end")})
     )
-    step = F.col("step")
-    change = F.col("change_24h_pct")
-    parsed = F.from_json("event", "struct<crypto_id:string>")
-    storable = F.col("crypto_id").isNotNull() & parsed_time("timestamp").isNotNull()
+    step, change = F.col("step"), F.col("change_24h_pct")
+    storable = F.col("crypto_id").isNotNull() & F.col("timestamp_format")
+
+    def passes(condition: Column, name: str) -> Column:
+        return F.when(condition, name).otherwise("failed")
+
     outcome = (
-        F.when(step == "validate", F.when(F.col("valid"), "valid").otherwise("failed"))
-        .when(step == "postgres", F.when(storable, "stored").otherwise("failed"))
-        .when(step == "s3", F.when(parsed.isNotNull(), "stored").otherwise("failed"))
+        F.when(step == "validate", passes(F.col("_event_valid"), "valid"))
+        .when(step == "postgres", passes(storable, "stored"))
+        .when(step == "s3", passes(F.col("event").isNotNull(), "stored"))
         .when(
             step == "alert",
             F.when(change > threshold, "PUMP")
             .when(change < -threshold, "DUMP")
-            .when(change.isNotNull(), "no_alert")
-            .otherwise("failed"),
+            .otherwise(passes(change.isNotNull(), "no_alert")),
         )
-        .when(step.isin("spark_postgres", "spark_s3"), F.lit("aggregate"))
+        .when(step.isin("spark_postgres", "spark_s3"), passes(F.col("valid"), "valid"))
         .otherwise("failed")
     )
-    judged = plain.withColumn("outcome", outcome).select(
-        *[F.col("_letter_id" if c == "crypto_id" else c).alias(c) for c in letters.columns], "outcome"
-    )
-    agg = F.from_json("event", AGGREGATE_EVENT)
-    checked = validate_aggregates(
-        judged.select(
-            *[F.col(c).alias(f"_l_{c}") for c in judged.columns],
-            *[agg[f].alias(f) for f in AGGREGATE_EVENT.names if not f.startswith("window")],
-            parsed_time(agg["window_start"]).alias("window_start"),
-            parsed_time(agg["window_end"]).alias("window_end"),
-        )
+    kept = [F.col("_letter_id" if c == "crypto_id" else c).alias(c) for c in letters.columns]
+    return checked.select(*kept, outcome.alias("outcome")).withColumn(
+        "replayed", F.col("outcome") != "failed"
     )
-    final = F.when(
-        F.col("_l_outcome") == "aggregate", F.when(F.col("valid"), "valid").otherwise("failed")
-    ).otherwise(F.col("_l_outcome"))
-    return checked.select(
-        *[F.col(f"_l_{c}").alias(c) for c in letters.columns], final.alias("outcome")
-    ).withColumn("replayed", F.col("outcome") != "failed")
 
 
 def replay_summary(replayed: DataFrame, *by: str) -> DataFrame:

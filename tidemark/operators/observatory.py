@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import at_time, clean_number, count_where, epoch_seconds, lookup_join
 from tidemark.schema import EXPECTED_DATASETS, GRADE_FLOORS
+from tidemark.session import pin
 
 
 def freshness(assets: DataFrame, prices: DataFrame, as_of) -> DataFrame:
@@ -112,16 +113,12 @@ def status(score: Column) -> Column:
     return F.when(score >= 75, "HEALTHY").when(score >= 50, "DEGRADED").otherwise("CRITICAL")
 
 
-def overall_score(observed: DataFrame) -> DataFrame:
-    return observed.agg(F.round(F.coalesce(F.avg("score"), F.lit(0.0)), 2).alias("overall_score"))
-
-
 def health_report(observed: DataFrame) -> DataFrame:
-    """Score, grade and status of every asset and, in the row `OVERALL`, of the whole."""
-    overall = overall_score(observed).select(
-        F.lit("OVERALL").alias("crypto_id"), F.col("overall_score").alias("score")
+    """Score, grade and status of every asset and, in the row `OVERALL`, of their mean score."""
+    scores = observed.rollup("crypto_id").agg(
+        F.round(F.coalesce(F.avg("score"), F.lit(0.0)), 2).alias("score")
     )
-    rows = observed.select("crypto_id", "score").unionByName(overall)
+    rows = scores.withColumn("crypto_id", F.coalesce("crypto_id", F.lit("OVERALL")))
     return rows.withColumns({"grade": grade(F.col("score")), "status": status(F.col("score"))})
 
 
@@ -137,7 +134,8 @@ def health_recommendations(observed: DataFrame) -> DataFrame:
             F.when(F.col("anomaly_pct") >= 5, odd),
         )
     )
-    problems = observed.select("crypto_id", F.explode(lines).alias("recommendation"))
+    # At most three rows per asset; pinned, as the second part below looks at it again.
+    problems = pin(observed.select("crypto_id", F.explode(lines).alias("recommendation")))
     healthy = (
         problems.agg(F.count(F.lit(1)).alias("_n"))
         .filter("_n = 0")

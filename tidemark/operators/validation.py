@@ -163,7 +163,8 @@ def validation_summary(validated: DataFrame) -> DataFrame:
 
 def validation_errors(validated: DataFrame, *keep: str) -> DataFrame:
     """One row per error text, in place of one list that would grow with the data."""
-    return validated.select(*keep, F.explode("errors").alias("error"))
+    failed = validated.filter("not valid")
+    return failed.select(*keep, F.explode_outer("errors").alias("error")).filter("error is not null")
 
 
 def error_counts(validated: DataFrame, checks: Sequence[str] = tuple(EVENT_CHECKS)) -> DataFrame:

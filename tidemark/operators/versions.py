@@ -106,23 +106,12 @@ def rollback_preview(snaps: DataFrame, targets: DataFrame) -> DataFrame:
         F.min_by("version_id", "created_at").alias("target_version"),
         F.min("created_at").alias("_cut"),
     )
-    spans = snaps.groupBy(*keys).agg(
-        F.max_by("version_id", "created_at").alias("current_version"),
-        F.max("created_at").alias("_last"),
-    )
-    later = (
-        lookup_join(snaps, wanted.select(*keys, "_cut"), keys, "inner")
-        .filter(F.col("created_at") > F.col("_cut"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_later"))
-    )
     return (
-        wanted.join(spans, keys)
-        .join(later, keys, "left")
-        .select(
-            *keys,
-            "current_version",
-            "target_version",
-            F.coalesce("_later", F.lit(0)).alias("versions_undone"),
+        lookup_join(snaps, wanted, keys, "inner")
+        .groupBy(*keys, "target_version", "_cut")
+        .agg(
+            F.max_by("version_id", "created_at").alias("current_version"),
+            F.count_if(F.col("created_at") > F.col("_cut")).alias("versions_undone"),
         )
+        .select(*keys, "current_version", "target_version", "versions_undone")
     )

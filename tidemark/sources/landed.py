@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import at_time, parsed_time
 from tidemark.schema import HISTORY_PAYLOAD, PRICE_EVENT, QUOTE_PAYLOAD, TRACKED_IDS
@@ -19,9 +20,16 @@ def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
     """
     others = [c for c in raw.columns if c != value]
     text = F.col(value).cast("string")
-    return raw.select(
-        *others, text.alias("raw"), F.from_json(text, PRICE_EVENT).alias("_event")
-    ).select(*others, "raw", "_event.*")
+    return raw.select(*others, text.alias("raw"), parsed_once(text, PRICE_EVENT))
+
+
+def parsed_once(text: Column, schema: StructType) -> Column:
+    """The fields of a JSON text as columns.
+
+    A generator keeps filters on the fields above the parse; pushed below, each field they use
+    would parse the text again.
+    """
+    return F.inline_outer(F.array(F.from_json(text, schema)))
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
