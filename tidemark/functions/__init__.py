@@ -9,7 +9,7 @@ from tidemark.functions.columns import (
     parsed_time,
     share_pct,
 )
-from tidemark.functions.joins import lookup_join
+from tidemark.functions.joins import lookup_join, with_zero_rows
 
 __all__ = [
     "at_time",
@@ -20,4 +20,5 @@ __all__ = [
     "lookup_join",
     "parsed_time",
     "share_pct",
+    "with_zero_rows",
 ]

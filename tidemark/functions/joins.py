@@ -27,3 +27,13 @@ def lookup_join(
     if rows <= limit_rows:
         small = F.broadcast(small)
     return big.join(small, on, how)
+
+
+def with_zero_rows(counts: DataFrame, zeros: DataFrame, *keys: str) -> DataFrame:
+    """Grouped sums in which the groups of `zeros` appear even when they have no row."""
+    sums = [c for c in counts.columns if c not in keys]
+    return (
+        counts.unionByName(zeros)
+        .groupBy(*keys)
+        .agg(*[F.sum(c).cast("bigint").alias(c) for c in sums])
+    )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import at_time, count_where, epoch_seconds
+from tidemark.functions import at_time, count_where, epoch_seconds, with_zero_rows
 from tidemark.operators.series import ROWS_PER_SEGMENT, rolling, segmented
 from tidemark.schema import ALERT_RULES, SEVERITY_COLORS
 
@@ -173,7 +173,7 @@ def alert_patterns(alerts: DataFrame, as_of, days: int = 7, time: str = "trigger
     spine = alerts.sparkSession.range(days).select(
         F.lit("day").alias("kind"), F.date_sub(today, F.col("id").cast("int")).cast("string").alias("key"), F.lit(0).alias("alerts")
     )
-    full = counts.unionByName(spine).groupBy("kind", "key").agg(F.sum("alerts").alias("alerts"))
+    full = with_zero_rows(counts, spine, "kind", "key")
     top = full.groupBy("kind").agg(_most("key").alias("_top"))
     return full.join(F.broadcast(top), "kind").select(
         "kind", "key", "alerts", (F.col("key") == F.col("_top")).alias("is_top")
@@ -191,11 +191,13 @@ def alert_statistics(alerts: DataFrame) -> DataFrame:
         .when(F.col("crypto_id").isNotNull(), "crypto")
         .otherwise("total")
     )
-    return (
+    counts = (
         filled.groupingSets([[F.col("severity")], [F.col("crypto_id")], []], "severity", "crypto_id")
         .agg(F.count(F.lit(1)).alias("alerts"))
         .select(kind.alias("kind"), F.coalesce("severity", "crypto_id", F.lit("all")).alias("key"), "alerts")
     )
+    zero = alerts.sparkSession.range(1).selectExpr("'total' kind", "'all' key", "0L alerts")
+    return with_zero_rows(counts, zero, "kind", "key")
 
 
 def alert_digest(alerts: DataFrame) -> DataFrame:

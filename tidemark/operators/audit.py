@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import with_zero_rows
 from tidemark.sources.adapters import iso_text
 from tidemark.sources.landed import where_equal
 
@@ -58,8 +59,10 @@ def audit_report(entries: DataFrame) -> DataFrame:
         F.coalesce("action", F.lit("unknown")).alias("action"),
         F.coalesce("resource", F.lit("unknown")).alias("resource"),
     )
-    return (
+    counts = (
         filled.groupingSets([[F.col("action")], [F.col("resource")], []], "action", "resource")
         .agg(F.count(F.lit(1)).alias("entries"))
         .select(kind.alias("kind"), F.coalesce("action", "resource", F.lit("all")).alias("key"), "entries")
     )
+    zero = entries.sparkSession.range(1).selectExpr("'total' kind", "'all' key", "0L entries")
+    return with_zero_rows(counts, zero, "kind", "key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import count_where, share_pct
+from tidemark.functions import count_where, share_pct, with_zero_rows
 from tidemark.schema import PIPELINE_STEPS, sla_thresholds, steps
 from tidemark.sources.landed import since
 
@@ -299,7 +299,7 @@ def backfill_summary(events: DataFrame, inserted: DataFrame, lake: bool = True)
     marked = events.select("crypto_id", F.lit(1).alias("_event"), F.lit(0).alias("_new")).unionByName(
         inserted.select("crypto_id", F.lit(0).alias("_event"), F.lit(1).alias("_new"))
     )
-    return (
+    counts = (
         marked.rollup("crypto_id")
         .agg(F.sum("_event").alias("total_events"), F.sum("_new").alias("saved_table"))
         .select(
@@ -309,3 +309,7 @@ def backfill_summary(events: DataFrame, inserted: DataFrame, lake: bool = True)
             "saved_table",
         )
     )
+    zero = events.sparkSession.range(1).selectExpr(
+        "'TOTAL' crypto_id", "0L total_events", "0L saved_lake", "0L saved_table"
+    )
+    return with_zero_rows(counts, zero, "crypto_id")
