@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import at_time, parsed_time
 from tidemark.schema import HISTORY_PAYLOAD, PRICE_EVENT, QUOTE_PAYLOAD, TRACKED_IDS
@@ -113,7 +113,7 @@ def read_lake(
     """
     reader = spark.read.format(fmt)
     if fmt == "json":
-        full = schema.add("_corrupt", "string") if "_corrupt" not in schema.names else schema
+        full = StructType([*schema, StructField("_corrupt", StringType())])
         df = (
             reader.schema(full)
             .option("mode", "PERMISSIVE")
