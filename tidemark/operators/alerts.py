@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import at_time, count_where, epoch_seconds, with_zero_rows
+from tidemark.functions import at_time, count_where, epoch_seconds, lookup_join, with_zero_rows
 from tidemark.operators.series import ROWS_PER_SEGMENT, rolling, segmented
 from tidemark.schema import ALERT_RULES, SEVERITY_COLORS
+from tidemark.session import pin
 
 Rule = tuple[str, str, str, str, float, str]
 
@@ -111,7 +112,7 @@ def derived_metrics(
         .drop("_sma", "_seen")
         .withColumn("_slot", F.floor(epoch_seconds("event_timestamp") / 3600))
     )
-    return rolled.join(volume, ["crypto_id", "_slot"], "left").drop("_slot")
+    return lookup_join(rolled, volume, ["crypto_id", "_slot"]).drop("_slot")
 
 
 def suppress_alerts(
@@ -151,7 +152,8 @@ def peak_hour(by_hour: DataFrame) -> DataFrame:
 def alert_patterns(alerts: DataFrame, as_of, days: int = 7, time: str = "triggered_at") -> DataFrame:
     """Counts by asset, by rule and by day of the last `days` days; `is_top` marks each maximum.
 
-    One pass over the alerts with three grouping sets; days without alerts count 0.
+    One pass over the alerts with three grouping sets; days without alerts count 0. The counts
+    are pinned, as the maxima are taken from them: one row per asset, rule and day.
     """
     today = F.to_date(F.lit(str(as_of)))
     first = F.date_sub(today, days - 1)
@@ -173,7 +175,7 @@ def alert_patterns(alerts: DataFrame, as_of, days: int = 7, time: str = "trigger
     spine = alerts.sparkSession.range(days).select(
         F.lit("day").alias("kind"), F.date_sub(today, F.col("id").cast("int")).cast("string").alias("key"), F.lit(0).alias("alerts")
     )
-    full = with_zero_rows(counts, spine, "kind", "key")
+    full = pin(with_zero_rows(counts, spine, "kind", "key"))
     top = full.groupBy("kind").agg(_most("key").alias("_top"))
     return full.join(F.broadcast(top), "kind").select(
         "kind", "key", "alerts", (F.col("key") == F.col("_top")).alias("is_top")

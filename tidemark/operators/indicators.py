@@ -22,7 +22,7 @@ def price_series(
     """Usable prices of every asset, cut into segments."""
     usable = prices.select(
         "crypto_id", "event_timestamp", clean_number(F.col("price_usd").cast("double")).alias("price_usd")
-    ).filter("price_usd is not null and event_timestamp is not null")
+    ).filter("crypto_id is not null and price_usd is not null and event_timestamp is not null")
     return segmented(usable, ["crypto_id"], "event_timestamp", rows_per_segment)
 
 
@@ -126,7 +126,8 @@ def scan_indicators(series: Series, periods: Periods = Periods()) -> DataFrame:
     state = F.lit(None).cast("string")
     if series.split:
         # Only the first row of a segment carries the state, the others would only move copies.
-        carried = F.broadcast(_carried_states(rows, series, periods))
+        # The rows are partitioned by the join keys already, so a shuffled join moves one side.
+        carried = _carried_states(rows, series, periods)
         rows = rows.withColumn("_row", F.row_number().over(series.window()))
         rows = rows.join(carried, [*series.keys, SEG], "left")
         state = F.when(F.col("_row") == 1, F.col("_carried"))

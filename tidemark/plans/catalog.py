@@ -444,6 +444,13 @@ def fct_daily(s, d):
     return _rounded(marts.fct_daily(_prices(s, d)), "avg_price", "price_volatility", "avg_change_24h")
 
 
+@query
+def fct_daily_items(s, d):
+    """Daily facts over the largest table, with as many assets as there are parts."""
+    facts = marts.fct_daily(src.item_prices(s, d))
+    return _rounded(facts, "avg_price", "price_volatility", "avg_change_24h")
+
+
 @query
 def fct_alerts(s, d):
     return _rounded(marts.fct_alerts(marts.stg_alerts(_alerts(s, d))), "alert_rate")
@@ -694,6 +701,11 @@ def price_anomalies(s, d):
     return obs.price_anomalies(_prices(s, d))
 
 
+@query
+def price_anomalies_orders(s, d):
+    return obs.price_anomalies(src.order_prices(s, d))
+
+
 @query
 def observatory(s, d):
     return _observatory(s, d).withColumn("missing", F.array_join("missing", ","))

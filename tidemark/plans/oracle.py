@@ -420,6 +420,11 @@ sql("fct_daily", "prices", """SELECT crypto_id, CAST(CAST(event_timestamp AS DAT
     round(avg(price_usd), 6) AS avg_price, min(price_usd) AS min_price, max(price_usd) AS max_price,
     round(max(price_usd) - min(price_usd), 6) AS price_volatility, count(*) AS event_count,
     round(avg(change_24h_pct), 6) AS avg_change_24h FROM prices GROUP BY 1, 2""")
+sql("fct_daily_items", "", f"""SELECT crypto_id, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS trade_date,
+    {half_up('avg(price_usd)', 6)} AS avg_price, min(price_usd) AS min_price, max(price_usd) AS max_price,
+    round(max(price_usd) - min(price_usd), 6) AS price_volatility, count(*) AS event_count,
+    {half_up('avg(change_24h_pct)', 6)} AS avg_change_24h FROM (SELECT CAST(l_partkey AS VARCHAR) AS crypto_id,
+    l_extendedprice AS price_usd, l_discount * 100 AS change_24h_pct, l_shipdate AS event_timestamp FROM lineitem) GROUP BY 1, 2""")
 sql("fct_alerts", "alerts", """SELECT crypto_id, CAST(CAST(created_at AS DATE) AS VARCHAR) AS alert_date, count(*) AS total_alerts,
     count(CASE WHEN alert_type = 'PUMP' THEN 1 END) AS pump_count, count(CASE WHEN alert_type = 'DUMP' THEN 1 END) AS dump_count,
     round(CAST(count(*) / 24.0 AS DOUBLE), 6) AS alert_rate FROM alerts GROUP BY 1, 2""")
@@ -537,6 +542,11 @@ UNION ALL SELECT 'TOTAL', round(sum(allocation), 6), round(sum(allocation * retu
 sql("freshness", "fresh", "SELECT * FROM fresh")
 sql("completeness", "complete", "SELECT crypto_id, date, completeness_pct, missing FROM complete")
 sql("price_anomalies", "odd", "SELECT * FROM odd")
+sql("price_anomalies_orders", "", """SELECT p.crypto_id, count(*) FILTER (abs(x - m) > 3 * sd AND n >= 3) AS anomaly_count,
+    round(count(*) FILTER (abs(x - m) > 3 * sd AND n >= 3) / count(*) * 100, 2) AS anomaly_pct
+    FROM (SELECT CAST(o_custkey AS VARCHAR) AS crypto_id, o_totalprice AS x FROM orders) p
+    JOIN (SELECT CAST(o_custkey AS VARCHAR) AS crypto_id, avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS sd, count(*) AS n
+          FROM orders GROUP BY 1) s USING (crypto_id) GROUP BY 1""")
 sql("observatory", "observed", """SELECT crypto_id, hours_since_update, is_fresh, completeness_pct, missing, anomaly_count, anomaly_pct,
     score FROM observed""")
 sql("health_report", "observed", """SELECT crypto_id, score, CASE WHEN score >= 90 THEN 'A' WHEN score >= 75 THEN 'B' WHEN score >= 60 THEN 'C'

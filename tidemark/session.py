@@ -14,13 +14,17 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Window state outgrows the heap when assets are many.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(app_name: str = "tidemark", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **extra}.items():
+    cleanup = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    for key, value in {**SETTINGS, **cleanup, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

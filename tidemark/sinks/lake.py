@@ -18,7 +18,7 @@ DATASETS: dict[str, tuple[str, ...]] = {
     "prices": ("date",),
     "alerts": ("date", "crypto_id", "alert_type"),
     "alert_history": ("date",),
-    "aggregations": ("date",),
+    "aggregations": ("date", "hour"),
     "partials": ("batch_id",),
     "dead_letters": ("date", "step"),
     "step_metrics": ("date", "step"),
@@ -96,14 +96,20 @@ class Lake:
     def upsert(self, changes: DataFrame, dataset: str, keys: Sequence[str]) -> None:
         """Merge changes by key into the partitions they touch, the later load wins.
 
-        The merged rows are pinned first, as they come from the files that are replaced. Two
-        writers must not run at once: there is no transaction log.
+        The merged rows are pinned first, as they come from the files that are replaced. Only the
+        names of the touched partitions reach the driver. Two writers must not run at once: there
+        is no transaction log.
         """
-        (partition,) = DATASETS[dataset]
+        columns = DATASETS[dataset]
         merged = changes
         if self.exists(dataset):
-            touched = [r[0] for r in changes.select(partition).distinct().collect()]
-            stored = self.read(dataset, changes.schema).filter(F.col(partition).isin(touched))
+            touched = F.lit(False)
+            for values in changes.select(*columns).distinct().collect():
+                here = F.lit(True)
+                for column, value in zip(columns, values):
+                    here = here & (F.col(column) == F.lit(value))
+                touched = touched | here
+            stored = self.read(dataset, changes.schema).filter(touched)
             merged = upsert(stored, changes, keys)
         self.write(pin(merged), dataset, "overwrite")
 

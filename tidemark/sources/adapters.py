@@ -36,6 +36,26 @@ def prices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as prices of very many assets: one per customer."""
+    return table(spark, folder, "orders").select(
+        F.col("o_custkey").cast("string").alias("crypto_id"),
+        F.col("o_totalprice").alias("price_usd"),
+        F.lit(None).cast("double").alias("change_24h_pct"),
+        F.col("o_orderdate").alias("event_timestamp"),
+    )
+
+
+def item_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """Order items as prices: one asset per part, the discount as its change."""
+    return table(spark, folder, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("crypto_id"),
+        F.col("l_extendedprice").alias("price_usd"),
+        (F.col("l_discount") * 100).alias("change_24h_pct"),
+        F.col("l_shipdate").alias("event_timestamp"),
+    )
+
+
 def assets(spark: SparkSession, folder: str) -> DataFrame:
     """Asset dimension: the distinct event types with a derived symbol and mechanism."""
     consensus = F.when(F.col("crypto_id") < "f", "Proof of Work").otherwise("Proof of Stake")

@@ -57,7 +57,11 @@ def store_aggregates(batch: DataFrame, batch_id: int, lake: Lake) -> None:
         lake.write_batch(
             dead_letters(letters, "spark_postgres", F.current_timestamp()), "dead_letters", batch_id
         )
-        keyed = valid.select(*batch.columns, F.to_date("window_start").alias("date"))
+        keyed = valid.select(
+            *batch.columns,
+            F.to_date("window_start").alias("date"),
+            F.hour("window_start").alias("hour"),
+        )
         lake.upsert(keyed, "aggregations", ["crypto_id", "window_start"])
     finally:
         checked.unpersist()
