@@ -283,7 +283,10 @@ def _carried_states(rows: DataFrame, series: Series, p: Periods) -> DataFrame:
     """The state each segment starts from: one row per segment of a long series."""
     key = series.keys[0]
     warm = p.rsi + 2
-    long_rows = rows.filter(F.col(SEG_COUNT) > 1).select(key, SEG, series.order, "price_usd")
+    # `_length` keeps the window, and with it the shuffle and the sort the main pass uses as well.
+    long_rows = rows.filter(F.col(SEG_COUNT) > 1).select(
+        key, SEG, series.order, "price_usd", "_length"
+    )
 
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Each segment alone: row count, first price and the state after it.
@@ -335,10 +338,8 @@ def _carried_states(rows: DataFrame, series: Series, p: Periods) -> DataFrame:
             )
         return pd.DataFrame(out, columns=[key, SEG, "_carried"])
 
-    summaries = (
-        long_rows.repartition(key, SEG)
-        .sortWithinPartitions(key, SEG, series.order)
-        .mapInPandas(summarise, f"{key} string, {SEG} int, _summary string")
+    summaries = long_rows.sortWithinPartitions(key, SEG, series.order).mapInPandas(
+        summarise, f"{key} string, {SEG} int, _summary string"
     )
     return summaries.groupBy(key).applyInPandas(chain, f"{key} string, {SEG} int, _carried string")
 

@@ -118,7 +118,8 @@ def rolling(
             "_tail": F.count(F.lit(1)).over(series.whole()),
         }
     )
-    inner = (F.col(SEG) == 0) | (F.col("_head") > lookback)
+    # Both branches below use the same columns of `placed`, so they share one scan and one shuffle.
+    inner = (F.col(SEG_COUNT) == 1) | (F.col(SEG) == 0) | (F.col("_head") > lookback)
     edge = (F.col(SEG_COUNT) > 1) & (
         (F.col("_head") <= lookback) | (F.col("_head") > F.col("_tail") - lookback)
     )
