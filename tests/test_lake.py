@@ -65,6 +65,31 @@ def test_archive_moves_old_days_and_can_be_repeated(spark, lake):
     assert rows(lake.read("raw"), "v") == [(3,)] and rows(lake.read("archive"), "v") == [(1,), (2,)]
     assert lake.archive("2026-06-02").count() == 0
     assert lake.read("archive").count() == 2
+    lake.write(dated(spark, ("2026-06-01", "a", 4)), "raw")  # arrives after its day was archived
+    lake.archive("2026-06-02")
+    assert rows(lake.read("archive"), "v") == [(1,), (2,), (4,)]
+
+
+@pytest.mark.parametrize("stopped", ["before the copy was marked", "while deleting"])
+def test_stopped_archive_run_is_finished(spark, lake, monkeypatch, stopped):
+    lake.write(dated(spark, ("2026-06-01", "a", 1), ("2026-06-01", "b", 2), ("2026-06-08", "a", 3)), "raw")
+    delete, touch = Lake._delete, Lake._touch
+
+    def partly(self, path):
+        delete(self, f"{path}/crypto_id=a")
+        raise OSError("lost")
+
+    def no_mark(self, path):
+        if path.endswith("copied"):
+            raise OSError("lost")
+        touch(self, path)
+
+    with monkeypatch.context() as m:
+        m.setattr(*((Lake, "_delete", partly) if stopped == "while deleting" else (Lake, "_touch", no_mark)))
+        with pytest.raises(OSError):
+            lake.archive("2026-06-02")
+    lake.archive("2026-06-02")
+    assert rows(lake.read("raw"), "v") == [(3,)] and rows(lake.read("archive"), "v") == [(1,), (2,)]
 
 
 def test_purge(spark, lake):

@@ -47,7 +47,7 @@ def validate_events(events: DataFrame, tracked: Sequence[str] = TRACKED_IDS) ->
         )
     )
     checks = {
-        "required_fields": F.size(missing) == 0,
+        "required_fields": crypto.isNotNull() & price.isNotNull() & stamp.isNotNull(),
         "price_positive": _true((price > 0) & number),
         "valid_crypto": _true(crypto.isin(list(tracked))),
         "timestamp_format": parsed_time(stamp).isNotNull(),
@@ -59,7 +59,7 @@ def validate_events(events: DataFrame, tracked: Sequence[str] = TRACKED_IDS) ->
         F.array(
             F.when(
                 ~ok["required_fields"],
-                F.concat(F.lit("Missing required fields: ["), F.array_join("_missing", ", "), F.lit("]")),
+                F.concat(F.lit("Missing required fields: ["), F.array_join(missing, ", "), F.lit("]")),
             ),
             F.when(
                 price.isNotNull() & ~ok["price_positive"],
@@ -80,7 +80,7 @@ def validate_events(events: DataFrame, tracked: Sequence[str] = TRACKED_IDS) ->
             ),
         )
     )
-    return _judged(events.withColumn("_missing", missing), checks, errors).drop("_missing")
+    return _judged(events, checks, errors)
 
 
 def validate_aggregates(aggregates: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ DATASETS: dict[str, tuple[str, ...]] = {
     "audit": ("date",),
     "versions": ("date", "step"),
     "daily_summary": ("trade_date",),
-    "archive": ("date", "crypto_id"),
+    "archive": ("date", "crypto_id", "run"),
     "cache": ("expires_on",),
     "reports": ("report", "date"),
 }
@@ -78,8 +79,8 @@ class Lake:
 
     def insert_if_absent(
         self, incoming: DataFrame, dataset: str, keys: Sequence[str], arrival: str
-    ) -> DataFrame:
-        """Append the rows whose key is new and return them.
+    ) -> None:
+        """Append the rows whose key is new.
 
         The target is read only where the incoming days are: their bounds are two values.
         """
@@ -89,9 +90,7 @@ class Lake:
             target = stored.filter(F.col("date").between(F.lit(span[0]), F.lit(span[1])))
         else:
             target = incoming.limit(0)
-        fresh = pin(new_rows(incoming, target, keys, arrival).drop(arrival))
-        self.write(fresh, dataset)
-        return fresh
+        self.write(new_rows(incoming, target, keys, arrival).drop(arrival), dataset)
 
     def upsert(self, changes: DataFrame, dataset: str, keys: Sequence[str]) -> None:
         """Merge changes by key into the partitions they touch, the later load wins.
@@ -116,28 +115,53 @@ class Lake:
     def archive(self, before: str, dataset: str = "raw", target: str = "archive") -> DataFrame:
         """Move the days before a date to the archive and return the rows moved per day.
 
-        Copy, then delete: a run that is repeated after a failure ends in the same state.
+        Copy, mark as copied, then delete. A run that stopped is taken up again under its own name:
+        before the mark it copies anew, after it it only deletes, so no row is lost or doubled.
+        Rows that arrive later for an archived day go to a later run.
         """
+        state = f"{self.root}/{target}_state"
+        run, copied = self._open_run(state)
         old = self.read(dataset).filter(F.col("date") < F.lit(before).cast("date"))
-        moved = pin(old.groupBy("date").agg(F.count(F.lit(1)).alias("rows_moved")))
-        self.write(old, target, "overwrite")
+        old = old.withColumn("run", F.lit(run))
+        if not copied:
+            self.write(old, target, "overwrite")
+            self._touch(f"{state}/{run}.copied")
+        mine = self.read(target, old.schema).filter(F.col("run") == run)
+        moved = pin(mine.groupBy("date").agg(F.count(F.lit(1)).alias("rows_moved")))
         for row in moved.select("date").collect():
             self._delete(f"{self.path(dataset)}/date={row[0]}")
+        self._delete(state)
         return moved
 
     def purge_expired(self, as_of: str) -> int:
-        """Drop expired cache rows: whole days at once, the day of `as_of` row by row."""
+        """Drop expired cache rows: the day of `as_of` is rewritten, earlier days go as a whole."""
         entries = self.read("cache")
         now = F.lit(as_of).cast(entries.schema["expires_at"].dataType)
         gone = entries.filter(F.col("expires_at") < now)
-        purged = gone.count()
-        days = [r[0] for r in gone.select("expires_on").distinct().collect()]
-        kept = pin(entries.filter(F.col("expires_on").isin(days) & (F.col("expires_at") >= now)))
-        for day in days:
+        counts = {r[0]: r[1] for r in gone.groupBy("expires_on").count().collect()}
+        kept = pin(entries.filter(F.col("expires_on").isin(list(counts)) & (F.col("expires_at") >= now)))
+        partly = {r[0] for r in kept.select("expires_on").distinct().collect()}
+        if partly:
+            self.write(kept, "cache", "overwrite")
+        for day in set(counts) - partly:
             self._delete(f"{self.path('cache')}/expires_on={day}")
-        if not kept.isEmpty():
-            self.write(kept, "cache", "append")
-        return purged
+        return sum(counts.values())
+
+    def _open_run(self, state: str) -> tuple[str, bool]:
+        """The unfinished run named in the state folder, or a new one; and whether it has copied."""
+        folder = self._hadoop_path(state)
+        fs = folder.getFileSystem(self._hadoop_conf())
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        if names:
+            run = names[0].split(".")[0]
+            return run, f"{run}.copied" in names
+        run = uuid.uuid4().hex
+        self._touch(f"{state}/{run}.started")
+        return run, False
+
+    def _touch(self, path: str) -> None:
+        target = self._hadoop_path(path)
+        target.getFileSystem(self._hadoop_conf()).create(target, True).close()
 
     def _hadoop_conf(self):
         return self.spark.sparkContext._jsc.hadoopConfiguration()
