@@ -62,6 +62,19 @@ def test_long_series_is_split_evenly_and_short_ones_are_not(spark, skewed):
     assert series.rows.count() == sum(len(v) for v in skewed.values())
 
 
+def test_cuts_in_several_blocks(spark, skewed, monkeypatch):
+    from tidemark.operators import series as module
+
+    df = frame(spark, skewed)
+    want = segmented(df, ["crypto_id"], "event_timestamp", 20).rows
+    for block in (4, 7):
+        monkeypatch.setattr(module, "BLOCK", block)
+        got = segmented(df, ["crypto_id"], "event_timestamp", 20).rows
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    hot = want.filter("crypto_id = 'hot'").orderBy("event_timestamp").toPandas()[SEG]
+    assert hot.is_monotonic_increasing and hot.nunique() == 75 and hot.max() == 74
+
+
 @pytest.mark.parametrize("per_segment", [64, 333, 10_000])
 def test_rolling_equals_plain_window(spark, skewed, per_segment):
     df = frame(spark, skewed)

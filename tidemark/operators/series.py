@@ -19,6 +19,7 @@ from tidemark.session import pin
 
 ROWS_PER_SEGMENT = 2_000_000
 MAX_SEGMENTS = 4096
+BLOCK = 64
 SEG, SEG_COUNT = "_segment", "_segments"
 
 
@@ -85,21 +86,58 @@ def segmented(
         .select(*keys, "_cuts")
     )
     cuts = pin(cuts)
-    # Binary search with a fixed number of steps in place of a range join.
-    steps = ", ".join(str(2**i) for i in reversed(range(MAX_SEGMENTS.bit_length())))
-    find = F.expr(
-        f"aggregate(array({steps}), 0, (lo, step) -> if(lo + step <= size(_cuts) "
-        "and element_at(_cuts, greatest(lo + step, 1)) <= _position, lo + step, lo))"
+    return Series(_located(df, keys, position, cuts), keys, order, split=True)
+
+
+def _located(df: DataFrame, keys: tuple[str, ...], position: Column, cuts: DataFrame) -> DataFrame:
+    """Rows with the number of cuts at or before them.
+
+    Searched in two levels, blocks of `BLOCK` cuts and the cuts of one block, so that a row only
+    ever meets a short array. Both sides hold at most one row per segment and are broadcast.
+    """
+    blocks = F.ceil(F.size("_cuts") / BLOCK)
+    named = cuts.withColumnsRenamed({k: f"_cut_{k}" for k in keys}).withColumn(
+        "_starts",
+        F.transform(F.sequence(F.lit(0), blocks.cast("int") - 1), lambda b: F.get("_cuts", b * BLOCK)),
+    )
+    same = _all([F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in keys])
+    tops = named.select(*[f"_cut_{k}" for k in keys], "_starts", F.size("_cuts").alias("_count"))
+    inner = named.select(
+        *[F.col(f"_cut_{k}").alias(f"_in_{k}") for k in keys],
+        F.posexplode("_starts").alias("_b", "_start"),
+        "_cuts",
+    ).select(
+        *[f"_in_{k}" for k in keys],
+        (F.col("_b") + 1).alias("_in_block"),
+        F.slice("_cuts", F.col("_b") * BLOCK + 1, BLOCK).alias("_inner"),
+    )
+    same_block = _all(
+        [F.col(k).eqNullSafe(F.col(f"_in_{k}")) for k in keys]
+        + [F.col("_block") == F.col("_in_block")]
     )
-    located = (
+    long_rows = (
         df.withColumn("_position", position)
-        .join(F.broadcast(cuts.withColumnsRenamed({k: f"_cut_{k}" for k in keys})),
-              _all([F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in keys]), "left")
-        .withColumn(SEG, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(find))
-        .withColumn(SEG_COUNT, F.coalesce(F.size("_cuts") + 1, F.lit(1)))
-        .drop("_cuts", "_position", *[f"_cut_{k}" for k in keys])
+        .join(F.broadcast(tops), same, "left")
+        .withColumn("_block", _passed("_starts", MAX_SEGMENTS // BLOCK))
+        .drop("_starts")
+        .join(F.broadcast(inner), same_block, "left")
+    )
+    within = (F.col("_block") - 1) * BLOCK + _passed("_inner", BLOCK)
+    return long_rows.withColumns(
+        {
+            SEG: F.when(F.col("_inner").isNull(), F.lit(0)).otherwise(within),
+            SEG_COUNT: F.coalesce(F.col("_count") + 1, F.lit(1)),
+        }
+    ).select(*df.columns, SEG, SEG_COUNT)
+
+
+def _passed(array: str, longest: int) -> Column:
+    """How many values of a sorted array are at or before the position: a binary search."""
+    steps = ", ".join(str(2**i) for i in reversed(range(longest.bit_length())))
+    return F.expr(
+        f"aggregate(array({steps}), 0, (lo, step) -> if(lo + step <= size({array}) "
+        f"and element_at({array}, greatest(lo + step, 1)) <= _position, lo + step, lo))"
     )
-    return Series(located, keys, order, split=True)
 
 
 def rolling(
