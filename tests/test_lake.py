@@ -107,6 +107,14 @@ def test_reports_are_replaced_per_day(spark, lake):
     assert rows(spark.read.json(lake.path("reports")), "v", "report") == [(2, "sla")]
 
 
+def test_health_trend_reads_stored_reports(spark, lake):
+    for day, score in ((1, 5.0), (7, 60.0), (8, 70.0), (9, 80.0)):
+        frame = spark.createDataFrame([("OVERALL", score), ("a", 1.0)], "crypto_id string, score double")
+        lake.report(frame, "health_report", f"2026-06-{day:02d}")
+    lake.report(spark.createDataFrame([(1,)], "v int"), "sla", "2026-06-09")
+    assert rows(jobs.health_trend_run(lake, "2026-06-09")["trend"]) == [("stable", 70.0, 3)]
+
+
 def test_unreadable_json_rows_are_dropped(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"a": 1}\n{broken\n{"a": 2}\n')
     schema_a = StructType([StructField("a", IntegerType())])

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark import schema
 from tidemark.operators import (
@@ -196,6 +197,14 @@ def health_run(
     return _report(lake, frames, "health", date, *frames)
 
 
+def health_trend_run(lake: Lake, date: str, days: int = 7) -> Frames:
+    """Trend of the overall health scores in the stored reports."""
+    fields = StructType([StructField("crypto_id", StringType()), StructField("score", DoubleType())])
+    reports = lake.report_history("health_report", date, days, fields)
+    history = reports.filter("crypto_id = 'OVERALL'").withColumnRenamed("score", "overall_score")
+    return {"trend": mon.health_trend(history, date, days)}
+
+
 def quality_run(
     validated: DataFrame, time: str, first: str, last: str, lake: Lake | None = None
 ) -> Frames:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from tidemark.operators.dedup import new_rows, upsert
 from tidemark.schema import TABLES, create_table_sql
@@ -77,6 +78,17 @@ class Lake:
         folder = f"{self.path('reports')}/report={name}/date={date}"
         df.write.mode(mode).json(folder)
 
+    def report_history(self, name: str, last: str, days: int, schema: StructType) -> DataFrame:
+        """A report of the last `days` days, with its date; days without one are just missing."""
+        end = F.lit(last).cast("date")
+        full = StructType([*schema, StructField("report", StringType()), StructField("date", DateType())])
+        return (
+            self.spark.read.schema(full)
+            .json(self.path("reports"))
+            .filter((F.col("report") == name) & (F.col("date") > F.date_sub(end, days)) & (F.col("date") <= end))
+            .drop("report")
+        )
+
     def insert_if_absent(
         self, incoming: DataFrame, dataset: str, keys: Sequence[str], arrival: str
     ) -> None:
