@@ -113,3 +113,18 @@ def rolling(hashes: np.ndarray, width: int, base: int = 0x9E3779B97F4A7C15) -> n
     np.cumsum(hashes * powers(base, n)[:n], out=total[1:])
     back = powers(pow(base, -1, 1 << 64), n)
     return mixed((total[width:] - total[:-width]) * back[: n - width + 1])
+
+
+#: A side of a join is broadcast up to so many bytes, as measured.
+BROADCAST_BYTES = 16 << 20
+
+
+def size_checked(df: DataFrame, *text_columns: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """`df`, computed once, and marked for broadcast if it is small; otherwise left to a shuffled join."""
+    from tidemark.session import pin
+
+    held = pin(df)
+    wide = 16 * len(df.columns)
+    each = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text_columns), F.lit(wide))
+    size = held.agg(F.sum(each.cast("long"))).first()[0] or 0
+    return F.broadcast(held) if size <= limit else held

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import common, decontaminate, langid, packing
+from tidemark.llm import chat, common, decontaminate, langid, packing, quality, secrets
 
 for _module in (common, decontaminate, langid, packing):
     session.ship_with_jobs(_module.__name__)
@@ -20,10 +20,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(table(spark, folder, "documents"))
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("doc_id", *columns)
+
+
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, folder, "documents")))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).drop("ids")
 
 
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string"
+    )
+    return chat.digests(chat.format_turns(rows.unionByName(planted)))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return decontaminate.judged(decontaminate.find_overlap(docs, items))
@@ -39,6 +58,9 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op5_secret_scan": op5_secret_scan,
+    "op8_chat_format": op8_chat_format,
     "op6_packing": op6_packing,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
