@@ -16,6 +16,8 @@ each. No rows: no pieces.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -29,8 +31,10 @@ from tidemark.llm import common
 LENGTH = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose ids a worker keeps at most; it starts anew beyond that.
-WORDS_KEPT = 400_000
+#: Words whose ids a worker keeps: so many new ones, and as many of those before that were met again.
+WORDS_KEPT = 500_000
+#: Where a word of ASCII letters or digits meets other ASCII; the vocabulary never merges across.
+INSIDE = re.compile(rb"(?<=[a-z0-9])(?=[^\sa-z0-9'<\x80-\xff])")
 #: Bytes of ids in one Arrow batch of results.
 BATCH_BYTES = 4 << 20
 
@@ -69,21 +73,27 @@ def tokenizer_of(path: str):
 def word_encoder(tokenizer, end_id: int) -> Callable[[list[str | None]], list[bytes]]:
     """Ids of texts as little-endian bytes, with the end id.
 
-    The vocabulary drops white space and merges only inside words, so the ids of a text are those of
-    its words in order. Each word is encoded once and looked up after that.
+    The vocabulary lower-cases, drops white space and merges only inside words, so the ids of a text
+    are those of its words in order. Each word is encoded once and looked up after that; words that
+    have not been met for a while are forgotten.
     """
     known: dict[bytes, bytes] = {}
+    older: dict[bytes, bytes] = {}
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(texts: list[str | None]) -> list[bytes]:
+        nonlocal known, older
         if len(known) > WORDS_KEPT:
-            known.clear()
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            found = tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            known.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in found)))
+            known, older = {}, known
+        split = [INSIDE.sub(b" ", (t or "").encode("utf-8", "replace").lower()).split() for t in texts]
+        new = []
+        for w in {w for words in split for w in words if w not in known}:
+            if w in older:
+                known[w] = older[w]
+            else:
+                new.append(w)
+        found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
         return [b"".join(map(known.__getitem__, words)) + end for words in split]
 
     return encode
@@ -165,6 +175,7 @@ class Packer:
 
 def packing(path: str | None, length: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         where = path or vocabulary_path()
         encode = common.cached(("words", where, end_id), lambda: word_encoder(tokenizer_of(where), end_id))
         packer = Packer(length, TaskContext.get().partitionId() << 40)
