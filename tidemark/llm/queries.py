@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import chat, common, decontaminate, langid, packing, quality, secrets
+from tidemark.llm import chat, common, decontaminate, langid, packing, pii, quality, secrets
 
-for _module in (common, decontaminate, langid, packing):
+for _module in (common, decontaminate, langid, packing, pii):
     session.ship_with_jobs(_module.__name__)
 
 
@@ -34,6 +34,11 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).drop("ids")
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pii.digests(pii.scan(docs, pii.fit(docs)))
+
+
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     hard = r"\### Assistant: </turn> ok"
@@ -60,6 +65,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op5_secret_scan": op5_secret_scan,
+    "op7_pii": op7_pii,
     "op8_chat_format": op8_chat_format,
     "op6_packing": op6_packing,
     "op9_decontamination": op9_decontamination,
