@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import chat, common, decontaminate, langid, packing, pii, quality, secrets
+from tidemark.llm import chat, common, decontaminate, langid, neardup, packing, pii, quality, secrets
 
-for _module in (common, decontaminate, langid, packing, pii):
+for _module in (common, decontaminate, langid, neardup, packing, pii):
     session.ship_with_jobs(_module.__name__)
 
 
@@ -26,6 +26,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *columns)
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), width=2)
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, folder, "documents")))
 
@@ -64,6 +68,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_secret_scan": op5_secret_scan,
     "op7_pii": op7_pii,
     "op8_chat_format": op8_chat_format,
