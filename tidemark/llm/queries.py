@@ -9,9 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import chat, common, decontaminate, langid, neardup, packing, pii, quality, secrets
-
-for _module in (common, decontaminate, langid, neardup, packing, pii):
+from tidemark.llm import (
+    chat,
+    chunks,
+    common,
+    decontaminate,
+    langid,
+    neardup,
+    packing,
+    pii,
+    quality,
+    secrets,
+    substring,
+)
+
+for _module in (chunks, common, decontaminate, langid, neardup, packing, pii, substring):
     session.ship_with_jobs(_module.__name__)
 
 
@@ -26,6 +38,11 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *columns)
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring.deduplicate(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), width=2)
 
@@ -68,6 +85,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_secret_scan": op5_secret_scan,
     "op7_pii": op7_pii,
