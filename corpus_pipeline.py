@@ -1,10 +1,61 @@
-"""The corpus pipeline: stages over documents, each written and read again for the next."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
+
+Quality rules drop documents outside the limits of their language and source; of near-duplicate groups
+one document stays; documents that hold benchmark passages go; secrets are masked in the text; what
+is left is packed into sequences of token ids. SQL has no tokenizer, so there is no SQL for it all;
+tests compare it with a plain version on small tables.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark import session
+from tidemark.llm import decontaminate, neardup, packing, quality, queries, secrets
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    session.apply_settings(spark)
+    return quality.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    session.apply_settings(spark)
+    return neardup.keep_one(docs)
+
+
+def benchmark_overlap(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
+def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    session.apply_settings(spark)
+    return secrets.mask_secrets(docs)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    session.apply_settings(spark)
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_overlap", benchmark_overlap),
+    ("secret_masking", secret_masking),
+    ("sequence_packing", sequence_packing),
+]
+
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over `documents`; what each gives is kept in the shared folder."""
+    docs = queries.table(spark, sf_dir, "documents")
+    folder = f"{session.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
