@@ -128,3 +128,14 @@ def size_checked(df: DataFrame, *text_columns: str, limit: int = BROADCAST_BYTES
     each = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text_columns), F.lit(wide))
     size = held.agg(F.sum(each.cast("long"))).first()[0] or 0
     return F.broadcast(held) if size <= limit else held
+
+
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a table in the shared folder, for rows with texts: compressed, and read by column."""
+    import uuid
+
+    from tidemark.session import shared_dir
+
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

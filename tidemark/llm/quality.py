@@ -198,7 +198,11 @@ def judge(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """The documents that pass, with all their columns. Texts are measured twice and never shuffled."""
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text", "lang", "source")
-    limit = limits(sketches(counted(rows.drop("_row")).drop("text")), least_docs)
-    return judged(counted(rows).drop("text"), limit).filter("kept").select("_row.*")
+    """The documents that pass, with all their columns.
+
+    Rows are written once with their counts beside them, so that a filter on the counts isn't pushed
+    into their making; the sketches read the counts only.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    counts = common.written(counted(docs.select(row, "text", "lang", "source")).drop("text"))
+    return judged(counts, limits(sketches(counts), least_docs)).filter("kept").select("_row.*")
