@@ -15,6 +15,7 @@ from tidemark.llm import (
     common,
     decontaminate,
     langid,
+    language_model,
     neardup,
     packing,
     pii,
@@ -23,7 +24,7 @@ from tidemark.llm import (
     substring,
 )
 
-for _module in (chunks, common, decontaminate, langid, neardup, packing, pii, substring):
+for _module in (chunks, common, decontaminate, langid, language_model, neardup, packing, pii, substring):
     session.ship_with_jobs(_module.__name__)
 
 
@@ -47,6 +48,14 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), width=2)
 
 
+def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = language_model.score(docs, common.id_remainder(F.col("doc_id")) != 1)
+    return found.select(
+        "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, folder, "documents")))
 
@@ -87,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_language_model": op4_language_model,
     "op5_secret_scan": op5_secret_scan,
     "op7_pii": op7_pii,
     "op8_chat_format": op8_chat_format,
