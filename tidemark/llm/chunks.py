@@ -75,5 +75,43 @@ def beside(texts: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Ta
     return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(work, schema)
 
 
+def small(array: np.ndarray) -> bytes:
+    """Compressed: for counts, which are mostly one or none."""
+    import zstandard
+
+    return zstandard.compress(np.ascontiguousarray(array).tobytes(), 1)
+
+
+def large(data: bytes, kind) -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.decompress(data), kind)
+
+
+def six_bytes(keys: np.ndarray) -> bytes:
+    """Keys without their two last bytes, which are zero."""
+    return keys.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def from_six(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    wide = np.zeros((len(raw) // 6, 8), np.uint8)
+    wide[:, 2:] = raw.reshape(-1, 6)
+    return wide.reshape(-1).view(np.uint64)
+
+
+def to_all(totals: DataFrame, n_chunks: int) -> DataFrame:
+    """Rows under negative chunk numbers, summed by number and then given to every chunk, as kind -1."""
+    summed_up = totals.filter("chunk < 0").groupBy("chunk").agg(F.sum("part").alias("part"))
+    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_chunks - 1).cast("long")))
+    return summed_up.select(
+        "part",
+        everywhere.alias("chunk"),
+        F.lit(-1).alias("kind"),
+        F.col("chunk").cast("string").cast("binary").alias("keys"),
+        F.lit(b"").alias("data"),
+    )
+
+
 def joined(arrays: list[np.ndarray], kind=np.uint64) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, kind)

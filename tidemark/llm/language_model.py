@@ -38,6 +38,9 @@ PARENT_DISCOUNT, PARENT_STRENGTH = 0.6, 10.0
 CHUNK_CHARS = 12_000_000
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 PAIR_BASE = np.uint64(0xA0761D6478BD642F)
+#: Kinds of questions, and the numbers of totals (less the chain, and 1000 for each sweep before).
+WORDS, PAIRS, STATE = 0, 1, 2
+TOKENS, DISTINCT, TABLES, CUSTOMERS = -1, -2, -10, -20
 SCORED = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -76,7 +79,7 @@ class Tokens:
         self.sizes = np.array([len(h) + 1 for h in hashed], np.int64)
         words = np.concatenate([x for h in hashed for x in (h, [END])]).astype(np.uint64)
         before = np.concatenate([x for h in hashed for x in ([START], h)]).astype(np.uint64)
-        pairs = common.mixed(before * PAIR_BASE + words)
+        pairs = common.mixed(before * PAIR_BASE + words) & np.uint64(0xFFFFFFFFFFFF0000)  # 48 bits are asked with
         self.words, self.word = np.unique(words, return_inverse=True)
         self.pairs, first, self.pair = np.unique(pairs, return_index=True, return_inverse=True)
         self.dish = self.word[first]  # of each distinct pair
@@ -86,33 +89,58 @@ class Tokens:
         self.counted = np.repeat(self.trained, self.sizes)
 
 
-def unsigned(answers: pa.Table, kind: int, columns: int) -> list[np.ndarray]:
-    """The columns of the answers of a kind, in the order of the sorted keys asked for."""
-    rows = sorted((r["part"], r["data"]) for r in answers.to_pylist() if r["kind"] == kind)
-    parts = [np.frombuffer(d, np.uint32).reshape(columns, -1) for _, d in rows]
-    return list(np.concatenate(parts, axis=1)) if parts else [np.zeros(0, np.uint32)] * columns
+def asked(number: int, kind: int, keys: np.ndarray, parts: int, columns: np.ndarray) -> list[dict]:
+    """A question with columns of small counts; pairs, of which there are most, with six bytes a key."""
+    rows = chunks.asked(number, kind, keys, parts, np.arange(len(keys), dtype=np.int64))
+    for row in rows:
+        where = np.frombuffer(row["data"], np.int64)
+        row["data"] = chunks.small(columns[:, where[0] : where[-1] + 1].astype(np.uint32))
+        if kind == PAIRS:
+            row["keys"] = chunks.six_bytes(np.frombuffer(row["keys"], np.uint64))
+    return rows
+
+
+class Asked:
+    """All questions of a kind to a part: distinct keys, and which of them each asked key is."""
+
+    def __init__(self, table: pa.Table, kind: int) -> None:
+        rows = [r for r in table.to_pylist() if r["kind"] == kind]
+        read = chunks.from_six if kind == PAIRS else lambda b: np.frombuffer(b, np.uint64)
+        self.part = table.column("part")[0].as_py()
+        self.kind = kind
+        self.numbers = [r["chunk"] for r in rows]
+        keys = [read(r["keys"]) for r in rows]
+        self.sizes = [len(k) for k in keys]
+        data = [chunks.large(r["data"], np.uint32).reshape(-1, len(k)) for r, k in zip(rows, keys)]
+        self.data = np.concatenate(data, axis=1) if data else np.zeros((1, 0), np.uint32)
+        self.keys, self.which = np.unique(chunks.joined(keys), return_inverse=True)
+        self.totals = np.array([np.bincount(self.which, weights=c, minlength=len(self.keys)) for c in self.data])
+
+    def told(self, values: np.ndarray) -> list[dict]:
+        """Each chunk's columns of values, given for each asked key, in the order of its own keys."""
+        out, at = [], 0
+        for number, size in zip(self.numbers, self.sizes):
+            data = chunks.small(values[:, at : at + size].astype(np.uint32))
+            out.append({"part": self.part, "chunk": number, "kind": self.kind, "keys": b"", "data": data})
+            at += size
+        return out
 
 
-def summed(table: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys asked for in a part, their sums over all chunks, and which each asked key is."""
-    asked = chunks.column(table, "keys", np.uint64)
-    data = [np.frombuffer(d.as_buffer(), np.uint32).reshape(columns, -1) for d in table.column("data")]
-    keys, which = np.unique(chunks.joined(asked), return_inverse=True)
-    flat = np.concatenate(data, axis=1)
-    totals = np.array([np.bincount(which, weights=c, minlength=len(keys)) for c in flat])
-    return keys, which, totals, asked
+class Answers:
+    """What a chunk was told, by kind; columns are in the order of the sorted keys it asked for."""
 
+    def __init__(self, table: pa.Table) -> None:
+        self.parts: dict[int, list[tuple[int, bytes]]] = {}
+        self.totals: dict[int, int] = {}
+        for r in table.to_pylist():
+            if r["kind"] == -1:
+                self.totals[int(r["keys"])] = r["part"]
+            else:
+                self.parts.setdefault(r["kind"], []).append((r["part"], r["data"]))
 
-def told(table: pa.Table, kind: int, asked: list[np.ndarray], which: np.ndarray, values: np.ndarray) -> list[dict]:
-    """Each chunk's columns of values, in the order of its own keys."""
-    out, at = [], 0
-    part = table.column("part")[0].as_py()
-    for number, own in zip(table.column("chunk").to_pylist(), asked):
-        mine = which[at : at + len(own)]
-        at += len(own)
-        data = np.ascontiguousarray(values[:, mine]).astype(np.uint32).tobytes()
-        out.append({"part": part, "chunk": number, "kind": kind, "keys": b"", "data": data})
-    return out
+    def columns(self, kind: int, n: int) -> np.ndarray:
+        told = [chunks.large(d, np.uint32).reshape(n, -1) for _, d in sorted(self.parts.get(kind, []))]
+        return np.concatenate(told, axis=1).astype(float) if told else np.zeros((n, 0))
 
 
 def total_row(number: int, value: float) -> dict:
@@ -120,10 +148,6 @@ def total_row(number: int, value: float) -> dict:
     return {"part": int(value), "chunk": number, "kind": -1, "keys": b"", "data": b""}
 
 
-def totals_of(answers: DataFrame) -> dict[int, int]:
-    return {r[0]: r[1] for r in answers.filter("chunk < 0").groupBy("chunk").agg(F.sum("part")).collect()}
-
-
 def score(
     docs: DataFrame,
     trained: Column,
@@ -141,125 +165,111 @@ def score(
     texts, n_chunks = chunks.dealt(docs, id_col, text_col, chunk_chars, flag)
     parts = max(1, math.ceil(n_chunks / 2))
 
-    def ask_words(table: pa.Table) -> list[dict]:
-        t = Tokens(table)
-        seen = np.bincount(t.word[t.counted], minlength=len(t.words)).astype(np.uint32)
-        return chunks.asked(table.column("chunk")[0].as_py(), 0, t.words, parts, seen)
-
-    def count_words(table: pa.Table) -> list[dict]:
-        keys, which, totals, asked = summed(table, 1)
-        rows = told(table, 0, asked, which, totals)
-        return [*rows, total_row(-1, totals.sum()), total_row(-2, (totals > 0).sum())]
-
-    words = common.written(chunks.answer(chunks.ask(texts, ask_words), count_words))
-    found = totals_of(words)
-    n_train, n_distinct = found.get(-1, 0), found.get(-2, 0)
-    of_words = words.filter("chunk >= 0")
-
-    def ask_pairs(table: pa.Table) -> list[dict]:
+    def ask_counts(table: pa.Table) -> list[dict]:
         t = Tokens(table)
-        seen = np.bincount(t.pair[t.counted], minlength=len(t.pairs)).astype(np.uint32)
-        return chunks.asked(table.column("chunk")[0].as_py(), 1, t.pairs, parts, seen)
-
-    def count_pairs(table: pa.Table) -> list[dict]:
-        """Totals, and for which chunk a pair is the one to be seated: the first that trains on it."""
-        _, which, totals, asked = summed(table, 1)
-        seen = np.concatenate([np.frombuffer(d.as_buffer(), np.uint32) for d in table.column("data")])
-        owner = np.zeros(len(seen), np.uint32)
-        at = np.flatnonzero(seen)
-        owner[at[np.unique(which[at], return_index=True)[1]]] = 1
-        out = told(table, 1, asked, which, totals)
-        place = 0
-        for row, own in zip(out, asked):
-            row["data"] += owner[place : place + len(own)].tobytes()
-            place += len(own)
-        return out
-
-    of_pairs = chunks.answer(chunks.ask(texts, ask_pairs), count_pairs)
-
-    def base(count: np.ndarray) -> np.ndarray:
-        return (count + 0.5) / (n_train + 0.5 * (n_distinct + 1))
-
-    def parent(state: list[np.ndarray], k: int, sums: dict[int, int]) -> np.ndarray:
+        number = table.column("chunk")[0].as_py()
+        words = np.bincount(t.word[t.counted], minlength=len(t.words))[None]
+        pairs = np.bincount(t.pair[t.counted], minlength=len(t.pairs))[None]
+        return asked(number, WORDS, t.words, parts, words) + asked(number, PAIRS, t.pairs, parts, pairs)
+
+    def count(table: pa.Table) -> list[dict]:
+        """Totals of words and pairs, and for which chunk a pair is the one to be seated: the first that trains on it."""
+        words, pairs = Asked(table, WORDS), Asked(table, PAIRS)
+        owner = np.zeros(len(pairs.which))
+        at = np.flatnonzero(pairs.data[0])
+        owner[at[np.unique(pairs.which[at], return_index=True)[1]]] = 1
+        rows = words.told(words.totals[:, words.which]) + pairs.told(np.vstack([pairs.totals[0][pairs.which], owner]))
+        return [*rows, total_row(TOKENS, words.totals.sum()), total_row(DISTINCT, (words.totals > 0).sum())]
+
+    def base(seen: np.ndarray, totals: dict[int, int]) -> np.ndarray:
+        return (seen + 0.5) / (totals.get(TOKENS, 0) + 0.5 * (totals.get(DISTINCT, 0) + 1))
+
+    def parent(state: np.ndarray, totals: dict[int, int], k: int) -> np.ndarray:
         """The parent's predictive probability of each word in chain k."""
-        customers, own = state[chains + k].astype(float), state[2 * chains + k].astype(float)
-        all_customers, all_tables = sums.get(-20 - k, 0), sums.get(-10 - k, 0)
+        customers, own = state[chains + k], state[2 * chains + k]
+        all_customers, all_tables = totals.get(CUSTOMERS - k, 0), totals.get(TABLES - k, 0)
         spare = (PARENT_STRENGTH + PARENT_DISCOUNT * all_tables) / (PARENT_STRENGTH + all_customers)
-        return (customers - PARENT_DISCOUNT * own) / (PARENT_STRENGTH + all_customers) + spare / (n_distinct + 1)
-
-    def seating(t: Tokens, answers: pa.Table, sums: dict[int, int], k: int) -> tuple[np.ndarray, ...]:
-        """Counts of words and pairs, owners, tables of pairs, and what the draw was given."""
-        count = unsigned(answers, 0, 1)[0].astype(float)
-        of_pair, owner = (x.astype(float) for x in unsigned(answers, 1, 2))
-        if sums:
-            state = unsigned(answers, 2, 3 * chains)
-            prior, open_tables = parent(state, k, sums), state[k].astype(float)
+        backed = spare / (totals.get(DISTINCT, 0) + 1)
+        return np.maximum(customers - PARENT_DISCOUNT * own, 0) / (PARENT_STRENGTH + all_customers) + backed
+
+    def drawn(t: Tokens, told: Answers, of_pair: np.ndarray, k: int, sweep: int) -> np.ndarray:
+        """Tables of the chunk's pairs in chain k and a sweep, given the state that the sweep before left."""
+        if sweep:
+            state = told.columns(STATE + sweep - 1, 3 * chains)
+            prior, opened = parent(state, {**told.totals, **sweep_totals(told, sweep - 1)}, k), state[k]
         else:
-            prior, open_tables = base(count), count**0.8
-        weight = (STRENGTH + DISCOUNT * open_tables[t.context]) * prior[t.dish]
-        return count, of_pair, owner, tables_drawn(of_pair, weight, DISCOUNT, t.pairs, k)
+            seen = told.columns(WORDS, 1)[0]
+            prior, opened = base(seen, told.totals), seen**0.8
+        weight = (STRENGTH + DISCOUNT * opened[t.context]) * prior[t.dish]
+        return tables_drawn(of_pair, weight, DISCOUNT, t.pairs, k + chains * sweep)
 
-    def ask_state(sums: dict[int, int]):
-        def seat(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def sweep_totals(told: Answers, sweep: int) -> dict[int, int]:
+        at = 1000 * sweep
+        return {k: told.totals.get(k - at, 0) for c in range(chains) for k in (TABLES - c, CUSTOMERS - c)}
+
+    def seat(sweep: int):
+        def run(table: pa.Table, answers: pa.Table) -> pa.Table:
             if not table.num_rows:
                 return chunks.empty()
-            t = Tokens(table)
-            out = []
-            for by in (t.context, t.dish):
-                for k in range(chains):
-                    _, _, owner, drawn = seating(t, answers, sums, k)
-                    out.append(np.bincount(by, weights=drawn * owner, minlength=len(t.words)).astype(np.uint32))
-            return chunks.table_of(chunks.asked(table.column("chunk")[0].as_py(), 2, t.words, parts, *out))
-
-        return seat
-
-    def seat_parent(table: pa.Table) -> list[dict]:
-        keys, which, totals, asked = summed(table, 2 * chains)
-        weight = np.full(len(keys), PARENT_STRENGTH / (n_distinct + 1))
-        own = [tables_drawn(totals[chains + k], weight, PARENT_DISCOUNT, keys, k) for k in range(chains)]
-        rows = told(table, 2, asked, which, np.vstack([totals, *own]))
-        for k in range(chains):
-            rows += [total_row(-10 - k, own[k].sum()), total_row(-20 - k, totals[chains + k].sum())]
-        return rows
-
-    history: list[tuple[DataFrame, dict[int, int]]] = []
-    sums: dict[int, int] = {}
-    known = of_pairs.union(of_words)
-    for _ in range(sweeps):
-        given = known.union(history[-1][0]) if history else known
-        drawn = chunks.beside(texts, given, ask_state(sums), chunks.ASKED)
-        state = common.written(chunks.answer(drawn, seat_parent))
-        sums_before, sums = sums, totals_of(state)
-        history.append((state.filter("chunk >= 0"), sums_before))
-
-    last, before = history[-1]
-    # The tables of pairs belong to the draw that the last state sums up, so probabilities add up to one.
-    final = known.union(last) if not before else known.union(last).union(history[-2][0].withColumn("kind", F.lit(3)))
+            t, told = Tokens(table), Answers(answers)
+            of_pair, owner = told.columns(PAIRS, 2)
+            own = [drawn(t, told, of_pair, k, sweep) * owner for k in range(chains)]
+            sums = [np.bincount(by, weights=w, minlength=len(t.words)) for by in (t.context, t.dish) for w in own]
+            return chunks.table_of(asked(table.column("chunk")[0].as_py(), STATE + sweep, t.words, parts, np.array(sums)))
+
+        return run
+
+    def seat_parent(sweep: int):
+        def run(table: pa.Table) -> list[dict]:
+            words = Asked(table, STATE + sweep)
+            weight = np.full(len(words.keys), PARENT_STRENGTH / max(1, len(words.keys) * parts))
+            own = [
+                tables_drawn(words.totals[chains + k], weight, PARENT_DISCOUNT, words.keys, k + chains * sweep)
+                for k in range(chains)
+            ]
+            rows = words.told(np.vstack([words.totals, *own])[:, words.which])
+            for k in range(chains):
+                rows.append(total_row(TABLES - k - 1000 * sweep, own[k].sum()))
+                rows.append(total_row(CUSTOMERS - k - 1000 * sweep, words.totals[chains + k].sum()))
+            return rows
+
+        return run
+
+    def with_totals(answers: DataFrame) -> DataFrame:
+        return answers.filter("chunk >= 0").union(chunks.to_all(answers, n_chunks))
+
+    # Dealt by chunk once, so that its uses share one exchange rather than count anew.
+    counted = chunks.answer(chunks.ask(texts, ask_counts), count).repartition("chunk")
+    known = with_totals(counted)
+    for sweep in range(sweeps):
+        states = chunks.beside(texts, known, seat(sweep), chunks.ASKED)
+        known = known.union(with_totals(chunks.answer(states, seat_parent(sweep)).repartition("chunk")))
 
     def scored(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return SCORED.empty_table()
-        t = Tokens(table)
-        drawn_from = answers
-        if before:
-            rows = [r for r in answers.to_pylist() if r["kind"] != 2]
-            drawn_from = chunks.table_of([{**r, "kind": 2} if r["kind"] == 3 else r for r in rows])
+        t, told = Tokens(table), Answers(answers)
+        seen = told.columns(WORDS, 1)[0]
+        of_pair = told.columns(PAIRS, 2)[0]
+        state = told.columns(STATE + sweeps - 1, 3 * chains)
+        totals = {**told.totals, **sweep_totals(told, sweeps - 1)}
+        guests = seen[t.context]
         mean = np.zeros(len(t.pairs))
-        state = unsigned(answers, 2, 3 * chains)
         for k in range(chains):
-            count, of_pair, _, drawn = seating(t, drawn_from, before, k)
-            prior, opened, total = parent(state, k, sums)[t.dish], state[k][t.context], count[t.context]
-            own = np.maximum(of_pair - DISCOUNT * drawn, 0) + (STRENGTH + DISCOUNT * opened) * prior
-            mean += np.where(total > 0, own / (STRENGTH + total), prior) / chains
+            # The tables are those that the last state sums up, so that probabilities add up to one.
+            tables = drawn(t, told, of_pair, k, sweeps - 1)
+            prior = parent(state, totals, k)[t.dish]
+            own = np.maximum(of_pair - DISCOUNT * tables, 0) + (STRENGTH + DISCOUNT * state[k][t.context]) * prior
+            mean += np.where(guests > 0, own / (STRENGTH + guests), prior) / chains
         first = np.cumsum(t.sizes) - t.sizes
         return pa.Table.from_pydict(
             {
                 "doc_id": table.column("doc_id").to_pylist(),
                 "trained": t.trained,
                 "n_tokens": t.sizes,
-                "n_known": np.add.reduceat((count > 0)[t.word].astype(np.int64), first),
-                "train_tokens": np.full(len(t.sizes), n_train),
-                "base_score": np.add.reduceat(np.log10(base(count))[t.word], first),
+                "n_known": np.add.reduceat((seen > 0)[t.word].astype(np.int64), first),
+                "train_tokens": np.full(len(t.sizes), told.totals.get(TOKENS, 0)),
+                "base_score": np.add.reduceat(np.log10(base(seen, told.totals))[t.word], first),
                 "score": np.add.reduceat(np.log10(mean)[t.pair], first),
             },
             schema=SCORED,
@@ -267,7 +277,7 @@ def score(
 
     return chunks.beside(
         texts,
-        final,
+        known,
         scored,
         "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )

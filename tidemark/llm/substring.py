@@ -100,16 +100,11 @@ def deduplicate(
         """As `chunks.asked`, with the six bytes of each key that are not zero."""
         rows = chunks.asked(number, 0, keys, parts, flags)
         for row in rows:
-            row["keys"] = np.frombuffer(row["keys"], np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+            row["keys"] = chunks.six_bytes(np.frombuffer(row["keys"], np.uint64))
         return rows
 
     def unpacked(table: pa.Table) -> list[np.ndarray]:
-        out = []
-        for raw in chunks.column(table, "keys", np.uint8):
-            wide = np.zeros((len(raw) // 6, 8), np.uint8)
-            wide[:, 2:] = raw.reshape(-1, 6)
-            out.append(wide.reshape(-1).view(np.uint64))
-        return out
+        return [chunks.from_six(raw) for raw in chunks.column(table, "keys", np.uint8)]
 
     def hit_anchors(table: pa.Table) -> list[dict]:
         keys, flags = unpacked(table), chunks.column(table, "data", np.uint8)
