@@ -13,10 +13,10 @@ def con():
 
 
 def test_all_queries_have_sql():
-    assert set(oc.entry_module.oracle_sql()) == set(oc.entry_module.queries())
+    assert set(oc.entry_module.ORACLE) == set(oc.entry_module.CATALOG)
 
 
-@pytest.mark.parametrize("name", list(oc.entry_module.queries()))
+@pytest.mark.parametrize("name", list(oc.entry_module.CATALOG))
 def test_query_matches_sql(spark, con, name):
     ok, note = oc.compare(spark, con, FOLDER, name)
     assert ok, note
