@@ -6,10 +6,13 @@ make its odd sketch, in which two sets differ in about as many bits as their sam
 population count tells high similarities apart. Pairs that the sketches leave are compared on whole
 sets, so links are exact; at the threshold a pair misses all bands with probability 1e-7.
 
-Buckets are not expanded into pairs. First every member is compared with the bucket's first class,
-which links most groups of copies. Then only buckets that still hold several components are looked
-at: their members of different components are compared in blocks of bounded size, in Python, and only
-pairs that pass the sketch leave the task. Components come by repeated smallest-neighbour steps with
+Buckets are not expanded into pairs. First every member is compared with one center of the bucket, the
+class whose bands are shared most: copies that were edited each in their own way are all nearest to
+the text they came from. That links most groups of copies. Then only buckets that still hold several
+components are looked at. Their members are compared by sketch in blocks of bounded size, in Python,
+and of the pairs that pass only each member's closest few in other components leave the task, to be
+compared exactly; components that get linked need no further pairs, and the number grows from round to
+round until none was held back, so no link is lost. Components come by repeated smallest-neighbour steps with
 pointer jumps; each step is fixed in the shared folder. Nothing of it goes through the driver.
 
 Null or empty text, or text without words: an empty set, linked with nothing. Rows of equal id are one
@@ -36,8 +39,10 @@ BANDS = 40
 ROWS = 5
 SKETCH_LONGS = 8
 #: Deviations of the sketch's estimate below the threshold at which a pair is still compared.
-SLACK = 6.0
+SLACK = 5.0
 BLOCK = 512
+#: Closest members of other components that a member is compared with in the first round; then ever more.
+CLOSEST = 2
 
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -97,11 +102,12 @@ class Signer:
 
 def most_bits(threshold: int, samples: int) -> int:
     """Bits in which the sketches of sets at the threshold may differ, with the slack."""
-    share = threshold / 100
-    differing = samples * (1 - share) + SLACK * np.sqrt(samples * share * (1 - share))
-    size = 64 * SKETCH_LONGS
-    expected = size / 2 * (1 - np.exp(-4 * differing / size))
-    return int(np.ceil(expected + SLACK * np.sqrt(size) / 4))
+    share, size = threshold / 100, 64 * SKETCH_LONGS
+    differing = samples * (1 - share)
+    flat = np.exp(-4 * differing / size)
+    from_values = 2 * flat * np.sqrt(samples * share * (1 - share))
+    from_bits = 2 * np.sqrt(2 * differing**2 / size)  # two values on one bit undo each other
+    return int(np.ceil(size / 2 * (1 - flat) + SLACK * np.hypot(from_values, from_bits)))
 
 
 def signed(rows: DataFrame, width: int, bands: int, band_rows: int) -> DataFrame:
@@ -176,11 +182,14 @@ def labels_of(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, most: int, block: int) -> DataFrame:
+def left_over(
+    members: DataFrame, labels: DataFrame, classes: DataFrame, most: int, block: int, closest: int
+) -> DataFrame:
     """Pairs within buckets that still hold several components, whose sketches are close enough.
 
     members: key, doc_id, center, n. The members of a bucket are dealt to blocks, and each pair of blocks
-    is one small group of rows; a member goes to as many groups as its bucket has blocks.
+    is one small group of rows; a member goes to as many groups as its bucket has blocks. Of each member
+    the `closest` pairs with other components are given; a row of nulls says that some were held back.
     """
     named = members.filter("n > 2").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "label", F.coalesce("label", "doc_id")
@@ -197,7 +206,7 @@ def left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, most: i
         .sortWithinPartitions("key", "i", "j")
     )
 
-    def pairs_of(rows: list[dict]) -> Iterator[tuple[int, int]]:
+    def pairs_of(rows: list[dict]) -> Iterator[tuple[int | None, int | None]]:
         first = [r for r in rows if r["own"] == rows[0]["i"]]
         second = first if rows[0]["i"] == rows[0]["j"] else [r for r in rows if r["own"] == rows[0]["j"]]
         if not first or not second:
@@ -211,12 +220,16 @@ def left_over(members: DataFrame, labels: DataFrame, classes: DataFrame, most: i
             near = (far <= most) & (labels_ != r["label"]) & (ids != r["center"])
             if first is second:
                 near &= ids > r["doc_id"]
-            for other in ids[near].tolist():
+            at = np.flatnonzero(near)
+            at = at[np.argsort(far[at], kind="stable")]
+            for other in ids[at[:closest]].tolist():
                 yield min(r["doc_id"], other), max(r["doc_id"], other)
+            if len(at) > closest:
+                yield None, None
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[dict] = []
-        found: set[tuple[int, int]] = set()
+        found: set[tuple] = set()
 
         def flushed() -> pa.RecordBatch:
             made = pa.RecordBatch.from_pydict({"a": [a for a, _ in found], "b": [b for _, b in found]}, schema=PAIR)
@@ -262,25 +275,43 @@ def near_duplicates(
         )
     )
     buckets = classes.select("doc_id", F.explode("bands").alias("key"))
-    centers = buckets.groupBy("key").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = pin(buckets.join(centers, "key"))
-    star = members.filter("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = pin(buckets.join(sizes, "key"))
+    rank = shared.groupBy("doc_id").agg(F.sum("n").alias("shared"))
+    centers = (
+        shared.select("key", "doc_id")
+        .join(rank, "doc_id")
+        .groupBy("key")
+        .agg(F.max(F.struct("shared", (-F.col("doc_id")).alias("minus"))).alias("top"))
+        .select("key", (-F.col("top.minus")).alias("center"))
+    )
+    members = pin(shared.join(centers, "key"))
+    star = members.filter("doc_id <> center").select(F.least("center", "doc_id").alias("a"), F.greatest("center", "doc_id").alias("b")).distinct()
     sketch_a = classes.select(F.col("doc_id").alias("a"), F.col("sketch").alias("s"))
     sketch_b = classes.select(F.col("doc_id").alias("b"), F.col("sketch").alias("t"))
     close = star.join(sketch_b, "b").join(sketch_a, "a").filter(differing("s", "t") <= most).select("a", "b")
     texts = rows.filter(F.col("doc_id").isNotNull())
-    edges = pin(verified(pin(close), texts, width, threshold))
+    close = pin(close)
+    edges = pin(verified(close, texts, width, threshold))
     labels = labels_of(edges)
-    more = pin(left_over(members, labels, classes, most, block))
-    if more.limit(1).count():
-        edges = pin(edges.union(verified(more, texts, width, threshold)).distinct())
-        labels = labels_of(edges)
+    tested = close
+    closest = CLOSEST
+    while True:
+        found = pin(left_over(members, labels, classes, most, block, closest))
+        new = pin(found.filter("a is not null").join(tested, ["a", "b"], "left_anti"))
+        if new.limit(1).count():
+            edges = pin(edges.union(verified(new, texts, width, threshold)).distinct())
+            labels = labels_of(edges)
+            tested = tested.union(new)
+        if not found.filter("a is null").limit(1).count():
+            break
+        closest *= 8
     of_set = classes.select("set_hash", F.col("doc_id").alias("node")).join(labels, "node", "left")
     of_set = of_set.select("set_hash", F.coalesce("label", "node").alias("component_id"))
-    found = own.select("doc_id", "n_shingles", "set_hash").join(of_set, "set_hash", "left")
+    placed = own.select("doc_id", "n_shingles", "set_hash").join(of_set, "set_hash", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
-    return found.select(
+    return placed.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
