@@ -43,3 +43,25 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
+
+ORACLE["op2_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS w
+  FROM documents
+),
+starts AS (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+counted AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY seq) AS n
+  FROM (SELECT rid, i, array_to_string(w[i:i + 34], ' ') AS seq FROM starts)
+),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS k FROM counted WHERE n > 1),
+placed AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d WHERE len(w) > 0),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY k) AS text, count(*) AS n
+  FROM placed ANTI JOIN gone USING (rid, k) GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
