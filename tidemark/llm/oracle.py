@@ -65,3 +65,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
   sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid)
 """
+
+ORACLE["op3_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') END AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id
+),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)
+),
+steps AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS r FROM d
+  UNION
+  SELECT reached.doc_id, steps.b FROM reached JOIN steps ON reached.r = steps.a
+),
+components AS (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN components USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
