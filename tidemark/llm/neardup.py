@@ -3,16 +3,18 @@
 Sets are the distinct word shingles of a text. Documents of equal sets are one class. Each class has
 `BANDS` x `ROWS` MinHash values. Equal bands make buckets; the values folded into a bitmap by parity
 make its odd sketch, in which two sets differ in about as many bits as their samples do, so the XOR's
-population count tells high similarities apart. Pairs that the sketches leave are compared on whole
+population count tells high similarities apart. A second parity bitmap of the whole set never shows more
+differing bits than the sets differ in elements, so it rules pairs out for certain; it is sharp for sets up
+to some hundreds of shingles, the sketch for larger ones. Pairs that the sketches leave are compared on whole
 sets, so links are exact; at the threshold a pair misses all bands with probability 1e-7.
 
 Buckets are not expanded into pairs. First every member is compared with one center of the bucket, the
 class whose bands are shared most: copies that were edited each in their own way are all nearest to
 the text they came from. That links most groups of copies. Then only buckets that still hold several
-components are looked at. Their members are compared by sketch in blocks of bounded size, in Python,
-and of the pairs that pass only each member's closest few in other components leave the task, to be
-compared exactly; components that get linked need no further pairs, and the number grows from round to
-round until none was held back, so no link is lost. Components come by repeated smallest-neighbour steps with
+components are looked at. Members outside the largest component of the bucket are compared with
+all of it by size and bitmaps, in blocks of bounded size, in Python, and of the pairs that pass only the closest few
+of each such member leave the task, to be compared exactly; components that get linked need no further
+pairs, and the number grows from round to round until none was held back, so no link is lost. Components come by repeated smallest-neighbour steps with
 pointer jumps; each step is fixed in the shared folder. Nothing of it goes through the driver.
 
 Null or empty text, or text without words: an empty set, linked with nothing. Rows of equal id are one
@@ -38,11 +40,15 @@ THRESHOLD = 80
 BANDS = 40
 ROWS = 5
 SKETCH_LONGS = 8
+#: Bitmap of the whole set.
+PARITY_LONGS = 16
 #: Deviations of the sketch's estimate below the threshold at which a pair is still compared.
 SLACK = 5.0
 BLOCK = 512
 #: Closest members of other components that a member is compared with in the first round; then ever more.
-CLOSEST = 2
+CLOSEST = 16
+#: Factor of that number from round to round.
+GROWTH = 64
 
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -53,6 +59,7 @@ SIGNED = pa.schema(
         ("set_hash", pa.binary()),
         ("bands", pa.list_(pa.int64())),
         ("sketch", pa.list_(pa.int64())),
+        ("parity", pa.list_(pa.int64())),
     ]
 )
 
@@ -67,6 +74,13 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(common.rolling(words, min(width, len(words)))) if len(words) else words
 
 
+def odd_bits(values: np.ndarray, longs: int) -> np.ndarray:
+    """A bitmap in which each value flips the bit it hashes to."""
+    bits = common.mixed(values) % np.uint64(64 * longs)
+    odd = (np.bincount(bits.astype(np.int64), minlength=64 * longs) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 class Signer:
     """MinHash values by multiply-add hashes of fixed seeds."""
 
@@ -94,10 +108,7 @@ class Signer:
 
     def sketch(self, values: np.ndarray) -> np.ndarray:
         """The parity bitmap: each value flips the bit it hashes to."""
-        size = 64 * SKETCH_LONGS
-        bits = common.mixed(values + self.place) % np.uint64(size)
-        odd = (np.bincount(bits.astype(np.int64), minlength=size) & 1).astype(np.uint8)
-        return np.packbits(odd, bitorder="little").view(np.int64)
+        return odd_bits(values + self.place, SKETCH_LONGS)
 
 
 def most_bits(threshold: int, samples: int) -> int:
@@ -123,21 +134,27 @@ def signed(rows: DataFrame, width: int, bands: int, band_rows: int) -> DataFrame
                 values = signer.values(shingles)
                 out["bands"].append(signer.band_keys(values))
                 out["sketch"].append(signer.sketch(values))
+                out["parity"].append(odd_bits(shingles, PARITY_LONGS))
             else:
                 out["bands"].append([])
                 out["sketch"].append([])
+                out["parity"].append([])
         return out
 
     return rows.mapInArrow(
         common.per_batch(sign, SIGNED),
-        "doc_id long, n_shingles long, set_hash binary, bands array<long>, sketch array<long>",
+        "doc_id long, n_shingles long, set_hash binary, bands array<long>, sketch array<long>, parity array<long>",
     )
 
 
-def differing(a: str, b: str) -> Column:
-    """Bits in which two sketches differ."""
+def differing(a: str, b: str, longs: int) -> Column:
+    """Bits in which two bitmaps differ."""
     one, two = F.col(a), F.col(b)
-    return sum(F.bit_count(F.get(one, i).bitwiseXOR(F.get(two, i))) for i in range(SKETCH_LONGS))
+    return sum(F.bit_count(F.get(one, i).bitwiseXOR(F.get(two, i))) for i in range(longs))
+
+
+def bits_apart(many: np.ndarray, one: list[int]) -> np.ndarray:
+    return np.bitwise_count(many ^ np.array(one, np.int64).view(np.uint64)).sum(axis=1).astype(np.int64)
 
 
 def verified(pairs: DataFrame, rows: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -182,46 +199,81 @@ def labels_of(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def with_links(labels: DataFrame, edges: DataFrame, classes: DataFrame) -> DataFrame:
+    """The labels after more links: only the components that the new links touch are joined anew."""
+    nodes = classes.select(F.col("doc_id").alias("node")).join(labels, "node", "left")
+    named = nodes.select("node", F.coalesce("label", "node").alias("label"))
+    of_a = named.select(F.col("node").alias("a"), F.col("label").alias("p"))
+    of_b = named.select(F.col("node").alias("b"), F.col("label").alias("q"))
+    between = edges.join(of_a, "a").join(of_b, "b").filter("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b"))
+    moved = labels_of(between.distinct()).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return pin(named.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+
+
 def left_over(
-    members: DataFrame, labels: DataFrame, classes: DataFrame, most: int, block: int, closest: int
+    members: DataFrame, labels: DataFrame, classes: DataFrame, most: int, threshold: int, block: int, closest: int
 ) -> DataFrame:
     """Pairs within buckets that still hold several components, whose sketches are close enough.
 
-    members: key, doc_id, center, n. The members of a bucket are dealt to blocks, and each pair of blocks
-    is one small group of rows; a member goes to as many groups as its bucket has blocks. Of each member
-    the `closest` pairs with other components are given; a row of nulls says that some were held back.
+    members: key, doc_id, center, n. Of two members in different components one is outside the bucket's
+    largest component; those outside ask, and all members answer. Askers and members are dealt to
+    blocks, and each pair of blocks is one small group of rows. Of each asker and block the `closest`
+    partners are given; a row of nulls says that some were held back.
     """
     named = members.filter("n > 2").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "label", F.coalesce("label", "doc_id")
     )
-    unsettled = named.groupBy("key").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("key")
-    blocks = F.expr(f"cast(ceil(n / {block}) as int)")
-    mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    open_rows = named.join(unsettled, "key").withColumn("blocks", blocks).withColumn("own", mine)
+    parts = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
+    largest = F.max(F.struct("size", (-F.col("label")).alias("minus")))
+    unsettled = (
+        parts.groupBy("key")
+        .agg(largest.alias("top"), F.count(F.lit(1)).alias("parts"))
+        .filter("parts > 1")
+        .select("key", (-F.col("top.minus")).alias("main"), F.col("top.size").alias("main_n"))
+    )
+    asks = F.col("label") != F.col("main")
+    place = F.xxhash64("doc_id")
+    open_rows = (
+        named.join(unsettled, "key")
+        .withColumn("ask_blocks", F.expr(f"cast(ceil((n - main_n) / {block}) as int)"))
+        .withColumn("blocks", F.expr(f"cast(ceil(n / {block}) as int)"))
+        .withColumn("i", F.pmod(place, F.col("ask_blocks")).cast("int"))
+        .withColumn("j", F.pmod(place, F.col("blocks")).cast("int"))
+    )
+    answer = F.transform(
+        F.sequence(F.lit(0), F.col("ask_blocks") - 1), lambda i: F.struct(i.alias("i"), F.col("j"), F.lit(False).alias("asks"))
+    )
+    ask = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.col("i"), j.alias("j"), F.lit(True).alias("asks"))
+    )
+    sent = F.concat(answer, F.when(asks, ask).otherwise(F.slice(ask, 1, 0)))
     dealt = (
-        open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "label", "center")
-        .join(classes.select("doc_id", "sketch"), "doc_id")
+        open_rows.select("key", "doc_id", "label", "center", F.inline(sent))
+        .join(classes.select("doc_id", "n_shingles", "sketch", "parity"), "doc_id")
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
     )
 
     def pairs_of(rows: list[dict]) -> Iterator[tuple[int | None, int | None]]:
-        first = [r for r in rows if r["own"] == rows[0]["i"]]
-        second = first if rows[0]["i"] == rows[0]["j"] else [r for r in rows if r["own"] == rows[0]["j"]]
-        if not first or not second:
+        answers = [r for r in rows if not r["asks"]]
+        if not answers:
             return
-        ids, labels_ = np.array([r["doc_id"] for r in second]), np.array([r["label"] for r in second])
-        sketches = np.array([r["sketch"] for r in second], np.int64).view(np.uint64)
-        for r in first:
-            if r["doc_id"] == r["center"]:
+        ids, labels_ = np.array([r["doc_id"] for r in answers]), np.array([r["label"] for r in answers])
+        sizes = np.array([r["n_shingles"] for r in answers])
+        sketches = np.array([r["sketch"] for r in answers], np.int64).view(np.uint64)
+        parities = np.array([r["parity"] for r in answers], np.int64).view(np.uint64)
+        for r in rows:
+            if not r["asks"] or r["doc_id"] == r["center"]:
                 continue
-            far = np.bitwise_count(sketches ^ np.array(r["sketch"], np.int64).view(np.uint64)).sum(axis=1)
-            near = (far <= most) & (labels_ != r["label"]) & (ids != r["center"])
-            if first is second:
-                near &= ids > r["doc_id"]
+            size = r["n_shingles"]
+            near = (labels_ != r["label"]) & (ids != r["center"])
+            near &= 100 * np.minimum(sizes, size) >= threshold * np.maximum(sizes, size)
             at = np.flatnonzero(near)
-            at = at[np.argsort(far[at], kind="stable")]
+            least = bits_apart(parities[at], r["parity"])
+            at = at[(100 + threshold) * least <= (100 - threshold) * (sizes[at] + size)]
+            far = bits_apart(sketches[at], r["sketch"])
+            at, far = at[far <= most], far[far <= most]
+            at = at[np.argsort(far, kind="stable")]
             for other in ids[at[:closest]].tolist():
                 yield min(r["doc_id"], other), max(r["doc_id"], other)
             if len(at) > closest:
@@ -271,7 +323,11 @@ def near_duplicates(
     named = own.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = pin(
         named.groupBy("set_hash").agg(
-            F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")
+            F.min("doc_id").alias("doc_id"),
+            F.any_value("n_shingles").alias("n_shingles"),
+            F.any_value("bands").alias("bands"),
+            F.any_value("sketch").alias("sketch"),
+            F.any_value("parity").alias("parity"),
         )
     )
     buckets = classes.select("doc_id", F.explode("bands").alias("key"))
@@ -287,25 +343,26 @@ def near_duplicates(
     )
     members = pin(shared.join(centers, "key"))
     star = members.filter("doc_id <> center").select(F.least("center", "doc_id").alias("a"), F.greatest("center", "doc_id").alias("b")).distinct()
-    sketch_a = classes.select(F.col("doc_id").alias("a"), F.col("sketch").alias("s"))
-    sketch_b = classes.select(F.col("doc_id").alias("b"), F.col("sketch").alias("t"))
-    close = star.join(sketch_b, "b").join(sketch_a, "a").filter(differing("s", "t") <= most).select("a", "b")
+    mine = ["doc_id", "n_shingles", "sketch", "parity"]
+    side_a = classes.select(*mine).toDF("a", "m", "s", "p")
+    side_b = classes.select(*mine).toDF("b", "n", "t", "q")
+    sized = 100 * F.least("m", "n") >= threshold * F.greatest("m", "n")
+    bound = (100 + threshold) * differing("p", "q", PARITY_LONGS) <= (100 - threshold) * (F.col("m") + F.col("n"))
+    likely = differing("s", "t", SKETCH_LONGS) <= most
+    close = pin(star.join(side_b, "b").join(side_a, "a").filter(sized & bound & likely).select("a", "b"))
     texts = rows.filter(F.col("doc_id").isNotNull())
-    close = pin(close)
-    edges = pin(verified(close, texts, width, threshold))
-    labels = labels_of(edges)
+    labels = labels_of(verified(close, texts, width, threshold))
     tested = close
     closest = CLOSEST
     while True:
-        found = pin(left_over(members, labels, classes, most, block, closest))
+        found = pin(left_over(members, labels, classes, most, threshold, block, closest))
         new = pin(found.filter("a is not null").join(tested, ["a", "b"], "left_anti"))
         if new.limit(1).count():
-            edges = pin(edges.union(verified(new, texts, width, threshold)).distinct())
-            labels = labels_of(edges)
+            labels = with_links(labels, verified(new, texts, width, threshold), classes)
             tested = tested.union(new)
         if not found.filter("a is null").limit(1).count():
             break
-        closest *= 8
+        closest *= GROWTH
     of_set = classes.select("set_hash", F.col("doc_id").alias("node")).join(labels, "node", "left")
     of_set = of_set.select("set_hash", F.coalesce("label", "node").alias("component_id"))
     placed = own.select("doc_id", "n_shingles", "set_hash").join(of_set, "set_hash", "left")
