@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean_number
 
-PAIRS_PER_PASS = 400
-
 
 def daily_closes(prices: DataFrame, ids: Sequence[str], as_of, days: int = 30) -> DataFrame:
     """Last price per asset and day of the `days` days up to the day of `as_of`."""
@@ -50,27 +47,20 @@ def _ratio(now: Column, before: Column) -> Column:
 
 
 def correlation_pairs(matrix: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each pair of columns over the days both have.
+    """Pearson correlation of each pair of columns over the days both have; null without such days.
 
-    Every pair is one aggregate of a single pass over the matrix, so no pair of rows is formed;
-    long id lists take several passes of `PAIRS_PER_PASS` pairs.
+    Days are joined to themselves, so the plan does not grow with the number of ids and the work is
+    pairs times days.
     """
-    pairs = list(combinations(sorted(ids), 2))
-    out = None
-    for at in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[at : at + PAIRS_PER_PASS]
-        values = matrix.agg(
-            F.array(
-                *[
-                    F.struct(F.lit(a).alias("crypto1"), F.lit(b).alias("crypto2"),
-                             clean_number(F.corr(a, b)).alias("correlation"))
-                    for a, b in chunk
-                ]
-            ).alias("_pairs")
-        )
-        part = values.select(F.inline("_pairs"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    closes = matrix.unpivot("date", list(ids), "crypto1", "v1").withColumn("v1", clean_number("v1"))
+    others = closes.toDF("date", "crypto2", "v2")
+    return (
+        closes.join(others, "date")
+        .filter("crypto1 < crypto2")
+        .groupBy("crypto1", "crypto2")
+        .agg(F.corr("v1", "v2").alias("_r"))
+        .select("crypto1", "crypto2", clean_number("_r").alias("correlation"))
+    )
 
 
 def high_correlation(pairs: DataFrame, threshold: float = 0.8) -> DataFrame:
