@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.session import ship_with_jobs
 
@@ -14,27 +15,29 @@ from tidemark.session import ship_with_jobs
 def map_events(events: DataFrame, function: Callable[[dict], dict], schema: str) -> DataFrame:
     """Apply `function` to each event; adds the text of the event and of its error, if any.
 
-    Rows are processed batch by batch where they lie; order is not kept. `succeeded` and
+    A missing value reaches the function as None. Rows are processed batch by batch where they lie;
+    order is not kept. `succeeded` and
     `failed_letters` give the two halves.
     """
-    names = [f.split()[0] for f in schema.split(",")]
+    fields = StructType.fromDDL(schema)
+    names = fields.names
+    full = StructType([*fields, StructField("_event", StringType()), StructField("_error", StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch.pop("_event").tolist()
             out = []
-            for event, text in zip(batch.to_dict("records"), texts):
+            records = batch.astype(object).where(batch.notna(), None).to_dict("records")
+            for event, text in zip(records, texts):
                 try:
                     result = function(event)
                     out.append([result.get(n) for n in names] + [text, None])
                 except Exception as error:  # any fault of the user function is a dead letter
                     out.append([None] * len(names) + [text, f"{type(error).__name__}: {error}"])
-            yield pd.DataFrame(out, columns=[*names, "_event", "_error"])
+            yield pd.DataFrame(out, columns=full.names)
 
     text = F.to_json(F.struct(*events.columns)).alias("_event")
-    return events.select(*events.columns, text).mapInPandas(
-        run, f"{schema}, _event string, _error string"
-    )
+    return events.select(*events.columns, text).mapInPandas(run, full)
 
 
 def succeeded(mapped: DataFrame) -> DataFrame:
