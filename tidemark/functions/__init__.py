@@ -8,6 +8,7 @@ from tidemark.functions.columns import (
     epoch_seconds,
     parsed_time,
     share_pct,
+    without_nan,
 )
 from tidemark.functions.joins import lookup_join, with_zero_rows
 
@@ -21,4 +22,5 @@ __all__ = [
     "parsed_time",
     "share_pct",
     "with_zero_rows",
+    "without_nan",
 ]

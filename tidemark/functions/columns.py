@@ -19,6 +19,13 @@ def clean_number(c: Column | str) -> Column:
     return F.nanvl(F.col(c) if isinstance(c, str) else c, F.lit(None).cast("double"))
 
 
+def without_nan(df: DataFrame, *columns: str) -> DataFrame:
+    """`df` with NaN as null in those of the columns that are floating point."""
+    there = {f.name: f.dataType.typeName() for f in df.schema}
+    cleaned = {c: clean_number(c) for c in columns if there.get(c) in ("double", "float")}
+    return df.withColumns(cleaned) if cleaned else df
+
+
 def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import at_time, count_where, epoch_seconds, lookup_join, with_zero_rows
+from tidemark.functions import at_time, clean_number, count_where, epoch_seconds, lookup_join, with_zero_rows, without_nan
 from tidemark.operators.series import ROWS_PER_SEGMENT, rolling, segmented
 from tidemark.schema import ALERT_RULES, SEVERITY_COLORS
 from tidemark.session import pin
@@ -19,6 +19,7 @@ def price_alerts(
     prices: DataFrame, threshold: float = 10.0, time: str = "event_timestamp", keep: Sequence[str] = ()
 ) -> DataFrame:
     """PUMP above the threshold, DUMP below its negative, both strict; no change, no alert."""
+    prices = without_nan(prices, "change_24h_pct", "price_usd")
     change = F.col("change_24h_pct")
     kind = F.when(change > threshold, "PUMP").when(change < -threshold, "DUMP")
     way = F.when(F.col("alert_type") == "PUMP", "up").otherwise("down")
@@ -56,7 +57,7 @@ def tiered_alerts(
     for rule_id, name, metric, operator, threshold, severity in rules:
         if metric not in events.columns:
             continue
-        value = F.col(metric).cast("double")
+        value = clean_number(F.col(metric).cast("double"))
         alert = F.struct(
             F.lit(rule_id).alias("rule_id"),
             F.lit(name).alias("name"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions import count_where, parsed_time
+from tidemark.functions import clean_number, count_where, parsed_time
 from tidemark.operators.validation import validate_aggregates, validate_events
 from tidemark.schema import AGGREGATE_EVENT, PRICE_EVENT, TRACKED_IDS
 from tidemark.sources.landed import parsed_once, where_equal
@@ -50,7 +50,7 @@ def replay(
     checked = validate_aggregates(
         events.withColumns({c: parsed_time(c) for c in ("window_start", "window_end")})
     )
-    step, change = F.col("step"), F.col("change_24h_pct")
+    step, change = F.col("step"), clean_number("change_24h_pct")
     storable = F.col("crypto_id").isNotNull() & F.col("timestamp_format")
 
     def passes(condition: Column, name: str) -> Column:

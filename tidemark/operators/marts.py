@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import count_where
+from tidemark.functions import count_where, without_nan
 from tidemark.operators.series import ROWS_PER_SEGMENT, rolling, segmented
 
+NUMBERS = ("price_usd", "change_24h_pct")
+
 
 def window_agg(
     prices: DataFrame, size: str = "1 minute", slide: str | None = None, time: str = "event_timestamp"
@@ -15,7 +17,8 @@ def window_agg(
     """Price aggregates per asset and time window, bounds as plain columns; batch or stream."""
     low, high = F.min("price_usd"), F.max("price_usd")
     return (
-        prices.groupBy("crypto_id", F.window(time, size, slide).alias("_w"))
+        without_nan(prices, *NUMBERS)
+        .groupBy("crypto_id", F.window(time, size, slide).alias("_w"))
         .agg(
             F.avg("price_usd").alias("avg_price"),
             low.alias("min_price"),
@@ -41,7 +44,8 @@ def window_agg(
 def window_ohlc(prices: DataFrame, size: str = "1 minute", time: str = "event_timestamp") -> DataFrame:
     """Open, high, low and close per asset and window."""
     return (
-        prices.groupBy("crypto_id", F.window(time, size).alias("_w"))
+        without_nan(prices, *NUMBERS)
+        .groupBy("crypto_id", F.window(time, size).alias("_w"))
         .agg(
             F.min_by("price_usd", time).alias("open"),
             F.max("price_usd").alias("high"),
@@ -81,6 +85,7 @@ def stg_alerts(alerts: DataFrame) -> DataFrame:
 
 def fct_daily(prices: DataFrame) -> DataFrame:
     low, high = F.min("price_usd"), F.max("price_usd")
+    prices = without_nan(prices, *NUMBERS)
     return prices.groupBy("crypto_id", F.to_date("event_timestamp").alias("trade_date")).agg(
         F.avg("price_usd").cast("double").alias("avg_price"),
         low.alias("min_price"),
@@ -104,6 +109,7 @@ def fct_alerts(alerts: DataFrame) -> DataFrame:
 def _mart_sides(prices: DataFrame, alerts: DataFrame) -> DataFrame:
     """Per asset and day: price aggregates and the number of alerts, each side grouped alone."""
     keys = ["crypto_id", "trade_date"]
+    prices = without_nan(prices, *NUMBERS)
     daily = prices.groupBy("crypto_id", F.to_date("event_timestamp").alias("trade_date")).agg(
         F.avg("price_usd").cast("double").alias("avg_price"),
         F.min("price_usd").alias("min_price"),
