@@ -127,3 +127,25 @@ def test_derived_metrics_volume_counts_empty_hours(spark):
     assert out.volume_ratio.iloc[:3].isna().all()
     assert out.volume_ratio.iloc[3:].tolist() == [6 / (3 / 24)] * 6
     assert out.price_vs_sma.isna().all()
+
+
+def test_nan_fires_nothing_and_leaves_aggregates(spark):
+    from tidemark.operators import deadletters, marts
+    from tidemark.operators.mapping import map_events
+
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [("a", nan, nan), ("a", 2.0, 20.0), ("a", 4.0, None)], "crypto_id string, price_usd double, change_24h_pct double"
+    ).withColumn("event_timestamp", F.expr("timestamp'2026-06-09 10:00:00'"))
+    fired = al.price_alerts(df)
+    assert [(r.alert_type, r.price_usd) for r in fired.collect()] == [("PUMP", 2.0)]
+    assert {r.change_24h_pct for r in al.tiered_alerts(df, keep=("change_24h_pct",)).collect()} == {20.0}
+    window = marts.window_agg(df).first()
+    assert (window.avg_price, window.price_range, window.avg_change_24h, window.record_count) == (3.0, 2.0, 20.0, 3)
+    assert marts.fct_daily(df).first().max_price == marts.daily_mart(df, fired).first().max_price == 4.0
+    letters = spark.createDataFrame(
+        [('{"crypto_id": "a", "change_24h_pct": NaN}', "alert", "a")], "event string, step string, crypto_id string"
+    )
+    assert deadletters.replay(letters, ["a"]).first().outcome == "failed"
+    mapped = map_events(df, lambda e: {"d": "1.5", "none": e["change_24h_pct"] is None}, "d string, none boolean, x decimal(20,8)")
+    assert sorted(r.none for r in mapped.collect()) == [False, True, True]

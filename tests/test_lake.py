@@ -1,5 +1,6 @@
 """Sinks, retention and the composite jobs."""
 
+import time
 from pathlib import Path
 
 import pytest
@@ -40,9 +41,50 @@ def test_write_prunes_and_reads_back(spark, lake):
 
 
 def test_overwrite_touches_only_its_partitions(spark, lake):
-    lake.write(dated(spark, ("2026-06-08", "a", 1), ("2026-06-09", "a", 2)), "raw")
-    lake.write(dated(spark, ("2026-06-09", "a", 5)), "raw", "overwrite")
-    assert rows(lake.read("raw"), "v") == [(1,), (5,)]
+    lake.write(dated(spark, ("2026-06-08", "a", 1), ("2026-06-09", "a", 2)), "prices")
+    lake.write(dated(spark, ("2026-06-09", "a", 5)), "prices", "overwrite")
+    assert rows(lake.read("prices"), "v") == [(1,), (5,)]
+    with pytest.raises(ValueError):
+        lake.write(dated(spark, ("2026-06-09", "a", 5)), "raw", "overwrite")
+
+
+def test_runs_do_not_replace_each_other(spark, lake, tmp_path):
+    runs = [lake.run_of(str(tmp_path / c)) for c in ("one", "two", "one")]
+    assert runs[0] == runs[2] != runs[1]
+    for run, v in zip(runs, (1, 2, 3)):
+        lake.write_batch(dated(spark, ("2026-06-09", "a", v)), "raw", 0, run)
+    lake.write(dated(spark, ("2026-06-09", "a", 4)), "raw")
+    assert rows(lake.read("raw"), "v") == [(2,), (3,), (4,)]
+    with pytest.raises(ValueError):
+        lake.write_batch(dated(spark, ("2026-06-09", "a", 1)), "prices", 0, "r")
+
+
+def test_batch_time_is_that_of_the_first_try(lake):
+    first = lake.batch_time("r", 3)
+    time.sleep(1.1)
+    assert lake.batch_time("r", 3) == first < lake.batch_time("r", 4)
+
+
+def test_ids_that_look_like_numbers_stay_text(spark, lake):
+    lake.write(dated(spark, ("2026-06-01", "007", 1), ("2026-06-08", "010", 2)), "raw")
+    assert rows(lake.read("raw"), "crypto_id") == [("007",), ("010",)]
+    lake.archive("2026-06-02")
+    assert rows(lake.read("archive"), "crypto_id", "v") == [("007", 1)]
+
+
+def test_row_landing_during_archive_stays(spark, lake, monkeypatch):
+    lake.write(dated(spark, ("2026-06-01", "a", 1)), "raw")
+    touch = Lake._touch
+
+    def land(self, path):
+        if path.endswith("copied"):
+            lake.write(dated(spark, ("2026-06-01", "a", 9)), "raw")
+        touch(self, path)
+
+    with monkeypatch.context() as m:
+        m.setattr(Lake, "_touch", land)
+        lake.archive("2026-06-02")
+    assert rows(lake.read("archive"), "v") == [(1,)] and rows(lake.read("raw"), "v") == [(9,)]
 
 
 def test_one_file_per_small_partition(spark, lake):

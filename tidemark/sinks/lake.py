@@ -5,35 +5,45 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.operators.dedup import new_rows, upsert
 from tidemark.schema import TABLES, create_table_sql
 from tidemark.session import apply_settings, pin
 
+# Which run of a query or job wrote the rows, and in which of its batches.
+BATCH = ("run", "batch_id")
+
 # dataset -> partition columns; every report reads what is written here.
 DATASETS: dict[str, tuple[str, ...]] = {
-    "raw": ("date", "crypto_id"),
+    "raw": ("date", "crypto_id", *BATCH),
     "prices": ("date",),
-    "alerts": ("date", "crypto_id", "alert_type"),
-    "alert_history": ("date",),
+    "alerts": ("date", "crypto_id", "alert_type", *BATCH),
+    "alert_history": ("date", *BATCH),
     "aggregations": ("date", "hour"),
-    "partials": ("batch_id",),
-    "dead_letters": ("date", "step"),
-    "step_metrics": ("date", "step"),
+    "partials": ("date", *BATCH),
+    "dead_letters": ("date", "step", *BATCH),
+    "step_metrics": ("date", "step", *BATCH),
     "sla_metrics": ("date", "sla_id"),
     "audit": ("date",),
     "versions": ("date", "step"),
     "daily_summary": ("trade_date",),
-    "archive": ("date", "crypto_id", "run"),
+    "archive": ("date", "crypto_id", "archive_run"),
     "cache": ("expires_on",),
     "reports": ("report", "date"),
 }
 
 
+# Types of partition columns; all others are text, so that an id like 007 stays as it is.
+PARTITION_TYPES = {
+    "date": DateType(), "trade_date": DateType(), "expires_on": DateType(), "hour": IntegerType(), "batch_id": LongType(),
+}
+
+
 @dataclass(frozen=True)
 class Lake:
     """Datasets below one root folder."""
@@ -51,28 +61,61 @@ class Lake:
         return path.getFileSystem(self._hadoop_conf()).exists(path)
 
     def read(self, dataset: str, schema=None) -> DataFrame:
+        """Rows of a dataset. Types of partition columns are fixed, not guessed from their values."""
         reader = self.spark.read.option("mergeSchema", "false")
-        return (reader.schema(schema) if schema else reader).parquet(self.path(dataset))
+        if schema is None:
+            found = reader.parquet(self.path(dataset)).schema
+            typed = {c: PARTITION_TYPES.get(c, StringType()) for c in DATASETS[dataset]}
+            schema = StructType([StructField(f.name, typed.get(f.name, f.dataType)) for f in found])
+        return reader.schema(schema).parquet(self.path(dataset))
 
     def write(self, df: DataFrame, dataset: str, mode: str = "append") -> None:
         """Write rows to their partitions.
 
         The rebalance hint gathers each partition into few files and splits a partition that is
-        much larger than the others, so a hot asset is not written by one task.
+        much larger than the others, so a hot asset is not written by one task. Datasets that are
+        written by batch take these rows as the only batch of a new run.
         """
         apply_settings(self.spark)
         columns = DATASETS[dataset]
+        if "batch_id" in columns:
+            if mode != "append":
+                raise ValueError(f"{dataset} is written by run and batch and is only appended to")
+            return self.write_batch(df, dataset, 0, uuid.uuid4().hex)
         shaped = df.hint("rebalance", *[F.col(c) for c in columns])
         shaped.write.mode(mode).partitionBy(*columns).parquet(self.path(dataset))
 
-    def write_batch(self, df: DataFrame, dataset: str, batch_id: int) -> None:
-        """Write a micro-batch so that writing it again replaces it: one sub-folder per batch."""
+    def write_batch(self, df: DataFrame, dataset: str, batch_id: int, run: str) -> None:
+        """Write a micro-batch so that writing it again replaces it and nothing else.
+
+        The folder is named by the run, which a query keeps in its checkpoint, and the batch.
+        """
         apply_settings(self.spark)
-        columns = list(dict.fromkeys([*DATASETS[dataset], "batch_id"]))
-        marked = df.withColumn("batch_id", F.lit(batch_id))
+        columns = DATASETS[dataset]
+        if "batch_id" not in columns:
+            raise ValueError(f"{dataset} is not written by batch")
+        marked = df.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
         shaped = marked.hint("rebalance", *[F.col(c) for c in columns])
         shaped.write.mode("overwrite").partitionBy(*columns).parquet(self.path(dataset))
 
+    def run_of(self, checkpoint: str) -> str:
+        """The name of the run that a checkpoint belongs to; a new checkpoint gets a new one."""
+        folder = f"{checkpoint}/tidemark"
+        names = self._names(folder)
+        if not names:
+            names = [uuid.uuid4().hex]
+            self._touch(f"{folder}/{names[0]}")
+        return names[0]
+
+    def batch_time(self, run: str, batch_id: int) -> datetime:
+        """When the batch was first begun; the same for every later try. Earlier marks are dropped."""
+        folder = f"{self.root}/batch_times/{run}"
+        mark = self._hadoop_path(f"{folder}/{batch_id}")
+        fs = mark.getFileSystem(self._hadoop_conf())
+        fs.createNewFile(mark)
+        self._delete(f"{folder}/{batch_id - 2}")
+        return datetime.fromtimestamp(fs.getFileStatus(mark).getModificationTime() / 1000, timezone.utc)
+
     def report(self, df: DataFrame, name: str, date: str, mode: str = "overwrite") -> None:
         """One report of one day as JSON; a later run of the same day replaces it."""
         folder = f"{self.path('reports')}/report={name}/date={date}"
@@ -127,43 +170,46 @@ class Lake:
     def archive(self, before: str, dataset: str = "raw", target: str = "archive") -> DataFrame:
         """Move the days before a date to the archive and return the rows moved per day.
 
-        Copy, mark as copied, then delete. A run that stopped is taken up again under its own name:
-        before the mark it copies anew, after it it only deletes, so no row is lost or doubled.
-        Rows that arrive later for an archived day go to a later run.
+        Copy, mark as copied, then delete the files that were copied, whose names the copies carry. A run
+        that stopped is taken up again under its own name: before the mark it copies anew, after it
+        it only deletes, so no row is lost or doubled. Rows that arrive meanwhile or later for an
+        archived day are in other files and go to a later run.
         """
         state = f"{self.root}/{target}_state"
         run, copied = self._open_run(state)
-        old = self.read(dataset).filter(F.col("date") < F.lit(before).cast("date"))
-        old = old.withColumn("run", F.lit(run))
+        placed = self.read(dataset).select("*", F.col("_metadata.file_path").alias("source_file"))
+        old = placed.filter(F.col("date") < F.lit(before).cast("date")).withColumn("archive_run", F.lit(run))
         if not copied:
             self.write(old, target, "overwrite")
             self._touch(f"{state}/{run}.copied")
-        mine = self.read(target, old.schema).filter(F.col("run") == run)
+        mine = self.read(target, old.schema).filter(F.col("archive_run") == run)
         moved = pin(mine.groupBy("date").agg(F.count(F.lit(1)).alias("rows_moved")))
-        for row in moved.select("date").collect():
-            self._delete(f"{self.path(dataset)}/date={row[0]}")
+        self._delete_files(mine)
         self._delete(state)
         return moved
 
     def purge_expired(self, as_of: str) -> int:
-        """Drop expired cache rows: the day of `as_of` is rewritten, earlier days go as a whole."""
-        entries = self.read("cache")
+        """Drop expired cache rows and return their number.
+
+        Only files that hold some are touched: their other rows are written anew before those files
+        go, so rows that land meanwhile stay. A run that stops in between leaves such rows twice.
+        """
+        entries = self.read("cache").select("*", F.col("_metadata.file_path").alias("source_file"))
         now = F.lit(as_of).cast(entries.schema["expires_at"].dataType)
-        gone = entries.filter(F.col("expires_at") < now)
-        counts = {r[0]: r[1] for r in gone.groupBy("expires_on").count().collect()}
-        kept = pin(entries.filter(F.col("expires_on").isin(list(counts)) & (F.col("expires_at") >= now)))
-        partly = {r[0] for r in kept.select("expires_on").distinct().collect()}
-        if partly:
-            self.write(kept, "cache", "overwrite")
-        for day in set(counts) - partly:
-            self._delete(f"{self.path('cache')}/expires_on={day}")
-        return sum(counts.values())
+        gone = pin(
+            entries.filter(F.col("expires_at") < now).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+        )
+        total = gone.agg(F.sum("n")).first()[0] or 0
+        kept = entries.filter((F.col("expires_at") >= now) | F.col("expires_at").isNull())
+        kept = pin(kept.join(gone, "source_file", "left_semi").drop("source_file"))
+        if not kept.isEmpty():
+            self.write(kept, "cache")
+        self._delete_files(gone)
+        return total
 
     def _open_run(self, state: str) -> tuple[str, bool]:
         """The unfinished run named in the state folder, or a new one; and whether it has copied."""
-        folder = self._hadoop_path(state)
-        fs = folder.getFileSystem(self._hadoop_conf())
-        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        names = self._names(state)
         if names:
             run = names[0].split(".")[0]
             return run, f"{run}.copied" in names
@@ -171,6 +217,17 @@ class Lake:
         self._touch(f"{state}/{run}.started")
         return run, False
 
+    def _names(self, path: str) -> list[str]:
+        folder = self._hadoop_path(path)
+        fs = folder.getFileSystem(self._hadoop_conf())
+        return [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+
+    def _delete_files(self, rows: DataFrame) -> None:
+        """Delete the files named in `source_file`; the names come partition by partition."""
+        jvm = self.spark.sparkContext._jvm
+        for row in rows.select("source_file").distinct().toLocalIterator():
+            self._delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row[0])).toString())
+
     def _touch(self, path: str) -> None:
         target = self._hadoop_path(path)
         target.getFileSystem(self._hadoop_conf()).create(target, True).close()

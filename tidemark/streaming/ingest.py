@@ -21,15 +21,17 @@ KEY = ["crypto_id", "event_timestamp"]
 
 
 def ingest_batch(
-    batch: DataFrame, batch_id: int, lake: Lake, tracked: Sequence[str], threshold: float
+    batch: DataFrame, batch_id: int, lake: Lake, tracked: Sequence[str], threshold: float,
+    run: str = "manual",
 ) -> None:
     """One micro-batch into the price, raw, alert and dead-letter datasets.
 
     Everything written carries the batch id or is keyed, so a batch that runs twice leaves one
-    copy. Step metrics are one row per step and batch.
+    copy; its dates come from the time at which it was first begun. Step metrics are one row per step
+    and batch, those of the last try.
     """
     spark = lake.spark
-    now = F.current_timestamp()
+    now = F.lit(lake.batch_time(run, batch_id))
     checked = validate_events(with_event_time(parse_events(batch)), tracked).persist()
     metrics = []
 
@@ -41,27 +43,24 @@ def ingest_batch(
         except Exception:
             metrics.append((step, "all", "failure", time.time() - begun))
             raise
-        finally:
-            frame = spark.createDataFrame(
-                metrics[-1:], "step string, crypto_id string, status string, duration_seconds double"
-            )
-            stamped = frame.withColumns(
-                {"recorded_at": F.current_timestamp(), "date": F.current_date()}
-            )
-            lake.write(stamped, "step_metrics")
 
     try:
         valid, invalid = split(checked)
         timed("validate", lambda: lake.write_batch(
-            dead_letters(invalid, "validate", now), "dead_letters", batch_id))
+            dead_letters(invalid, "validate", now), "dead_letters", batch_id, run))
         arrivals = stored_prices(valid, now).withColumn("_arrival", F.monotonically_increasing_id())
         timed("postgres", lambda: lake.insert_if_absent(arrivals, "prices", KEY, "_arrival"))
         raw = valid.select("raw", "event_timestamp", F.to_date("event_timestamp").alias("date"), "crypto_id")
-        timed("s3", lambda: lake.write_batch(raw, "raw", batch_id))
+        timed("s3", lambda: lake.write_batch(raw, "raw", batch_id, run))
         alerts = price_alerts(valid, threshold).withColumn("date", F.to_date("created_at"))
-        timed("alert", lambda: lake.write_batch(alerts, "alerts", batch_id))
+        timed("alert", lambda: lake.write_batch(alerts, "alerts", batch_id, run))
     finally:
         checked.unpersist()
+        steps = spark.createDataFrame(
+            metrics, "step string, crypto_id string, status string, duration_seconds double"
+        )
+        stamped = steps.withColumns({"recorded_at": now, "date": F.to_date(now)})
+        lake.write_batch(stamped, "step_metrics", batch_id, run)
 
 
 def start_ingestion(
@@ -74,9 +73,10 @@ def start_ingestion(
 ) -> StreamingQuery:
     """Start ingestion of a stream with a `value` column; resumes from its checkpoint."""
     shared_dir(lake.spark)
+    run = lake.run_of(checkpoint)
     return (
         raw.writeStream.foreachBatch(
-            lambda batch, batch_id: ingest_batch(batch, batch_id, lake, tracked, threshold)
+            lambda batch, batch_id: ingest_batch(batch, batch_id, lake, tracked, threshold, run)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))

@@ -57,7 +57,8 @@ def start_suppression(
     same flags and replaces its own output.
     """
     spark = lake.spark
-    state = f"{lake.root}/suppression_state"
+    name = lake.run_of(checkpoint)
+    state = f"{lake.root}/suppression_state/{name}"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         seen = spark.read.parquet(f"{state}/batch={batch_id - 1}") if batch_id else None
@@ -65,7 +66,7 @@ def start_suppression(
         try:
             flagged = suppress_batch(batch, seen, minutes)
             dated = flagged.withColumn("date", F.to_date("triggered_at"))
-            lake.write_batch(dated, "alert_history", batch_id)
+            lake.write_batch(dated, "alert_history", batch_id, name)
             pin(newest(batch, seen)).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
         finally:
             batch.unpersist()

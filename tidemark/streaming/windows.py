@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions import without_nan
 from tidemark.operators.deadletters import dead_letters
-from tidemark.operators.marts import window_agg
+from tidemark.operators.marts import NUMBERS, window_agg
 from tidemark.operators.validation import split, validate_aggregates, validate_events
 from tidemark.schema import TRACKED_IDS
 from tidemark.session import shared_dir
@@ -48,14 +49,14 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
-def store_aggregates(batch: DataFrame, batch_id: int, lake: Lake) -> None:
+def store_aggregates(batch: DataFrame, batch_id: int, lake: Lake, run: str = "manual") -> None:
     """Check a micro-batch of aggregates, quarantine bad ones, merge the others by key."""
     checked = validate_aggregates(batch).persist()
     try:
         valid, invalid = split(checked)
         letters = invalid.withColumn("raw", F.to_json(F.struct(*batch.columns)))
         lake.write_batch(
-            dead_letters(letters, "spark_postgres", F.current_timestamp()), "dead_letters", batch_id
+            dead_letters(letters, "spark_postgres", F.lit(lake.batch_time(run, batch_id))), "dead_letters", batch_id, run
         )
         keyed = valid.select(
             *batch.columns,
@@ -78,10 +79,11 @@ def start_aggregation(
 ) -> StreamingQuery:
     """Window aggregates in update mode, merged into the aggregate table."""
     shared_dir(lake.spark)
+    run = lake.run_of(checkpoint)
     return (
         aggregate_stream(raw, delay, size, tracked=tracked)
         .writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: store_aggregates(batch, batch_id, lake))
+        .foreachBatch(lambda batch, batch_id: store_aggregates(batch, batch_id, lake, run))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
@@ -92,7 +94,8 @@ def start_aggregation(
 def partial_windows(events: DataFrame, size: str = "1 minute") -> DataFrame:
     """Sums and counts from which window aggregates can be merged in any order."""
     return (
-        events.groupBy("crypto_id", F.window("event_timestamp", size).alias("_w"))
+        without_nan(events, *NUMBERS)
+        .groupBy("crypto_id", F.window("event_timestamp", size).alias("_w"))
         .agg(
             F.count(F.lit(1)).alias("record_count"),
             F.sum("price_usd").alias("price_sum"),
@@ -148,9 +151,11 @@ def start_merging(
     def store(batch: DataFrame, batch_id: int) -> None:
         valid, _ = split(validate_events(with_event_time(parse_events(batch)), tracked))
         unique = valid.dropDuplicates(["crypto_id", "event_timestamp"])
-        lake.write_batch(partial_windows(unique, size), "partials", batch_id)
+        dated = partial_windows(unique, size).withColumn("date", F.to_date("window_start"))
+        lake.write_batch(dated, "partials", batch_id, run)
 
     shared_dir(lake.spark)
+    run = lake.run_of(checkpoint)
     return (
         raw.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
