@@ -100,6 +100,19 @@ def from_six(data: bytes) -> np.ndarray:
     return wide.reshape(-1).view(np.uint64)
 
 
+def gaps(keys: np.ndarray) -> bytes:
+    """Sorted keys whose two last bytes are zero: their distances, compressed byte by byte."""
+    steps = np.diff(keys >> np.uint64(16), prepend=np.uint64(0))
+    return small(steps.view(np.uint8).reshape(-1, 8)[:, :6].T)
+
+
+def from_gaps(data: bytes) -> np.ndarray:
+    planes = large(data, np.uint8).reshape(6, -1)
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, :6] = planes.T
+    return np.cumsum(wide.view(np.uint64).reshape(-1), dtype=np.uint64) << np.uint64(16)
+
+
 def to_all(totals: DataFrame, n_chunks: int) -> DataFrame:
     """Rows under negative chunk numbers, summed by number and then given to every chunk, as kind -1."""
     summed_up = totals.filter("chunk < 0").groupBy("chunk").agg(F.sum("part").alias("part"))

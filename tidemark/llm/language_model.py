@@ -90,13 +90,13 @@ class Tokens:
 
 
 def asked(number: int, kind: int, keys: np.ndarray, parts: int, columns: np.ndarray) -> list[dict]:
-    """A question with columns of small counts; pairs, of which there are most, with six bytes a key."""
+    """A question with columns of small counts; pairs, of which there are most, as distances of keys."""
     rows = chunks.asked(number, kind, keys, parts, np.arange(len(keys), dtype=np.int64))
     for row in rows:
         where = np.frombuffer(row["data"], np.int64)
         row["data"] = chunks.small(columns[:, where[0] : where[-1] + 1].astype(np.uint32))
         if kind == PAIRS:
-            row["keys"] = chunks.six_bytes(np.frombuffer(row["keys"], np.uint64))
+            row["keys"] = chunks.gaps(np.frombuffer(row["keys"], np.uint64))
     return rows
 
 
@@ -105,7 +105,7 @@ class Asked:
 
     def __init__(self, table: pa.Table, kind: int) -> None:
         rows = [r for r in table.to_pylist() if r["kind"] == kind]
-        read = chunks.from_six if kind == PAIRS else lambda b: np.frombuffer(b, np.uint64)
+        read = chunks.from_gaps if kind == PAIRS else lambda b: np.frombuffer(b, np.uint64)
         self.part = table.column("part")[0].as_py()
         self.kind = kind
         self.numbers = [r["chunk"] for r in rows]
