@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests import oracle_check as oc
 from tests.llm import brute
-from tidemark.llm import chat, decontaminate, language_model, neardup, packing, pii, quality, queries, secrets, substring
+from tidemark.llm import chat, chunks, decontaminate, language_model, neardup, packing, pii, quality, queries, secrets, substring
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_words long"
@@ -245,3 +245,12 @@ def test_pipeline(spark):
 def test_sql(spark, name):
     ok, note = oc.compare(spark, oc.connect(FOLDER), FOLDER, name)
     assert ok, note
+
+
+def test_packed_keys_and_distinct_values_survive():
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << 48, 1000, dtype=np.uint64)) << np.uint64(16)
+    for some in (keys, keys[:1], keys[:0], np.array([0, 0xFFFFFFFFFFFF0000], np.uint64)):
+        assert (chunks.from_gaps(chunks.gaps(some)) == some).all()
+        values = np.concatenate([some[::-1], some])
+        for got, want in zip(language_model.few_distinct(values), np.unique(values, return_inverse=True)):
+            assert (got == want).all()

@@ -71,6 +71,17 @@ def tables_drawn(customers: np.ndarray, weight: np.ndarray, discount: float, key
     return tables
 
 
+def few_distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and where each value stands among them; only the distinct ones are sorted."""
+    import pandas as pd
+
+    codes, found = pd.factorize(values)
+    order = np.argsort(found)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return found[order], place[codes]
+
+
 class Tokens:
     """The tokens of a chunk: distinct words and pairs, and where each token stands among them."""
 
@@ -80,7 +91,7 @@ class Tokens:
         words = np.concatenate([x for h in hashed for x in (h, [END])]).astype(np.uint64)
         before = np.concatenate([x for h in hashed for x in ([START], h)]).astype(np.uint64)
         pairs = common.mixed(before * PAIR_BASE + words) & np.uint64(0xFFFFFFFFFFFF0000)  # 48 bits are asked with
-        self.words, self.word = np.unique(words, return_inverse=True)
+        self.words, self.word = few_distinct(words)
         self.pairs, first, self.pair = np.unique(pairs, return_index=True, return_inverse=True)
         self.dish = self.word[first]  # of each distinct pair
         # A start is seated as often as an end, so the end's counts serve for it.
