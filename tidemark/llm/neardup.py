@@ -220,9 +220,8 @@ def left_over(
     blocks, and each pair of blocks is one small group of rows. Of each asker and block the `closest`
     partners are given; a row of nulls says that some were held back.
     """
-    named = members.filter("n > 2").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "label", F.coalesce("label", "doc_id")
-    )
+    placed = members.filter("n > 2").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    named = pin(placed.withColumn("label", F.coalesce("label", "doc_id")))  # used twice
     parts = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
     largest = F.max(F.struct("size", (-F.col("label")).alias("minus")))
     unsettled = (
