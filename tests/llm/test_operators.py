@@ -254,3 +254,34 @@ def test_packed_keys_and_distinct_values_survive():
         values = np.concatenate([some[::-1], some])
         for got, want in zip(language_model.few_distinct(values), np.unique(values, return_inverse=True)):
             assert (got == want).all()
+
+
+def test_tables_of_groups_are_drawn():
+    n, size, weight = 400, 3000, 50.0
+    keys = np.random.default_rng(1).integers(0, 1 << 63, n, dtype=np.uint64)
+    got = language_model.tables_drawn(np.full(n, size), np.full(n, weight), 0.8, keys, 0)
+    luck, want = np.random.default_rng(2).random((size, n)), np.ones(n)
+    for seated in range(1, size):
+        want += luck[seated] < weight / (weight + seated - 0.8 * want)
+    assert 0.75 < got.std() / want.std() < 1.35
+    assert abs(got.mean() / want.mean() - 1) < 0.05
+
+
+def test_binomial_numbers_have_their_shares():
+    luck = (np.arange(40_000) + 0.5) / 40_000
+    for n, share in ((2, 0.3), (9, 0.95), (500, 0.02), (100_000, 0.4)):
+        got = language_model.binomial(np.full(len(luck), float(n)), np.full(len(luck), share), luck)
+        assert got.min() >= 0 and got.max() <= n
+        assert abs(got.mean() - n * share) < 0.01 * n * share
+        assert abs(got.var() / (n * share * (1 - share)) - 1) < 0.02
+
+
+def test_language_model_is_seated_anew_twice(given):
+    assert language_model.SWEEPS >= 2
+    trained = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
+    found = [
+        {r["doc_id"]: r["score"] for r in language_model.score(given, trained, **how).collect()}
+        for how in ({"sweeps": 0}, {"sweeps": 1}, {"sweeps": 2}, {}, {"chunk_chars": 40_000})
+    ]
+    assert found[0] != found[1] != found[2]
+    assert all(abs(found[2][i] - x) < 1e-6 for more in found[3:] for i, x in more.items())

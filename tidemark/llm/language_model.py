@@ -4,12 +4,15 @@ Each word is the context of a restaurant whose dishes are the words that follow
 restaurants share one parent, whose base is uniform over the vocabulary and one unknown word. The
 customers of the parent are the tables of its children.
 
-Seatings are drawn by Gibbs sweeps over blocks: of each dish of each restaurant the number of tables is
-drawn anew from its conditional, given the parent's predictive probability and the restaurant's tables
-of the sweep before; then the parent's. Late customers of a dish are seated in groups. `CHAINS` chains run
-side by side, and texts are scored by the mean of their predictive probabilities. A draw depends on
-the dish and the chain only, so every task that needs a seating draws the same one, and a task that
-runs again repeats it.
+First a seating is drawn from a formula in place of a state: the unigram base as the parent's prediction,
+seen**0.8 as the tables of a restaurant. Then come `SWEEPS` Gibbs sweeps over blocks: of each dish of each
+restaurant the customers are seated anew, given the parent's predictive probability and the tables of
+the restaurant in the seating drawn before; then the parent's, given their new tables and the parent's
+tables drawn before. All dishes of a sweep are drawn side by side, so each still meets its own old tables
+in the totals. Late customers of a dish are seated in groups, of whom a binomial number opens tables.
+`CHAINS` chains run side by side, and texts are scored by the mean of their predictive probabilities. A
+draw depends on the dish, the chain and the sweep only, so every task that needs a seating draws the
+same one, and a task that runs again repeats it.
 
 All counts are over all training documents. Texts are dealt to chunks, which ask for their distinct
 words and pairs as packed keys (see `chunks`): frequent words are asked for once by a chunk.
@@ -31,7 +34,8 @@ from tidemark.llm import chunks, common
 from tidemark.llm.neardup import folded
 
 CHAINS = 2
-SWEEPS = 1
+#: Reseatings after the first seating.
+SWEEPS = 2
 #: Discount and strength of the context restaurants and of their parent.
 DISCOUNT, STRENGTH = 0.8, 2.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.6, 10.0
@@ -54,6 +58,36 @@ SCORED = pa.schema(
 )
 
 
+def log_factorial(n: np.ndarray) -> np.ndarray:
+    """By Stirling's series, from 8 numbers further on."""
+    x = n + 9
+    ahead = np.log(np.multiply.reduce([n + k for k in range(1, 9)]))
+    return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) - ahead
+
+
+def binomial(n: np.ndarray, share: np.ndarray, luck: np.ndarray) -> np.ndarray:
+    """Binomial numbers by inversion of `luck`, outward from the mode: steps grow with the deviation only."""
+    share = np.clip(share, 1e-300, 1 - 1e-16)
+    odds = share / (1 - share)
+    mode = np.minimum(np.floor((n + 1) * share), n)
+    logs = log_factorial(n) - log_factorial(mode) - log_factorial(n - mode)
+    top = np.exp(logs + mode * np.log(share) + (n - mode) * np.log1p(-share))
+    out, left = mode.copy(), luck - top
+    ends = [[mode.copy(), top.copy()], [mode.copy(), top.copy()]]
+    live = np.flatnonzero(left >= 0)
+    while len(live):
+        for up, (at, chance) in zip((True, False), ends):
+            k = at[live]
+            chance[live] *= (n[live] - k) / (k + 1) * odds[live] if up else k / ((n[live] - k + 1) * odds[live])
+            at[live] += 1 if up else -1
+            left[live] -= chance[live]
+            hit = left[live] < 0
+            out[live[hit]] = at[live[hit]]
+            live = live[~hit]
+        live = live[np.maximum(ends[0][1][live], ends[1][1][live]) > 1e-18]  # else rounding left some luck over
+    return out
+
+
 def tables_drawn(customers: np.ndarray, weight: np.ndarray, discount: float, keys: np.ndarray, chain: int) -> np.ndarray:
     """Tables of each dish with so many customers, the next of whom opens one by `weight` against the seated."""
     tables = (customers > 0).astype(np.float64)
@@ -63,9 +97,16 @@ def tables_drawn(customers: np.ndarray, weight: np.ndarray, discount: float, key
     while len(live):
         turn += 1
         group = np.minimum(np.maximum(1, np.floor(seated[live] / 8)), customers[live] - seated[live])
-        share = weight[live] / (weight[live] + seated[live] - discount * tables[live])
+        against = seated[live] - discount * tables[live]
+        share = weight[live] / (weight[live] + against)
+        # For a group as it is at its middle, as the share falls on the way.
+        share = weight[live] / (weight[live] + against + (group - 1) / 2 * (1 - discount * share))
         luck = common.mixed(keys[live] + np.uint64((chain * 1_000_003 + turn * 7_919) & common.MASK))
-        tables[live] += np.floor(group * share + luck / 2.0**64)
+        luck = luck / 2.0**64
+        opened = (luck < share).astype(np.float64)
+        many = np.flatnonzero(group > 1)
+        opened[many] = binomial(group[many], share[many], luck[many])
+        tables[live] += opened
         seated[live] += group
         live = live[seated[live] < customers[live]]
     return tables
@@ -100,12 +141,12 @@ class Tokens:
         self.counted = np.repeat(self.trained, self.sizes)
 
 
-def asked(number: int, kind: int, keys: np.ndarray, parts: int, columns: np.ndarray) -> list[dict]:
-    """A question with columns of small counts; pairs, of which there are most, as distances of keys."""
+def asked(number: int, kind: int, keys: np.ndarray, parts: int, columns: np.ndarray, head: bytes = b"") -> list[dict]:
+    """A question with columns of small counts behind a head; pairs, of which there are most, as distances of keys."""
     rows = chunks.asked(number, kind, keys, parts, np.arange(len(keys), dtype=np.int64))
     for row in rows:
         where = np.frombuffer(row["data"], np.int64)
-        row["data"] = chunks.small(columns[:, where[0] : where[-1] + 1].astype(np.uint32))
+        row["data"] = head + chunks.small(columns[:, where[0] : where[-1] + 1].astype(np.uint32))
         if kind == PAIRS:
             row["keys"] = chunks.gaps(np.frombuffer(row["keys"], np.uint64))
     return rows
@@ -114,7 +155,7 @@ def asked(number: int, kind: int, keys: np.ndarray, parts: int, columns: np.ndar
 class Asked:
     """All questions of a kind to a part: distinct keys, and which of them each asked key is."""
 
-    def __init__(self, table: pa.Table, kind: int) -> None:
+    def __init__(self, table: pa.Table, kind: int, head: int = 0) -> None:
         rows = [r for r in table.to_pylist() if r["kind"] == kind]
         read = chunks.from_gaps if kind == PAIRS else lambda b: np.frombuffer(b, np.uint64)
         self.part = table.column("part")[0].as_py()
@@ -122,7 +163,8 @@ class Asked:
         self.numbers = [r["chunk"] for r in rows]
         keys = [read(r["keys"]) for r in rows]
         self.sizes = [len(k) for k in keys]
-        data = [chunks.large(r["data"], np.uint32).reshape(-1, len(k)) for r, k in zip(rows, keys)]
+        self.head = rows[0]["data"][:head] if rows else bytes(head)
+        data = [chunks.large(r["data"][head:], np.uint32).reshape(-1, len(k)) for r, k in zip(rows, keys)]
         self.data = np.concatenate(data, axis=1) if data else np.zeros((1, 0), np.uint32)
         self.keys, self.which = np.unique(chunks.joined(keys), return_inverse=True)
         self.totals = np.array([np.bincount(self.which, weights=c, minlength=len(self.keys)) for c in self.data])
@@ -170,7 +212,7 @@ def score(
 ) -> DataFrame:
     """One row per document: counts, the base score and the model's log10 probability.
 
-    Documents for which `trained` holds are learned from; all are scored.
+    Documents for which `trained` holds are learned from; all are scored. After the first seating come `sweeps` more.
     """
     flag = F.coalesce(trained, F.lit(True)).alias("trained")
     texts, n_chunks = chunks.dealt(docs, id_col, text_col, chunk_chars, flag)
@@ -218,6 +260,12 @@ def score(
         at = 1000 * sweep
         return {k: told.totals.get(k - at, 0) for c in range(chains) for k in (TABLES - c, CUSTOMERS - c)}
 
+    def parent_weights(told: Answers, sweep: int) -> bytes:
+        """By which a customer of the parent opens a table, in each chain, by the parent's tables drawn before."""
+        before = sweep_totals(told, sweep - 1) if sweep else {}
+        tables = np.array([before.get(TABLES - k, 0) for k in range(chains)], np.float64)
+        return ((PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (told.totals.get(DISTINCT, 0) + 1)).tobytes()
+
     def seat(sweep: int):
         def run(table: pa.Table, answers: pa.Table) -> pa.Table:
             if not table.num_rows:
@@ -226,16 +274,23 @@ def score(
             of_pair, owner = told.columns(PAIRS, 2)
             own = [drawn(t, told, of_pair, k, sweep) * owner for k in range(chains)]
             sums = [np.bincount(by, weights=w, minlength=len(t.words)) for by in (t.context, t.dish) for w in own]
-            return chunks.table_of(asked(table.column("chunk")[0].as_py(), STATE + sweep, t.words, parts, np.array(sums)))
+            number = table.column("chunk")[0].as_py()
+            return chunks.table_of(asked(number, STATE + sweep, t.words, parts, np.array(sums), parent_weights(told, sweep)))
 
         return run
 
     def seat_parent(sweep: int):
         def run(table: pa.Table) -> list[dict]:
-            words = Asked(table, STATE + sweep)
-            weight = np.full(len(words.keys), PARENT_STRENGTH / max(1, len(words.keys) * parts))
+            words = Asked(table, STATE + sweep, 8 * chains)
+            weights = np.frombuffer(words.head, np.float64)
             own = [
-                tables_drawn(words.totals[chains + k], weight, PARENT_DISCOUNT, words.keys, k + chains * sweep)
+                tables_drawn(
+                    words.totals[chains + k],
+                    np.full(len(words.keys), weights[k]),
+                    PARENT_DISCOUNT,
+                    words.keys,
+                    k + chains * sweep,
+                )
                 for k in range(chains)
             ]
             rows = words.told(np.vstack([words.totals, *own])[:, words.which])
@@ -251,10 +306,13 @@ def score(
 
     # Dealt by chunk once, so that its uses share one exchange rather than count anew.
     counted = chunks.answer(chunks.ask(texts, ask_counts), count).repartition("chunk")
-    known = with_totals(counted)
-    for sweep in range(sweeps):
+    counts = known = with_totals(counted)
+    for sweep in range(sweeps + 1):
         states = chunks.beside(texts, known, seat(sweep), chunks.ASKED)
-        known = known.union(with_totals(chunks.answer(states, seat_parent(sweep)).repartition("chunk")))
+        state = with_totals(chunks.answer(states, seat_parent(sweep)).repartition("chunk"))
+        # A seating is drawn from the one before it; the last is drawn again where texts are scored.
+        last = known if sweep == sweeps else counts
+        known = last.union(state)
 
     def scored(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -262,13 +320,13 @@ def score(
         t, told = Tokens(table), Answers(answers)
         seen = told.columns(WORDS, 1)[0]
         of_pair = told.columns(PAIRS, 2)[0]
-        state = told.columns(STATE + sweeps - 1, 3 * chains)
-        totals = {**told.totals, **sweep_totals(told, sweeps - 1)}
+        state = told.columns(STATE + sweeps, 3 * chains)
+        totals = {**told.totals, **sweep_totals(told, sweeps)}
         guests = seen[t.context]
         mean = np.zeros(len(t.pairs))
         for k in range(chains):
             # The tables are those that the last state sums up, so that probabilities add up to one.
-            tables = drawn(t, told, of_pair, k, sweeps - 1)
+            tables = drawn(t, told, of_pair, k, sweeps)
             prior = parent(state, totals, k)[t.dish]
             own = np.maximum(of_pair - DISCOUNT * tables, 0) + (STRENGTH + DISCOUNT * state[k][t.context]) * prior
             mean += np.where(guests > 0, own / (STRENGTH + guests), prior) / chains
