@@ -285,3 +285,11 @@ def test_language_model_is_seated_anew_twice(given):
     ]
     assert found[0] != found[1] != found[2]
     assert all(abs(found[2][i] - x) < 1e-6 for more in found[3:] for i, x in more.items())
+
+
+def test_weak_parts_are_linked_in_rows_without_an_id(spark):
+    docs = spark.createDataFrame([(1, SECRET), (None, SECRET), (None, "secret=shorty1")], "doc_id long, text string")
+    found = {(r["doc_id"], r["spans"]) for r in secrets.digests(secrets.scan(docs)).collect()}
+    assert {s for i, s in found if i is None} == {next(s for i, s in found if i == 1), ""}
+    masked = [r["text"] for r in secrets.mask_secrets(docs).collect()]
+    assert not any("alice99" in t for t in masked) and "secret=shorty1" in masked

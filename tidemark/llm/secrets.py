@@ -17,7 +17,7 @@ each role, and a part meets the cell before, its own and the one after. No pairs
 so many parts in one text stay linear. Only parts of texts with weak parts are shuffled, never text.
 
 Null text is empty. Rows are told apart by id and text: repeated rows get equal results, and rows of
-equal id with other texts their own. Equal starts are ordered by kind. Empty table: no rows.
+equal id with other texts their own; null ids count as equal. Equal starts are ordered by kind. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -130,7 +130,9 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
         inside = (first >= F.col("start") - scope) & (first <= F.col("start") + scope)
         return F.coalesce(inside | ((last >= F.col("start") - scope) & (last <= F.col("start") + scope)), F.lit(False))
 
-    met = asked.join(cells, [*key, "cell"]).groupBy(*key, "start", "no", "end", "role").agg(
+    cells = cells.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "cell": "_cell"})
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & (F.col("cell") == F.col("_cell"))
+    met = asked.join(cells, same).groupBy(*key, "start", "no", "end", "role").agg(
         *(F.max(near(r)).alias(f"has_{r}") for r in ROLES)
     )
     complemented = (
