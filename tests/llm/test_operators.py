@@ -287,6 +287,18 @@ def test_language_model_is_seated_anew_twice(given):
     assert all(abs(found[2][i] - x) < 1e-6 for more in found[3:] for i, x in more.items())
 
 
+def test_drop_contaminated_in_shards_judges_each_row(spark):
+    bench = spark.createDataFrame([(1, " ".join(BASE[:40])), (2, " ".join(BASE[50:90]))], "item_id long, text string")
+    bad, clean = " ".join(BASE), " ".join(rng.choice(VOCAB) for _ in range(100))
+    rows = [(None, bad), (None, clean), (None, None), (7, bad), (7, clean), (8, clean), (9, " ".join(BASE[45:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = (
+        sorted(map(tuple, decontaminate.drop_contaminated(docs, bench, n).collect()), key=str)
+        for n in (decontaminate.SHARD_BYTES, 1_000)
+    )
+    assert one == many == sorted([(None, clean), (None, None), (7, clean), (8, clean)], key=str)
+
+
 def test_weak_parts_are_linked_in_rows_without_an_id(spark):
     docs = spark.createDataFrame([(1, SECRET), (None, SECRET), (None, "secret=shorty1")], "doc_id long, text string")
     found = {(r["doc_id"], r["spans"]) for r in secrets.digests(secrets.scan(docs)).collect()}

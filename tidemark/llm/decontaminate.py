@@ -229,5 +229,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shard_bytes: int =
         shared = spark.sparkContext.broadcast(shards[0])
         schema = pa.schema([])
         return docs.mapInArrow(scanner(shared, str(shared._jbroadcast.id()), schema, True), docs.schema)
-    bad = judged(find_overlap(docs, benchmark, shard_bytes=shard_bytes)).filter("contaminated").select("doc_id")
-    return docs.join(bad.distinct(), docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    # Rows are told apart by a number, fixed in the shared folder, as ids may be missing or equal.
+    rows = common.written(docs.withColumn("_row", F.monotonically_increasing_id()))
+    found = judged(find_overlap(rows, benchmark, id_col="_row", shard_bytes=shard_bytes))
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("_bad"))
+    return rows.join(bad, F.col("_row") == F.col("_bad"), "left_anti").drop("_row")
