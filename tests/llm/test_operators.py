@@ -287,6 +287,16 @@ def test_language_model_is_seated_anew_twice(given):
     assert all(abs(found[2][i] - x) < 1e-6 for more in found[3:] for i, x in more.items())
 
 
+@pytest.mark.parametrize("n", [60, 99, 100, 150])
+def test_quality_keeps_a_small_source_of_its_own_style(spark, n):
+    plain = [(i, " ".join(rng.choice(VOCAB) for _ in range(60)), "en", "a") for i in range(400)]
+    code = [(1000 + i, " ".join(rng.choice(VOCAB) + "##" for _ in range(60)), "en", "code") for i in range(n)]
+    few = [(5000 + i, " ".join(rng.choice(VOCAB) + "##" for _ in range(60)), "en", "b") for i in range(3)]
+    docs = spark.createDataFrame(plain + code + few, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"] for r in quality.keep_good(docs).collect()}
+    assert kept == {r[0] for r in plain + code}
+
+
 def test_drop_contaminated_in_shards_judges_each_row(spark):
     bench = spark.createDataFrame([(1, " ".join(BASE[:40])), (2, " ".join(BASE[50:90]))], "item_id long, text string")
     bad, clean = " ".join(BASE), " ".join(rng.choice(VOCAB) for _ in range(100))

@@ -9,8 +9,9 @@ own. From the sketch of a (language, source) come median and quartiles, from the
     median + REACH * max(median - lower quartile, grain)
 
 Each side uses the half of the distribution that lies on the other side, so that junk, which
-stretches one tail, doesn't widen the limit that should catch it. Sources with fewer than
-`least_docs` documents take the merged sketch of their language, languages with fewer that of all.
+stretches one tail, doesn't widen the limit that should catch it. The sketch of every language is merged
+with that of all, scaled to `prior_docs` documents, and the sketch of every source with the merged one of
+its language, scaled alike: the smaller a source, the nearer its limits are to its language's.
 The limits are joined to the measures, and a document outside any of them is rejected.
 
 Null text has no words and fails the base rule. Null language or source is a group like any other.
@@ -23,14 +24,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.llm import common
 from tidemark.session import pin
 
 LEAST_WORDS = 10
 MOST_REPEATED = 20
-LEAST_DOCS = 100
+#: Documents that the sketch of the whole counts for beside that of its part.
+PRIOR_DOCS = 20
 REACH = 8
 #: Measure: the smallest spread that counts (thousandths; hundredths of a character for word_length).
 GRAIN = {"symbols": 5, "word_length": 10, "dup_lines": 40, "repeats": 25, "capitals": 15}
@@ -136,34 +137,47 @@ def sketches(counts: DataFrame) -> DataFrame:
     )
 
 
-def quartiles(sketch: DataFrame, *by: str) -> DataFrame:
-    """The quartiles of each merged sketch: the first bucket that reaches the share."""
-    keys = [*by, "measure"]
-    merged = sketch.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
-    up_to = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    reached = merged.select(
-        *keys, "bucket", F.sum("n").over(up_to).alias("at"), F.sum("n").over(Window.partitionBy(*keys)).alias("docs")
-    )
-    return reached.groupBy(*keys).agg(
-        *(F.min(F.when(4 * F.col("at") >= k * F.col("docs"), F.col("bucket"))).alias(f"q{k}") for k in (1, 2, 3)),
-        F.max("docs").alias("docs"),
-    )
+def merged(sketch: DataFrame, *by: str) -> DataFrame:
+    """A row for each merged sketch: its buckets with their counts, of which there are few, and all documents."""
+    counts = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
+    pair = F.struct("bucket", F.col("n").cast("double").alias("n"))
+    return counts.groupBy(*by, "measure").agg(F.collect_list(pair).alias("sketch"), F.sum("n").alias("docs"))
+
+
+def scaled(sketch: Column, docs: Column, to: float) -> Column:
+    return F.transform(sketch, lambda x: F.struct(x["bucket"].alias("bucket"), (x["n"] * to / docs).alias("n")))
+
 
+def quartiles(sketch: Column, docs: Column) -> Column:
+    """The quartiles q1 to q3: the first bucket that reaches the share."""
+    names = [f"q{k}" for k in (1, 2, 3)]
 
-def limits(sketch: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+    def step(a: Column, x: Column) -> Column:
+        at = a["at"] + x["n"]
+        reached = (F.coalesce(a[q], F.when(4 * at >= k * docs, x["bucket"])).alias(q) for k, q in enumerate(names, 1))
+        return F.struct(at.alias("at"), *reached)
+
+    none = F.lit(None).cast("long")
+    return F.aggregate(F.array_sort(sketch), F.struct(F.lit(0.0).alias("at"), *(none.alias(q) for q in names)), step)
+
+
+def limits(sketch: DataFrame, prior_docs: float = PRIOR_DOCS) -> DataFrame:
     """One row for each language and source: the lower and upper limit of each measure."""
-    parts = [quartiles(sketch, "lang", "source"), quartiles(sketch, "lang"), quartiles(sketch)]
+    parts = [merged(sketch, "lang", "source"), merged(sketch, "lang"), merged(sketch)]
     a, b, c = (p.select(*[F.col(x).alias(f"{x}{i}") for x in p.columns]) for i, p in enumerate(parts))
-    chosen = a.join(b, a["lang0"].eqNullSafe(b["lang1"]) & (a["measure0"] == b["measure1"])).join(
-        c, a["measure0"] == c["measure2"]
+    prior = scaled(F.col("sketch2"), F.col("docs2"), prior_docs)
+    languages = b.join(c, b["measure1"] == c["measure2"]).select(
+        "lang1",
+        "measure1",
+        scaled(F.concat("sketch1", prior), F.col("docs1") + prior_docs, prior_docs).alias("prior1"),
+    )
+    same = F.col("lang0").eqNullSafe(F.col("lang1")) & (F.col("measure0") == F.col("measure1"))
+    chosen = a.join(languages, same).withColumn(
+        "_q", quartiles(F.concat("sketch0", "prior1"), F.col("docs0") + prior_docs)
     )
 
     def q(k: int) -> Column:
-        return (
-            F.when(F.col("docs0") >= least_docs, F.col(f"q{k}0"))
-            .when(F.col("docs1") >= least_docs, F.col(f"q{k}1"))
-            .otherwise(F.col(f"q{k}2"))
-        )
+        return F.col("_q")[f"q{k}"]
 
     grain = reduce(lambda w, kv: w.when(F.col("measure0") == kv[0], F.lit(kv[1])), GRAIN.items(), F.when(F.lit(False), 0))
     fences = chosen.select(
@@ -190,14 +204,14 @@ def judged(counts: DataFrame, limit: DataFrame) -> DataFrame:
     return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
 
 
-def judge(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+def judge(docs: DataFrame, prior_docs: float = PRIOR_DOCS) -> DataFrame:
     """One row per document: its counts, base_failed and kept. The texts are read once."""
     rows = docs.select("doc_id", "text", "lang", "source")
     counts = pin(counted(rows).drop("text"))
-    return judged(counts, limits(sketches(counts), least_docs))
+    return judged(counts, limits(sketches(counts), prior_docs))
 
 
-def keep_good(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+def keep_good(docs: DataFrame, prior_docs: float = PRIOR_DOCS) -> DataFrame:
     """The documents that pass, with all their columns.
 
     Rows are written once with their counts beside them, so that a filter on the counts isn't pushed
@@ -205,4 +219,4 @@ def keep_good(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     counts = common.written(counted(docs.select(row, "text", "lang", "source")).drop("text"))
-    return judged(counts, limits(sketches(counts), least_docs)).filter("kept").select("_row.*")
+    return judged(counts, limits(sketches(counts), prior_docs)).filter("kept").select("_row.*")
