@@ -6,7 +6,9 @@ make its odd sketch, in which two sets differ in about as many bits as their sam
 population count tells high similarities apart. A second parity bitmap of the whole set never shows more
 differing bits than the sets differ in elements, so it rules pairs out for certain; it is sharp for sets up
 to some hundreds of shingles, the sketch for larger ones. Pairs that the sketches leave are compared on whole
-sets, so links are exact; at the threshold a pair misses all bands with probability 1e-7.
+sets, so no false link is made. A true link can be missed: at the threshold a pair misses all bands with
+probability 1e-7, and the odd sketch rejects it with some 3e-7 (`SLACK`, 5 deviations of a normal estimate). The
+limit was 6 deviations and was tightened for fewer candidate pairs. A pair so rejected isn't asked for again.
 
 Buckets are not expanded into pairs. First every member is compared with one center of the bucket, the
 class whose bands are shared most: copies that were edited each in their own way are all nearest to
@@ -14,7 +16,7 @@ the text they came from. That links most groups of copies. Then only buckets tha
 components are looked at. Members outside the largest component of the bucket are compared with
 all of it by size and bitmaps, in blocks of bounded size, in Python, and of the pairs that pass only the closest few
 of each such member leave the task, to be compared exactly; components that get linked need no further
-pairs, and the number grows from round to round until none was held back, so no link is lost. Components come by repeated smallest-neighbour steps with
+pairs, and the number grows from round to round until none was held back, so this loses no further link. Components come by repeated smallest-neighbour steps with
 pointer jumps; each step is fixed in the shared folder. Nothing of it goes through the driver.
 
 Null or empty text, or text without words: an empty set, linked with nothing. Rows of equal id are one
