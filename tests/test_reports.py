@@ -330,12 +330,17 @@ def test_gap_gives_no_return(spark):
     assert [r.a for r in wide.filter("a is not null").orderBy("date").collect()] == [1.0, 1.0]
 
 
-def test_many_pairs_take_several_passes(spark, monkeypatch):
-    monkeypatch.setattr(corr, "PAIRS_PER_PASS", 2)
+def test_every_pair_is_correlated(spark):
     c = closes(spark, a=[1.0, 2.0, 3.0], b=[1.0, 3.0, 2.0], c=[3.0, 1.0, 2.0])
     assert corr.correlation_pairs(corr.price_matrix(c, list("abc"), NOW, 10), list("abc")).count() == 3
 
 
+def test_many_ids_give_all_pairs(spark):
+    ids = [f"c{i:03d}" for i in range(40)]
+    c = closes(spark, **{k: [1.0, 2.0 + i, 3.0 + i * i] for i, k in enumerate(ids)})
+    assert corr.correlation_pairs(corr.price_matrix(c, ids, NOW, 10), ids).count() == 40 * 39 // 2
+
+
 def test_sentiment(spark):
     lines = {
         "up": ["Bitcoin surges to new record high", "Bullish rally as prices gain"],
