@@ -94,3 +94,64 @@ components AS (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_i
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN components USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+ORACLE["op12_hard_negatives"] = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scores AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, x.r AS r, x.vec_id, x.label = a.label AS same,
+    CAST(list_inner_product(a.v, x.v) AS BIGINT) AS score
+  FROM rows a JOIN rows x ON x.r <> a.r WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT a, anchor_id, r AS p, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, r) <= 5
+),
+ranked AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p.p ORDER BY s.score DESC, s.vec_id, s.r) AS rank
+  FROM positives p JOIN scores s ON s.a = p.a
+  WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10
+"""
+
+ORACLE["op13_fill_in_middle"] = r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+drawn AS (
+  SELECT doc_id, text, u, len(u) AS n,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS x,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS y,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed
+),
+pieces AS (
+  SELECT doc_id, text, n, form,
+    array_to_string(u[1:least(x, y)], '') AS prefix,
+    array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS middle,
+    array_to_string(u[greatest(x, y) + 1:n], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM pieces
+"""

@@ -14,9 +14,13 @@ from tidemark.llm import (
     chunks,
     common,
     decontaminate,
+    fill_middle,
+    hard_negatives,
     langid,
     language_model,
+    multi_index,
     neardup,
+    neighbours,
     packing,
     pii,
     quality,
@@ -24,7 +28,10 @@ from tidemark.llm import (
     substring,
 )
 
-for _module in (chunks, common, decontaminate, langid, language_model, neardup, packing, pii, substring):
+for _module in (
+    chunks, common, decontaminate, fill_middle, hard_negatives, langid, language_model, multi_index, neardup, neighbours,
+    packing, pii, substring,
+):
     session.ship_with_jobs(_module.__name__)
 
 
@@ -92,6 +99,25 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, folder, "documents"))
+    text = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
@@ -103,4 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
