@@ -101,6 +101,66 @@ def test_upsert(spark, lake):
     assert rows(lake.read("daily_summary"), "crypto_id", "v") == [("a", 1), ("a", 9), ("b", 3)]
 
 
+def test_upsert_writes_its_own_rows_only(spark, lake):
+    ddl = "crypto_id string, trade_date date, v int"
+    day = spark.sql("select date'2026-06-08' d").first().d
+    keys = ["crypto_id", "trade_date"]
+    lake.upsert(spark.createDataFrame([(c, day, i) for i, c in enumerate("abcd")], ddl), "daily_summary", keys, 0, "r")
+    before = set(Path(lake.path("daily_summary")).rglob("*.parquet"))
+    for _ in range(2):  # a repeated batch replaces itself
+        lake.upsert(spark.createDataFrame([("b", day, 9), ("e", day, 5)], ddl), "daily_summary", keys, 1, "r")
+    after = set(Path(lake.path("daily_summary")).rglob("*.parquet"))
+    assert before < after and lake.stored("daily_summary").count() == 6
+    want = [("a", 0), ("b", 9), ("c", 2), ("d", 3), ("e", 5)]
+    assert rows(lake.read("daily_summary"), "crypto_id", "v") == want
+    plan = lake.read("daily_summary").filter(F.col("trade_date") == F.lit(day))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in plan
+    with pytest.raises(ValueError):
+        lake.upsert(spark.createDataFrame([("b", day, 9)], ddl), "raw", keys)
+
+
+@pytest.mark.parametrize("stopped", [False, True])
+def test_compaction_leaves_one_row_per_key(spark, lake, monkeypatch, stopped):
+    ddl = "crypto_id string, trade_date date, v int"
+    days = spark.sql("select date'2026-06-08' a, date'2026-06-09' b").first()
+    for batch, data in enumerate([[("a", days.a, 1), ("b", days.a, 2)], [("a", days.a, 7)], [("c", days.b, 3)]]):
+        lake.upsert(spark.createDataFrame(data, ddl), "daily_summary", ["crypto_id", "trade_date"], batch, "r")
+    want = [("a", 7), ("b", 2), ("c", 3)]
+    if stopped:
+        with monkeypatch.context() as m:
+            m.setattr(Lake, "_delete_files", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                lake.compact("daily_summary")
+        assert rows(lake.read("daily_summary"), "crypto_id", "v") == want
+    assert lake.compact("daily_summary") >= 2
+    assert rows(lake.stored("daily_summary"), "crypto_id", "v") == want == rows(lake.read("daily_summary"), "crypto_id", "v")
+    lake.upsert(spark.createDataFrame([("a", days.a, 8)], ddl), "daily_summary", ["crypto_id", "trade_date"], 3, "r")
+    assert rows(lake.read("daily_summary"), "crypto_id", "v")[0] == ("a", 8)
+
+
+def test_new_and_emptied_datasets_read_as_no_rows(spark, lake):
+    assert lake.read("raw").count() == 0 and set(DATASETS["raw"]) <= set(lake.read("raw").columns)
+    assert lake.archive("2026-06-02").count() == 0 and lake.purge_expired("2026-06-09 12:00:00") == 0
+    lake.write(dated(spark, ("2026-06-01", "a", 1)), "raw")
+    for moved in (1, 0, 0):  # the first run empties the dataset
+        assert sum(r.rows_moved for r in lake.archive("2026-06-02").collect()) == moved
+    assert lake.read("raw").count() == 0 and lake.read("raw").schema["v"].dataType.simpleString() == "int"
+    lake.write(dated(spark, ("2026-06-09", "b", 2)).withColumn("w", F.lit(1.5)), "raw")
+    assert rows(lake.read("raw"), "crypto_id", "v", "w") == [("b", 2, 1.5)]
+    assert rows(lake.read("archive"), "v") == [(1,)]
+
+
+def test_insert_reads_the_days_that_come_in(spark, lake):
+    lake.write(dated(spark, *[(f"2026-06-{d:02d}", "a", d) for d in range(1, 20)]), "prices")
+    incoming = dated(spark, ("2026-06-02", "a", 2), ("2026-06-18", "a", 99), ("2026-06-18", "a", 18))
+    known = lake.matching(incoming, "prices", ["crypto_id", "v"])
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and rows(known, "v") == [(18,), (2,)]
+    arrived = incoming.withColumn("_n", F.monotonically_increasing_id())
+    assert [lake.insert_if_absent(arrived, "prices", ["crypto_id", "v"], "_n") for _ in range(2)] == [1, 0]
+    assert lake.read("prices").count() == 20
+
+
 def test_archive_moves_old_days_and_can_be_repeated(spark, lake):
     lake.write(dated(spark, ("2026-06-01", "a", 1), ("2026-06-01", "b", 2), ("2026-06-08", "a", 3)), "raw")
     assert [(str(r.date), r.rows_moved) for r in lake.archive("2026-06-02").collect()] == [("2026-06-01", 2)]
@@ -138,9 +198,27 @@ def test_purge(spark, lake):
     df = spark.createDataFrame([(1, "2026-06-08 10:00:00"), (2, "2026-06-09 11:00:00"), (3, "2026-06-09 13:00:00"), (4, "2026-06-10 00:00:00")], "key int, expires_at string")
     df = df.withColumn("expires_at", F.col("expires_at").cast("timestamp")).withColumn("expires_on", F.to_date("expires_at"))
     lake.write(df, "cache")
+    lake.write(df.filter("key = 4").withColumn("expires_at", F.lit("2026-06-09 14:00:00").cast("timestamp")), "cache")
+    assert rows(lake.read("cache"), "key") == [(1,), (2,), (3,), (4,)]
     assert lake.purge_expired("2026-06-09 12:00:00") == 2
     assert rows(lake.read("cache"), "key") == [(3,), (4,)]
     assert lake.purge_expired("2026-06-09 12:00:00") == 0
+    assert lake.stored("cache").count() == 2
+    assert lake.purge_expired("2026-06-19 12:00:00") == 2 and lake.read("cache").count() == 0
+    assert lake.purge_expired("2026-06-19 12:00:00") == 0
+
+
+def test_purge_killed_between_its_steps(spark, lake, monkeypatch):
+    df = spark.createDataFrame([(1, "2026-06-09 10:00:00"), (2, "2026-06-09 13:00:00")], "key int, expires_at string")
+    df = df.withColumn("expires_at", F.col("expires_at").cast("timestamp")).withColumn("expires_on", F.to_date("expires_at"))
+    lake.write(df.coalesce(1), "cache")
+    with monkeypatch.context() as m:
+        m.setattr(Lake, "_delete_files", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lake.purge_expired("2026-06-09 12:00:00")
+    assert rows(lake.read("cache"), "key") == [(1,), (2,)]  # as before: the expired entry is still there, none is doubled
+    assert lake.purge_expired("2026-06-09 12:00:00") == 1
+    assert rows(lake.stored("cache"), "key") == [(2,)]
 
 
 def test_reports_are_replaced_per_day(spark, lake):

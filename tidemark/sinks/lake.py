@@ -1,17 +1,26 @@
-"""Writers of the lake: one partitioned dataset per kind of row, read back by name."""
+"""Writers of the lake: one partitioned dataset per kind of row, read back by name.
+
+The columns of each dataset are kept beside it, so one that is new, or whose files have all been archived or
+purged, reads as no rows. Keyed datasets are merged when they are read: each load adds its own rows in its own
+files, and of each key the newest row counts. So a load costs its own rows, a load that is repeated or a
+compaction that stops half-way leaves nothing wrong, and no file another writer may read is replaced.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidemark.operators.dedup import new_rows, upsert
+from tidemark.operators.dedup import new_rows
 from tidemark.schema import TABLES, create_table_sql
 from tidemark.session import apply_settings, pin
 
@@ -24,19 +33,28 @@ DATASETS: dict[str, tuple[str, ...]] = {
     "prices": ("date",),
     "alerts": ("date", "crypto_id", "alert_type", *BATCH),
     "alert_history": ("date", *BATCH),
-    "aggregations": ("date", "hour"),
-    "partials": ("date", *BATCH),
+    "aggregations": ("date", "hour", *BATCH),
+    "partials": ("date", "hour", *BATCH),
+    "event_keys": ("date", *BATCH),
     "dead_letters": ("date", "step", *BATCH),
     "step_metrics": ("date", "step", *BATCH),
     "sla_metrics": ("date", "sla_id"),
     "audit": ("date",),
     "versions": ("date", "step"),
-    "daily_summary": ("trade_date",),
+    "daily_summary": ("trade_date", *BATCH),
     "archive": ("date", "crypto_id", "archive_run"),
-    "cache": ("expires_on",),
+    "cache": ("expires_on", *BATCH),
     "reports": ("report", "date"),
 }
 
+# keyed dataset -> its key, with the partition columns that follow from it, so that a filter on them prunes.
+KEYED: dict[str, tuple[str, ...]] = {
+    "aggregations": ("crypto_id", "window_start", "date", "hour"),
+    "daily_summary": ("crypto_id", "trade_date"),
+    "cache": ("key",),
+}
+LOADED = "loaded_at"
+DELETING_THREADS, DELETING_CHUNK = 16, 1024
 
 # Types of partition columns; all others are text, so that an id like 007 stays as it is.
 PARTITION_TYPES = {
@@ -44,6 +62,12 @@ PARTITION_TYPES = {
 }
 
 
+def newest(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of each key the row loaded last. Filters on the key reach the files."""
+    order = Window.partitionBy(*keys).orderBy(F.desc(LOADED), F.desc("batch_id"), F.desc("run"))
+    return stored.withColumn("_age", F.row_number().over(order)).filter("_age = 1").drop("_age")
+
+
 @dataclass(frozen=True)
 class Lake:
     """Datasets below one root folder."""
@@ -60,14 +84,58 @@ class Lake:
         path = self._hadoop_path(self.path(dataset))
         return path.getFileSystem(self._hadoop_conf()).exists(path)
 
-    def read(self, dataset: str, schema=None) -> DataFrame:
-        """Rows of a dataset. Types of partition columns are fixed, not guessed from their values."""
-        reader = self.spark.read.option("mergeSchema", "false")
+    def read(self, dataset: str, schema: StructType | None = None) -> DataFrame:
+        """Rows of a dataset, of keyed ones the newest of each key. Types of partition columns are fixed."""
+        stored = self.stored(dataset, schema)
+        return newest(stored, KEYED[dataset]) if dataset in KEYED and LOADED in stored.columns else stored
+
+    def stored(self, dataset: str, schema: StructType | None = None) -> DataFrame:
+        """All rows of a dataset; none of one that was never written or has been emptied."""
+        path = self.path(dataset)
+        schema = schema or self._known_schema(dataset)
+        there = self.exists(dataset)
+        if schema is None and there:
+            found = self.spark.read.option("mergeSchema", "false").parquet(path).schema
+            schema = self._typed(dataset, found)
         if schema is None:
-            found = reader.parquet(self.path(dataset)).schema
-            typed = {c: PARTITION_TYPES.get(c, StringType()) for c in DATASETS[dataset]}
-            schema = StructType([StructField(f.name, typed.get(f.name, f.dataType)) for f in found])
-        return reader.schema(schema).parquet(self.path(dataset))
+            schema = self._typed(dataset, StructType([StructField(c, StringType()) for c in DATASETS[dataset]]))
+        return self.spark.read.schema(schema).parquet(path) if there else self.spark.createDataFrame([], schema)
+
+    def placed(self, dataset: str) -> DataFrame:
+        """All rows of a dataset with the file each is in."""
+        rows = self.stored(dataset)
+        file = F.col("_metadata.file_path") if self.exists(dataset) else F.lit(None).cast("string")
+        return rows.select("*", file.alias("source_file"))
+
+    def _typed(self, dataset: str, schema: StructType) -> StructType:
+        """Partition columns in their fixed types; text where none is given, so that an id like 007 stays as it is."""
+        typed = {c: PARTITION_TYPES.get(c, StringType()) for c in DATASETS[dataset]}
+        return StructType([StructField(f.name, typed.get(f.name, f.dataType)) for f in schema])
+
+    def _schema_folder(self, dataset: str) -> str:
+        return f"{self.root}/schemas/{dataset}"
+
+    def _known_schema(self, dataset: str) -> StructType | None:
+        """The columns of all rows ever written, in the order in which they came."""
+        names = sorted(self._names(self._schema_folder(dataset)))
+        fields: dict[str, StructField] = {}
+        for name in names:
+            text = self.spark.read.text(f"{self._schema_folder(dataset)}/{name}", wholetext=True).first()[0]
+            for f in StructType.fromJson(json.loads(text)):
+                fields.setdefault(f.name, f)
+        return StructType(list(fields.values())) if names else None
+
+    def _remember_schema(self, dataset: str, schema: StructType) -> None:
+        """Keep the columns, as one file for each new set of columns; files are never changed."""
+        typed = self._typed(dataset, schema)
+        known = self._known_schema(dataset)
+        if known is not None and {f.name for f in typed} <= {f.name for f in known}:
+            return
+        name = f"{0 if known is None else len(known):06d}-{uuid.uuid4().hex}.json"
+        target = self._hadoop_path(f"{self._schema_folder(dataset)}/{name}")
+        out = target.getFileSystem(self._hadoop_conf()).create(target, True)
+        out.write(bytearray(json.dumps(typed.jsonValue()).encode()))
+        out.close()
 
     def write(self, df: DataFrame, dataset: str, mode: str = "append") -> None:
         """Write rows to their partitions.
@@ -82,6 +150,7 @@ class Lake:
             if mode != "append":
                 raise ValueError(f"{dataset} is written by run and batch and is only appended to")
             return self.write_batch(df, dataset, 0, uuid.uuid4().hex)
+        self._remember_schema(dataset, df.schema)
         shaped = df.hint("rebalance", *[F.col(c) for c in columns])
         shaped.write.mode(mode).partitionBy(*columns).parquet(self.path(dataset))
 
@@ -95,6 +164,9 @@ class Lake:
         if "batch_id" not in columns:
             raise ValueError(f"{dataset} is not written by batch")
         marked = df.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
+        if dataset in KEYED and LOADED not in df.columns:
+            marked = marked.withColumn(LOADED, F.lit(self.batch_time(run, batch_id)))
+        self._remember_schema(dataset, marked.schema)
         shaped = marked.hint("rebalance", *[F.col(c) for c in columns])
         shaped.write.mode("overwrite").partitionBy(*columns).parquet(self.path(dataset))
 
@@ -132,40 +204,69 @@ class Lake:
             .drop("report")
         )
 
-    def insert_if_absent(
-        self, incoming: DataFrame, dataset: str, keys: Sequence[str], arrival: str
+    def insert_if_absent(self, incoming: DataFrame, dataset: str, keys: Sequence[str], arrival: str) -> int:
+        """Append the rows whose key is new, and return their number.
+
+        Of the target only the key columns are read, of the days that come in; a day in between is not.
+        """
+        known = self.matching(incoming, dataset, keys)
+        added = pin(new_rows(incoming, known, keys, arrival).drop(arrival))
+        self.write(added, dataset)
+        return added.count()
+
+    def matching(
+        self, incoming: DataFrame, dataset: str, keys: Sequence[str], run: str | None = None, batch_id: int = 0
+    ) -> DataFrame:
+        """The keys of `incoming` that a dataset by `date` has already.
+
+        A batch that is repeated does not see what it wrote itself before. Days are pruned by a join with those that
+        come in, at run time; the other side of the key join is the incoming keys, small beside the target.
+        """
+        schema = incoming.select(*keys, "date").schema
+        if dataset in self._batched():
+            schema = StructType([*schema, *[StructField(c, PARTITION_TYPES.get(c, StringType())) for c in BATCH]])
+        stored = self.stored(dataset, schema)
+        if run is not None:
+            stored = stored.filter((F.col("run") != run) | (F.col("batch_id") < batch_id))
+        # One row per day. The comparison only tells the optimizer that the days are a selection.
+        days = incoming.filter(F.col("date") > F.lit("0001-01-01").cast("date")).select("date").distinct()
+        wanted = incoming.select(*keys, "date").distinct()
+        return (
+            stored.join(F.broadcast(days), "date", "left_semi").join(wanted, [*keys, "date"], "left_semi").select(*keys)
+        )
+
+    def _batched(self) -> set[str]:
+        return {name for name, columns in DATASETS.items() if "batch_id" in columns}
+
+    def upsert(
+        self, changes: DataFrame, dataset: str, keys: Sequence[str], batch_id: int = 0, run: str | None = None
     ) -> None:
-        """Append the rows whose key is new.
+        """Replace rows by key: the changes are added, and the newest row of a key is the one that is read.
 
-        The target is read only where the incoming days are: their bounds are two values.
+        A micro-batch writes its own rows and reads nothing. `compact` puts the rows together from time to time.
         """
-        if self.exists(dataset):
-            span = incoming.agg(F.min("date"), F.max("date")).first()
-            stored = self.read(dataset, incoming.drop(arrival).schema)
-            target = stored.filter(F.col("date").between(F.lit(span[0]), F.lit(span[1])))
-        else:
-            target = incoming.limit(0)
-        self.write(new_rows(incoming, target, keys, arrival).drop(arrival), dataset)
-
-    def upsert(self, changes: DataFrame, dataset: str, keys: Sequence[str]) -> None:
-        """Merge changes by key into the partitions they touch, the later load wins.
-
-        The merged rows are pinned first, as they come from the files that are replaced. Only the
-        names of the touched partitions reach the driver. Two writers must not run at once: there
-        is no transaction log.
+        if not set(keys) <= set(KEYED.get(dataset, ())):
+            raise ValueError(f"{dataset} is not keyed by {', '.join(keys)}")
+        self.write_batch(changes, dataset, batch_id, run or uuid.uuid4().hex)
+
+    def compact(self, dataset: str) -> int:
+        """Rewrite the partitions of a keyed dataset that have several files, one row per key; files taken away.
+
+        The copies keep their load time, so until the old files are gone, and if they stay because the run
+        stopped, readers see each key once. Loads that land meanwhile are in files of their own.
         """
-        columns = DATASETS[dataset]
-        merged = changes
-        if self.exists(dataset):
-            touched = F.lit(False)
-            for values in changes.select(*columns).distinct().collect():
-                here = F.lit(True)
-                for column, value in zip(columns, values):
-                    here = here & (F.col(column) == F.lit(value))
-                touched = touched | here
-            stored = self.read(dataset, changes.schema).filter(touched)
-            merged = upsert(stored, changes, keys)
-        self.write(pin(merged), dataset, "overwrite")
+        columns = [c for c in DATASETS[dataset] if c not in BATCH]
+        placed = self.placed(dataset)
+        several = placed.groupBy(*columns).agg(F.count_distinct("source_file").alias("_files")).filter("_files > 1")
+        several = pin(several.drop("_files"))
+        old = placed.join(several, columns, "left_semi")
+        gone = pin(old.select("source_file").distinct())
+        # A key may have moved to another partition: its newest row is looked for in the whole dataset.
+        kept = newest(placed, KEYED[dataset]).join(several, columns, "left_semi").drop("source_file", *BATCH)
+        if not several.isEmpty():
+            self.write_batch(pin(kept), dataset, 0, f"compacted-{uuid.uuid4().hex}")
+        self._delete_files(gone)
+        return gone.count()
 
     def archive(self, before: str, dataset: str = "raw", target: str = "archive") -> DataFrame:
         """Move the days before a date to the archive and return the rows moved per day.
@@ -177,7 +278,7 @@ class Lake:
         """
         state = f"{self.root}/{target}_state"
         run, copied = self._open_run(state)
-        placed = self.read(dataset).select("*", F.col("_metadata.file_path").alias("source_file"))
+        placed = self.placed(dataset)
         old = placed.filter(F.col("date") < F.lit(before).cast("date")).withColumn("archive_run", F.lit(run))
         if not copied:
             self.write(old, target, "overwrite")
@@ -189,21 +290,31 @@ class Lake:
         return moved
 
     def purge_expired(self, as_of: str) -> int:
-        """Drop expired cache rows and return their number.
+        """Drop expired cache rows, and rows a later one of their key replaced; return the number of expired ones.
 
-        Only files that hold some are touched: their other rows are written anew before those files
-        go, so rows that land meanwhile stay. A run that stops in between leaves such rows twice.
+        Only files that hold such rows are touched: their other rows are written anew before those files go, with their
+        load time, so that rows which land meanwhile stay and a run that stops in between leaves each key once.
         """
-        entries = self.read("cache").select("*", F.col("_metadata.file_path").alias("source_file"))
+        entries = self.placed("cache")
+        if LOADED not in entries.columns:
+            return 0
         now = F.lit(as_of).cast(entries.schema["expires_at"].dataType)
+        same_key = Window.partitionBy(*KEYED["cache"]).orderBy(
+            F.desc(LOADED), F.desc("batch_id"), F.desc("run"), F.desc("source_file")
+        )
+        ranked = pin(
+            entries.withColumn("_stale", F.row_number().over(same_key) > 1)
+            .withColumn("_expired", F.coalesce(F.col("expires_at") < now, F.lit(False)))
+        )
+        spent = F.col("_stale") | F.col("_expired")
         gone = pin(
-            entries.filter(F.col("expires_at") < now).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+            ranked.filter(spent).groupBy("source_file").agg(F.count_if(~F.col("_stale")).alias("n"))
         )
         total = gone.agg(F.sum("n")).first()[0] or 0
-        kept = entries.filter((F.col("expires_at") >= now) | F.col("expires_at").isNull())
-        kept = pin(kept.join(gone, "source_file", "left_semi").drop("source_file"))
+        kept = ranked.filter(~spent).join(gone, "source_file", "left_semi")
+        kept = pin(kept.drop("source_file", "_stale", "_expired", *BATCH))
         if not kept.isEmpty():
-            self.write(kept, "cache")
+            self.write_batch(kept, "cache", 0, uuid.uuid4().hex)
         self._delete_files(gone)
         return total
 
@@ -223,10 +334,16 @@ class Lake:
         return [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
 
     def _delete_files(self, rows: DataFrame) -> None:
-        """Delete the files named in `source_file`; the names come partition by partition."""
+        """Delete the files named in `source_file`, many at a time; the names come partition by partition."""
         jvm = self.spark.sparkContext._jvm
-        for row in rows.select("source_file").distinct().toLocalIterator():
-            self._delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row[0])).toString())
+
+        def delete(name: str) -> None:
+            self._delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)).toString())
+
+        names = (r[0] for r in rows.select("source_file").distinct().toLocalIterator())
+        with ThreadPoolExecutor(DELETING_THREADS) as pool:
+            while chunk := list(islice(names, DELETING_CHUNK)):
+                list(pool.map(delete, chunk))
 
     def _touch(self, path: str) -> None:
         target = self._hadoop_path(path)
@@ -258,8 +375,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, **options) -> None:
     df.write.format("jdbc").options(**jdbc_options(url, table, **options)).mode("append").save()
 
 
-def stored_prices(events: DataFrame, ingested_at) -> DataFrame:
-    """Validated events in the column types of the price table."""
+def stored_prices(events: DataFrame, ingested_at, *more: str) -> DataFrame:
+    """Validated events in the column types of the price table, and the columns named."""
     return events.select(
         "crypto_id",
         F.col("price_usd").cast("decimal(20,8)").alias("price_usd"),
@@ -269,6 +386,7 @@ def stored_prices(events: DataFrame, ingested_at) -> DataFrame:
         "source",
         ingested_at.alias("ingested_at"),
         F.to_date("event_timestamp").alias("date"),
+        *more,
     )
 
 

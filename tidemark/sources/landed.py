@@ -47,7 +47,21 @@ def read_topic(
         .option("subscribe", topic)
         .option("startingOffsets", starting)
     )
-    return reader.options(**options).load().select("value", F.col("timestamp").alias("received_at"))
+    return reader.options(**options).load().select(
+        "value", F.col("timestamp").alias("received_at"), "partition", "offset"
+    )
+
+
+def arrival(events: DataFrame) -> Column:
+    """The order in which events came, for keep-first.
+
+    From a topic it is the time the topic took them in, then partition and offset, which no layout of files or
+    tasks changes. Other sources have only the order of their rows.
+    """
+    given = [c for c in ("received_at", "partition", "offset") if c in events.columns]
+    if "offset" in given:
+        return F.struct(*given)
+    return F.struct(*given, F.monotonically_increasing_id().alias("row"))
 
 
 def read_landed_json(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:

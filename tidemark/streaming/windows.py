@@ -10,17 +10,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import without_nan
 from tidemark.operators.deadletters import dead_letters
+from tidemark.operators.dedup import new_rows
 from tidemark.operators.marts import NUMBERS, window_agg
 from tidemark.operators.validation import split, validate_aggregates, validate_events
 from tidemark.schema import TRACKED_IDS
-from tidemark.session import shared_dir
+from tidemark.session import pin, shared_dir
 from tidemark.sinks.lake import Lake
-from tidemark.sources.landed import parse_events, with_event_time
+from tidemark.sources.landed import arrival, parse_events, with_event_time
+from tidemark.streaming.monitor import counted, late_rows, step_rows, watched
+
+__all__ = [
+    "aggregate_stream", "late_rows", "merge_batch", "merged_windows", "partial_windows", "start_aggregation", "start_merging",
+    "store_aggregates", "valid_stream",
+]
+
+EVENT_KEY = ["crypto_id", "event_timestamp"]
 
 
 def valid_stream(raw: DataFrame, delay: str, tracked: Sequence[str] = TRACKED_IDS) -> DataFrame:
     """Valid events, each key once, with a watermark `delay` behind the newest event."""
-    valid, _ = split(validate_events(with_event_time(parse_events(raw)), tracked))
+    valid, _ = split(counted(validate_events(with_event_time(parse_events(raw)), tracked)))
     return (
         valid.drop("raw", "errors")
         .withWatermark("event_timestamp", delay)
@@ -40,15 +49,6 @@ def aggregate_stream(
     return window_agg(valid_stream(raw, delay, tracked), size, slide)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as too late, summed over the recent progress reports."""
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
-
-
 def store_aggregates(batch: DataFrame, batch_id: int, lake: Lake, run: str = "manual") -> None:
     """Check a micro-batch of aggregates, quarantine bad ones, merge the others by key."""
     checked = validate_aggregates(batch).persist()
@@ -63,7 +63,7 @@ def store_aggregates(batch: DataFrame, batch_id: int, lake: Lake, run: str = "ma
             F.to_date("window_start").alias("date"),
             F.hour("window_start").alias("hour"),
         )
-        lake.upsert(keyed, "aggregations", ["crypto_id", "window_start"])
+        lake.upsert(keyed, "aggregations", ["crypto_id", "window_start"], batch_id, run)
     finally:
         checked.unpersist()
 
@@ -80,14 +80,14 @@ def start_aggregation(
     """Window aggregates in update mode, merged into the aggregate table."""
     shared_dir(lake.spark)
     run = lake.run_of(checkpoint)
-    return (
+    writer = (
         aggregate_stream(raw, delay, size, tracked=tracked)
         .writeStream.outputMode("update")
         .foreachBatch(lambda batch, batch_id: store_aggregates(batch, batch_id, lake, run))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .start()
     )
+    return watched(writer, step_rows(lake, "spark_process", run))
 
 
 # ---- any lateness: partial aggregates per batch ---------------------------------------
@@ -135,6 +135,25 @@ def merged_windows(partials: DataFrame) -> DataFrame:
     )
 
 
+def merge_batch(
+    batch: DataFrame, batch_id: int, lake: Lake, run: str, size: str = "1 minute", tracked: Sequence[str] = TRACKED_IDS
+) -> None:
+    """The partials of the events of one batch that no earlier batch had."""
+    checked = validate_events(with_event_time(parse_events(batch)), tracked)
+    valid, _ = split(checked)
+    dated = valid.withColumns({"date": F.to_date("event_timestamp"), "_arrival": arrival(valid)}).drop("raw", "errors")
+    dated = dated.persist()
+    try:
+        known = lake.matching(dated, "event_keys", EVENT_KEY, run, batch_id)
+        fresh = pin(new_rows(dated, known, EVENT_KEY, "_arrival").drop("_arrival"))
+    finally:
+        dated.unpersist()
+    windows = partial_windows(fresh, size)
+    placed = windows.withColumns({"date": F.to_date("window_start"), "hour": F.hour("window_start")})
+    lake.write_batch(placed, "partials", batch_id, run)
+    lake.write_batch(fresh.select(*EVENT_KEY, "date"), "event_keys", batch_id, run)
+
+
 def start_merging(
     raw: DataFrame,
     lake: Lake,
@@ -145,20 +164,19 @@ def start_merging(
 ) -> StreamingQuery:
     """Stateless form: each batch stores partials in its own folder, whatever their event time.
 
-    A batch that runs twice replaces its folder. Readers use `merged_windows`.
+    Each event counts once, in whichever batch it comes first: the keys of counted events are kept by day, and a batch
+    looks its own up in the days it touches. A batch that runs twice replaces what it wrote and doesn't find its
+    own keys. One query writes a lake's partials. Readers use `merged_windows`.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        valid, _ = split(validate_events(with_event_time(parse_events(batch)), tracked))
-        unique = valid.dropDuplicates(["crypto_id", "event_timestamp"])
-        dated = partial_windows(unique, size).withColumn("date", F.to_date("window_start"))
-        lake.write_batch(dated, "partials", batch_id, run)
+        merge_batch(batch, batch_id, lake, run, size, tracked)
 
     shared_dir(lake.spark)
     run = lake.run_of(checkpoint)
-    return (
+    writer = (
         raw.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .start()
     )
+    return watched(writer, step_rows(lake, "spark_process", run))
