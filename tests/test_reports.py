@@ -431,7 +431,7 @@ def test_map_events_keeps_failures(spark):
 def test_lookup_join_has_a_way_beyond_the_bound(spark):
     big = spark.createDataFrame([(i % 3, i) for i in range(30)], "k int, v int")
     small = big.groupBy("k").agg(F.sum("v").alias("s"))
-    few, many = lookup_join(big, small, ["k"]), lookup_join(big, small, ["k"], limit_rows=1)
+    few, many = lookup_join(big, small, ["k"]), lookup_join(big, small, ["k"], limit_bytes=1)
     assert rows(few) == rows(many)
     plan = few._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan and "broadcast" not in many._jdf.queryExecution().optimizedPlan().toString()

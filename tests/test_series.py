@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import indicators as ind
 from tidemark.operators.alerts import suppress_alerts, tiered_alerts
 from tidemark.operators.marts import stg_prices
-from tidemark.operators.series import SEG, rolling, segmented
+from tidemark.operators.series import CUT_ROWS, SEG, rolling, segmented
 
 BASE = pd.Timestamp("2024-01-01")
 
@@ -57,22 +57,39 @@ def test_long_series_is_split_evenly_and_short_ones_are_not(spark, skewed):
     series = segmented(frame(spark, skewed), ["crypto_id"], "event_timestamp", 100)
     sizes = series.rows.groupBy("crypto_id", SEG).count().toPandas()
     hot = sizes[sizes.crypto_id == "hot"]["count"]
-    assert series.split and len(hot) == 15 and hot.max() < 130 and hot.sum() == 1500
+    assert len(hot) == 15 and hot.max() < 130 and hot.sum() == 1500
     assert (sizes.crypto_id == "cold").sum() == 1
     assert series.rows.count() == sum(len(v) for v in skewed.values())
 
 
-def test_cuts_in_several_blocks(spark, skewed, monkeypatch):
-    from tidemark.operators import series as module
+@pytest.mark.parametrize("per_segment", [1, 7, 20])
+def test_more_segments_than_any_fixed_number(spark, skewed, per_segment):
+    series = segmented(frame(spark, skewed), ["crypto_id"], "event_timestamp", per_segment)
+    hot = series.rows.filter("crypto_id = 'hot'").orderBy("event_timestamp").toPandas()
+    assert hot[SEG].is_monotonic_increasing and hot[SEG].iloc[0] == 0 and set(hot[CUT_ROWS]) == {1500}
+    assert hot.groupby(SEG).size().max() <= 2 * per_segment and hot[SEG].max() >= 1499 // per_segment - 1
+    again = segmented(frame(spark, skewed).repartition(3), ["crypto_id"], "event_timestamp", per_segment).rows
+    assert again.exceptAll(series.rows).isEmpty()
 
-    df = frame(spark, skewed)
-    want = segmented(df, ["crypto_id"], "event_timestamp", 20).rows
-    for block in (4, 7):
-        monkeypatch.setattr(module, "BLOCK", block)
-        got = segmented(df, ["crypto_id"], "event_timestamp", 20).rows
-        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
-    hot = want.filter("crypto_id = 'hot'").orderBy("event_timestamp").toPandas()[SEG]
-    assert hot.is_monotonic_increasing and hot.nunique() == 75 and hot.max() == 74
+
+def test_bursts_are_cut_too(spark):
+    """Ten thousand rows within ten milliseconds, and a few a day around them."""
+    burst = spark.range(10_000).selectExpr("'a' k", "timestamp_micros(1700000000000000 + id) t", "id v")
+    calm = spark.range(200).selectExpr("'a' k", "timestamp_micros(1690000000000000 + id * 86400000000) t", "id v")
+    none = spark.sql("select cast(null as string) k, timestamp'2024-01-01' t, 1L v union all select 'a', null, 2L")
+    df = burst.unionByName(calm).unionByName(none)
+    series = segmented(df, ["k"], "t", 500)
+    sizes = series.rows.filter("k = 'a'").groupBy(SEG).count().toPandas()
+    assert sizes["count"].max() <= 1000 and len(sizes) >= 15 and series.rows.count() == 10_202
+    got = rolling(series, 1, {"p": lambda w: F.lag("v").over(w)})
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t")))
+    assert got.exceptAll(plain).isEmpty() and got.count() == plain.count()
+
+
+def test_nothing_to_cut_leaves_a_plain_window(spark, skewed):
+    series = segmented(frame(spark, skewed), ["crypto_id"], "event_timestamp")
+    plan = rolling(series, 1, {"p": lambda w: F.lag("price_usd").over(w)})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1 and "Union" not in plan and "Join" not in plan
 
 
 @pytest.mark.parametrize("per_segment", [64, 333, 10_000])
@@ -97,10 +114,10 @@ def test_rolling_with_segments_shorter_than_the_frame(spark):
     series = segmented(frame(spark, {"a": x}), ["crypto_id"], "event_timestamp", 5)
     got = collected(rolling(series, 19, {"s": lambda w: F.sum("price_usd").over(w.rowsBetween(-19, 0))}), "a")
     want = [x[max(0, i - 19): i + 1].sum() for i in range(60)]
-    assert series.split and got.s.tolist() == want
+    assert got.s.tolist() == want
 
 
-@pytest.mark.parametrize("per_segment", [64, 10_000])
+@pytest.mark.parametrize("per_segment", [3, 11, 64, 10_000])  # below the RSI period, around it and above
 def test_indicators_equal_loops(spark, skewed, per_segment):
     out = ind.scan_indicators(ind.price_series(frame(spark, skewed), per_segment))
     for key in ("hot", "warm"):

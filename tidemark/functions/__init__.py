@@ -10,7 +10,7 @@ from tidemark.functions.columns import (
     share_pct,
     without_nan,
 )
-from tidemark.functions.joins import lookup_join, with_zero_rows
+from tidemark.functions.joins import lookup_join, sized, with_zero_rows
 
 __all__ = [
     "at_time",
@@ -21,6 +21,7 @@ __all__ = [
     "lookup_join",
     "parsed_time",
     "share_pct",
+    "sized",
     "with_zero_rows",
     "without_nan",
 ]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean_number
-from tidemark.operators.series import ROWS_PER_SEGMENT, SEG, SEG_COUNT, Series, rolling, segmented
+from tidemark.operators.series import CUT_ROWS, ROWS_PER_SEGMENT, SEG, Series, rolling, segmented
 from tidemark.session import ship_with_jobs
 
 
@@ -95,7 +95,7 @@ class State:
     averages: np.ndarray = field(default_factory=lambda: np.zeros(3))
     tail: np.ndarray = field(default_factory=lambda: np.empty(0))
 
-    def text(self, **more: float) -> str:
+    def text(self, **more: list) -> str:
         """As JSON, which keeps doubles exact."""
         return json.dumps(
             {
@@ -124,14 +124,14 @@ def scan_indicators(series: Series, periods: Periods = Periods()) -> DataFrame:
     enough = periods.slow + periods.signal
     rows = series.rows.withColumn("_length", F.count(F.lit(1)).over(series.whole()))
     state = F.lit(None).cast("string")
-    if series.split:
+    if series.cut:
         # Only the first row of a segment carries the state, the others would only move copies.
         # The rows are partitioned by the join keys already, so a shuffled join moves one side.
         carried = _carried_states(rows, series, periods)
         rows = rows.withColumn("_row", F.row_number().over(series.window()))
         rows = rows.join(carried, [*series.keys, SEG], "left")
         state = F.when(F.col("_row") == 1, F.col("_carried"))
-    long_enough = (F.col(SEG_COUNT) > 1) | (F.col("_length") >= enough)
+    long_enough = F.greatest(CUT_ROWS, "_length") >= enough
     rows = rows.select(
         *series.keys,
         SEG,
@@ -284,21 +284,21 @@ def _carried_states(rows: DataFrame, series: Series, p: Periods) -> DataFrame:
     key = series.keys[0]
     warm = p.rsi + 2
     # `_length` keeps the window, and with it the shuffle and the sort the main pass uses as well.
-    long_rows = rows.filter(F.col(SEG_COUNT) > 1).select(
+    long_rows = rows.filter(F.col(CUT_ROWS) > 0).select(
         key, SEG, series.order, "price_usd", "_length"
     )
 
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Each segment alone: row count, first price and the state after it.
+        """Each segment alone: row count, first prices and the state after it.
 
         Segments after the first begin with zero averages; `chain` adds their true start.
         """
-        current, state, first, done = None, State(), 0.0, []
+        current, state, first, done = None, State(), np.empty(0), []
 
         def close() -> None:
             n = state.seen - (warm if current[1] else 0)
             own = State(n, state.gain, state.loss, state.averages, state.tail[-n:])
-            done.append((*current, own.text(first=float(first))))
+            done.append((*current, own.text(first=first.tolist())))
 
         for batch in batches:
             for part in _runs(batch, key):
@@ -307,32 +307,43 @@ def _carried_states(rows: DataFrame, series: Series, p: Periods) -> DataFrame:
                 if group != current:
                     if current is not None:
                         close()
-                    current, first = group, x[0]
+                    current, first = group, np.empty(0)
                     state = State(warm, tail=x[:1]) if group[1] else State()
+                first = np.concatenate([first, x])[: p.rsi]
                 _, state = _advance(state, x, p)
         if current is not None:
             close()
         if done:
             yield pd.DataFrame(done, columns=[key, SEG, "_summary"])
 
+    def carried(start: float, moves: np.ndarray, own: float, n: int, warm: int) -> float:
+        """The smoothed mean after a segment of `n` moves.
+
+        `own` is the segment's share if all its moves but the first, which leads into it, were smoothed. The first
+        `warm` moves of a series are only summed up, so theirs is taken out of it and put in as a plain mean.
+        """
+        keep = 1 - 1.0 / p.rsi
+        smoothed = moves / p.rsi * keep ** (n - 1 - np.arange(len(moves), dtype=float))
+        if not warm:
+            return start * keep**n + smoothed[0] + own
+        return (start + moves[:warm].sum() / p.rsi) * keep ** (n - warm) + own - smoothed[1:warm].sum()
+
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         """Hand the state from segment to segment; one row per segment, so this stays small."""
-        keep = 1 - 1.0 / p.rsi
         state, out = None, []
         for name, seg, summary in pdf.sort_values(SEG).itertuples(index=False):
-            own, first = State.of(summary), json.loads(summary)["first"]
+            own, first = State.of(summary), np.array(json.loads(summary)["first"])
             if state is None:
-                if seg or own.seen <= p.rsi:
-                    raise ValueError("the first segment is shorter than the RSI period")
                 state = own
                 continue
             out.append((name, seg, state.text()))
-            n, move = own.seen, first - state.tail[-1]
-            decay = keep ** (n - 1) / p.rsi
+            n = own.seen
+            moves = np.diff(np.concatenate([state.tail[-1:], first]))
+            warm = int(np.clip(p.rsi - max(state.seen - 1, 0), 0, n))
             state = State(
                 state.seen + n,
-                state.gain * keep**n + max(move, 0.0) * decay + own.gain,
-                state.loss * keep**n + max(-move, 0.0) * decay + own.loss,
+                carried(state.gain, np.maximum(moves, 0.0), own.gain, n, warm),
+                carried(state.loss, np.maximum(-moves, 0.0), own.loss, n, warm),
                 np.linalg.matrix_power(p.step(), n) @ state.averages + own.averages,
                 np.concatenate([state.tail, own.tail])[-max(p.window - 1, 1):],
             )

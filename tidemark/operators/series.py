@@ -1,10 +1,13 @@
 """Ordered computations over long series.
 
-A plain window over one asset puts the whole series of that asset into one task. Here a series
-longer than `rows_per_segment` is cut at time quantiles into segments, and windows run per
-(key, segment). The few rows at the head of a segment, whose frame reaches back into the segment
-before, are computed once more over the edge rows only (first and last `lookback` rows of every
-segment), so results equal those of the plain window.
+A plain window over one asset puts the whole series of that asset into one task. Here a series longer than
+`rows_per_segment` is cut into segments, and windows run per (key, segment). The few rows at the head of a
+segment, whose frame reaches back into the segment before, are computed once more over the edge rows only
+(first and last `lookback` rows of every segment), so results equal those of the plain window.
+
+The cuts come from a histogram of time: rows per key and day, and days that hold too many rows counted
+again in finer buckets, as often as needed. Running sums over a key's buckets give each its segment. Counts are
+exact, so segments do not depend on the order in which tasks end, and their number has no upper bound.
 """
 
 from __future__ import annotations
@@ -15,22 +18,27 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidemark.functions import sized
 from tidemark.session import pin
 
 ROWS_PER_SEGMENT = 2_000_000
-MAX_SEGMENTS = 4096
-BLOCK = 64
-SEG, SEG_COUNT = "_segment", "_segments"
+DAY = 86_400_000_000
+#: Segment of a row; rows of its series if that was cut, else 0.
+SEG, CUT_ROWS = "_segment", "_cut_rows"
+_AT, _START, _WIDTH, _N = "_position", "_start", "_width", "_n"
 
 
 @dataclass(frozen=True)
 class Series:
-    """Rows with their segment; `split` tells whether any series was cut."""
+    """Rows with their segment. Segment 0 is the first one of a series; later numbers rise, with gaps.
+
+    Without a cut every row is in segment 0, so there are no heads to compute again.
+    """
 
     rows: DataFrame
     keys: tuple[str, ...]
     order: str
-    split: bool
+    cut: bool
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, SEG).orderBy(self.order)
@@ -48,96 +56,65 @@ def segmented(
     order: str,
     rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> Series:
-    """Cut long series at quantiles of `order`.
+    """Cut long series by `order`.
 
-    Two aggregations with map-side combining find the cuts: counts per key, then quantiles of the
-    long keys only. There are at most total rows / rows_per_segment long keys, so the cut table
-    stays small whatever the data; it is pinned because quantile sketches depend on merge order.
-    `(keys, order)` must be unique, as the table keys of the engine are.
+    A bucket of the histogram is refined into at least eight times as many as it would need if its rows lay
+    evenly; buckets still too full are refined again, down to one microsecond. Rows of one instant stay together,
+    so `(keys, order)` must be unique, as the table keys of the engine are. A segment then holds at
+    most twice `rows_per_segment` rows. The histogram is pinned: one row per key and day, and a few per segment.
     """
     keys = tuple(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    long_keys = pin(counts.filter(F.col("_n") > rows_per_segment))
-    if long_keys.isEmpty():
-        rows = df.withColumn(SEG, F.lit(0)).withColumn(SEG_COUNT, F.lit(1))
-        return Series(rows, keys, order, split=False)
-
-    position = F.unix_micros(F.col(order).cast("timestamp"))
-    fine = [i / MAX_SEGMENTS for i in range(1, MAX_SEGMENTS)]
-    wanted = F.least(F.ceil(F.col("_n") / rows_per_segment), F.lit(MAX_SEGMENTS)).cast("int")
-    cuts = (
-        df.join(F.broadcast(long_keys), _null_safe(df, long_keys, keys), "left_semi")
-        .groupBy(*keys)
-        .agg(
-            F.percentile_approx(position, fine, 4 * MAX_SEGMENTS).alias("_fine"),
-            F.min(position).alias("_start"),
-            F.count(F.lit(1)).alias("_n"),
-        )
-        .withColumn("_wanted", wanted)
-        .withColumn(
-            "_cuts",
-            F.array_distinct(
-                F.expr(
-                    "filter(transform(sequence(1, _wanted - 1), i -> element_at(_fine, "
-                    f"cast(i * {MAX_SEGMENTS} / _wanted as int))), c -> c > _start)"
-                )
-            ),
+    instant = F.unix_micros(F.col(order).cast("timestamp"))
+    rows = df.withColumn(_AT, instant).withColumns(
+        {_START: F.floor(F.col(_AT) / DAY) * DAY, _WIDTH: F.lit(DAY).cast("long")}
+    )
+    place = [*keys, _START]
+    level = _histogram(rows, place)
+    series = level.groupBy(*keys).agg(F.sum(_N).alias(CUT_ROWS))
+    cut = (series.agg(F.max(CUT_ROWS)).first()[0] or 0) > rows_per_segment
+    # Where no series is long there are no segments to look up, which the optimizer sees.
+    long_keys = series.filter(F.col(CUT_ROWS) > rows_per_segment) if cut else series.filter(F.lit(False))
+    buckets: DataFrame | None = None
+    while True:
+        full = (F.col(_N) > rows_per_segment) & (F.col(_WIDTH) > 1) & F.col(_START).isNotNull()
+        done, full = level.filter(~full), level.filter(full)
+        buckets = done if buckets is None else buckets.unionByName(done)
+        if not cut or full.isEmpty():
+            break
+        parts = F.pow(2, F.ceil(F.log2(F.col(_N) / rows_per_segment)) + 3)
+        finer = F.greatest(F.lit(1), F.floor(F.col(_WIDTH) / parts)).cast("long")
+        rows = _beside(rows, sized(pin(full.select(*place, finer.alias("_finer")))), place)
+        moved = F.col(_START) + F.floor((F.col(_AT) - F.col(_START)) / F.col("_finer")) * F.col("_finer")
+        rows = rows.withColumns(
+            {_START: F.coalesce(moved, _START), _WIDTH: F.coalesce("_finer", _WIDTH)}
         )
-        .select(*keys, "_cuts")
+        level = _histogram(rows.filter("_finer is not null"), place)
+        rows = rows.drop("_finer")
+
+    by_key = Window.partitionBy(*keys).orderBy(_START).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(_N).over(by_key), F.lit(0))
+    segments = (
+        _beside(long_keys, buckets, keys)
+        .withColumn(SEG, F.floor(before / rows_per_segment).cast("int"))
+        .select(*place, SEG, CUT_ROWS)
     )
-    cuts = pin(cuts)
-    return Series(_located(df, keys, position, cuts), keys, order, split=True)
-
+    placed = _beside(rows, sized(pin(segments)) if cut else segments, place)
+    marks = [F.coalesce(c, F.lit(0)).alias(c) for c in (SEG, CUT_ROWS)]
+    return Series(placed.select(*df.columns, *marks), keys, order, cut)
 
-def _located(df: DataFrame, keys: tuple[str, ...], position: Column, cuts: DataFrame) -> DataFrame:
-    """Rows with the number of cuts at or before them.
 
-    Searched in two levels, blocks of `BLOCK` cuts and the cuts of one block, so that a row only
-    ever meets a short array. Both sides hold at most one row per segment and are broadcast.
-    """
-    blocks = F.ceil(F.size("_cuts") / BLOCK)
-    named = cuts.withColumnsRenamed({k: f"_cut_{k}" for k in keys}).withColumn(
-        "_starts",
-        F.transform(F.sequence(F.lit(0), blocks.cast("int") - 1), lambda b: F.get("_cuts", b * BLOCK)),
-    )
-    same = _all([F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in keys])
-    tops = named.select(*[f"_cut_{k}" for k in keys], "_starts", F.size("_cuts").alias("_count"))
-    inner = named.select(
-        *[F.col(f"_cut_{k}").alias(f"_in_{k}") for k in keys],
-        F.posexplode("_starts").alias("_b", "_start"),
-        "_cuts",
-    ).select(
-        *[f"_in_{k}" for k in keys],
-        (F.col("_b") + 1).alias("_in_block"),
-        F.slice("_cuts", F.col("_b") * BLOCK + 1, BLOCK).alias("_inner"),
-    )
-    same_block = _all(
-        [F.col(k).eqNullSafe(F.col(f"_in_{k}")) for k in keys]
-        + [F.col("_block") == F.col("_in_block")]
-    )
-    long_rows = (
-        df.withColumn("_position", position)
-        .join(F.broadcast(tops), same, "left")
-        .withColumn("_block", _passed("_starts", MAX_SEGMENTS // BLOCK))
-        .drop("_starts")
-        .join(F.broadcast(inner), same_block, "left")
-    )
-    within = (F.col("_block") - 1) * BLOCK + _passed("_inner", BLOCK)
-    return long_rows.withColumns(
-        {
-            SEG: F.when(F.col("_inner").isNull(), F.lit(0)).otherwise(within),
-            SEG_COUNT: F.coalesce(F.col("_count") + 1, F.lit(1)),
-        }
-    ).select(*df.columns, SEG, SEG_COUNT)
+def _histogram(rows: DataFrame, place: Sequence[str]) -> DataFrame:
+    counted = rows.groupBy(*place).agg(F.count(F.lit(1)).alias(_N), F.first(_WIDTH).alias(_WIDTH))
+    return pin(counted)
 
 
-def _passed(array: str, longest: int) -> Column:
-    """How many values of a sorted array are at or before the position: a binary search."""
-    steps = ", ".join(str(2**i) for i in reversed(range(longest.bit_length())))
-    return F.expr(
-        f"aggregate(array({steps}), 0, (lo, step) -> if(lo + step <= size({array}) "
-        f"and element_at({array}, greatest(lo + step, 1)) <= _position, lo + step, lo))"
-    )
+def _beside(rows: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join on columns that may be null."""
+    named = table.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    return rows.join(named, same, "left").drop(*[f"_on_{c}" for c in on])
 
 
 def rolling(
@@ -147,9 +124,8 @@ def rolling(
 ) -> DataFrame:
     """Add window columns whose frames reach at most `lookback` rows back."""
     local = series.window()
-    if not series.split:
-        return _drop_marks(_with(series.rows, columns, local))
-
+    if not series.cut:  # every row is in the first segment, there are no heads
+        return _with(series.rows, columns, local).drop(SEG, CUT_ROWS)
     placed = series.rows.withColumns(
         {
             "_head": F.row_number().over(local),
@@ -157,30 +133,15 @@ def rolling(
         }
     )
     # Both branches below use the same columns of `placed`, so they share one scan and one shuffle.
-    inner = (F.col(SEG_COUNT) == 1) | (F.col(SEG) == 0) | (F.col("_head") > lookback)
-    edge = (F.col(SEG_COUNT) > 1) & (
+    inner = (F.col(CUT_ROWS) == 0) | (F.col(SEG) == 0) | (F.col("_head") > lookback)
+    edge = (F.col(CUT_ROWS) > 0) & (
         (F.col("_head") <= lookback) | (F.col("_head") > F.col("_tail") - lookback)
     )
     by_series = Window.partitionBy(*series.keys).orderBy(series.order)
     settled = _with(placed, columns, local).filter(inner)
     heads = _with(placed.filter(edge), columns, by_series).filter(~inner)
-    return _drop_marks(settled.unionByName(heads).drop("_head", "_tail"))
+    return settled.unionByName(heads).drop("_head", "_tail", SEG, CUT_ROWS)
 
 
 def _with(df: DataFrame, columns: dict, window: WindowSpec) -> DataFrame:
     return df.withColumns({name: make(window) for name, make in columns.items()})
-
-
-def _drop_marks(df: DataFrame) -> DataFrame:
-    return df.drop(SEG, SEG_COUNT)
-
-
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return _all([left[k].eqNullSafe(right[k]) for k in keys])
-
-
-def _all(conditions: Sequence[Column]) -> Column:
-    total = conditions[0]
-    for c in conditions[1:]:
-        total = total & c
-    return total
