@@ -289,6 +289,45 @@ def test_warehouse_sync_job(spark, lake):
     assert mart.count() == 5 and mart.agg(F.sum("total_volume")).first()[0] == out["prices"].count()
 
 
+def history(spark, *prices):
+    body = '{"prices": [' + ", ".join(f"[{1704067200000 + 3600000 * i}, {p}]" for i, p in enumerate(prices)) + "]}"
+    return spark.createDataFrame([("bitcoin", body), ("solana", body)], "crypto_id string, body string")
+
+
+def test_backfill_job_writes_both_targets_once(spark, lake):
+    run = lambda h, **kw: jobs.backfill(h, None, "2024-01-02 00:00:00", 1, lake=lake, **kw)
+    totals = lambda out: out["summary"].filter("crypto_id = 'TOTAL'").first()
+    first = totals(run(history(spark, 1.0, 2.0, 3.0)))
+    assert (first.total_events, first.saved_lake, first.saved_table) == (6, 6, 6)
+    again = totals(run(history(spark, 1.0, 2.0, 3.0)))
+    assert (again.total_events, again.saved_table) == (6, 0)
+    assert lake.read("raw").count() == lake.read("prices").count() == 6
+    assert run(history(spark, 9.0, 2.0, 3.0, 4.0), asset="solana")["prices"].count() == 1
+    got = rows(lake.read("prices").filter("crypto_id = 'solana'"), "event_timestamp", "price_usd", "source")
+    assert [float(p) for _, p, _ in got] == [1.0, 2.0, 3.0, 4.0] and {s for *_, s in got} == {"coingecko_historical"}
+
+
+def test_backfill_flags_choose_the_target(spark, lake):
+    run = lambda **kw: jobs.backfill(history(spark, 1.0), None, "2024-01-02 00:00:00", 1, lake=lake, **kw)
+    assert set(run(dry_run=True)) == {"plan"} and not lake.exists("raw") and not lake.exists("prices")
+    assert run(lake_only=True)["prices"].count() == 0
+    assert (lake.read("raw").count(), lake.exists("prices")) == (2, False)
+    run(table_only=True)
+    assert (lake.read("raw").count(), lake.read("prices").count()) == (2, 2)
+
+
+def test_warehouse_sync_through_the_lake(spark, lake):
+    p = src.prices(spark, SF).drop("event_id")
+    a = price_alerts(p)
+    for _ in range(2):
+        out = jobs.warehouse_sync(p, a, None, None, src.AS_OF, lake)
+    assert out["prices"].count() == 0
+    wanted = p.filter("event_timestamp >= '2024-01-30 00:00:00'")
+    assert lake.read("warehouse_prices").count() == wanted.dropDuplicates(["crypto_id", "event_timestamp"]).count()
+    assert lake.read("warehouse_alerts").count() == a.filter("created_at >= '2024-01-30 00:00:00'").distinct().count()
+    assert lake.read("daily_summary").count() == 5
+
+
 def test_mart_job(spark):
     p = src.prices(spark, SF).drop("event_id")
     out = jobs.build_marts(p, price_alerts(p))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import at_time, clean_number, count_where, epoch_seconds, lookup_join
+from tidemark.functions import at_time, clean_number, count_where, epoch_seconds, lookup_join, sized
 from tidemark.schema import EXPECTED_DATASETS, GRADE_FLOORS
 from tidemark.session import pin
 
@@ -80,6 +80,45 @@ def price_anomalies(prices: DataFrame, sigmas: float = 3.0, minimum: int = 3) ->
     )
 
 
+def price_checks(
+    assets: DataFrame, prices: DataFrame, as_of, sigmas: float = 3.0, minimum: int = 3
+) -> DataFrame:
+    """Freshness and anomalies of every asset side by side: one aggregate over the prices, and one count.
+
+    The newest time, number, mean and deviation come from one pass; a second one counts the prices
+    that are far from the mean.
+    """
+    rows = prices.select("crypto_id", "event_timestamp", clean_number("price_usd").alias("_p"))
+    stats = pin(
+        rows.groupBy("crypto_id").agg(
+            F.max("event_timestamp").alias("_last"),
+            F.count("_p").alias("_n"),
+            F.avg("_p").alias("_mean"),
+            F.stddev_pop("_p").alias("_std"),
+        )
+    )
+    hours = (epoch_seconds(at_time(as_of, prices, "event_timestamp")) - epoch_seconds("_last")) / 3600
+    reach = F.when((F.col("_n") >= minimum) & (F.col("_std") > 0), sigmas * F.col("_std"))
+    bounds = stats.filter(reach.isNotNull()).select("crypto_id", "_mean", reach.alias("_reach"))
+    far = F.abs(F.col("_p") - F.col("_mean")) > F.col("_reach")
+    odd = (
+        rows.join(sized(bounds), "crypto_id").groupBy("crypto_id").agg(count_where(far).alias("anomaly_count"))
+    )
+    share = F.round(F.col("anomaly_count") / F.when(F.col("_n") > 0, F.col("_n")) * 100, 2)
+    return (
+        assets.select("crypto_id")
+        .join(stats, "crypto_id", "left")
+        .join(odd, "crypto_id", "left")
+        .select(
+            "crypto_id",
+            F.coalesce(F.round(hours, 3), F.lit(999.0)).alias("hours_since_update"),
+            F.coalesce(hours < 2, F.lit(False)).alias("is_fresh"),
+            F.coalesce("anomaly_count", F.lit(0)).alias("anomaly_count"),
+            F.coalesce(share, F.lit(0.0)).alias("anomaly_pct"),
+        )
+    )
+
+
 def observatory_score() -> Column:
     fresh = F.when(F.col("is_fresh"), 40.0).otherwise(0.0)
     whole = F.coalesce(F.col("completeness_pct"), F.lit(0.0)) / 100 * 40
@@ -88,11 +127,16 @@ def observatory_score() -> Column:
 
 
 def observatory(
-    fresh: DataFrame, complete: DataFrame, anomalies: DataFrame, date: str
+    fresh: DataFrame, complete: DataFrame, anomalies: DataFrame | None, date: str
 ) -> DataFrame:
-    """The three checks side by side with the score of every asset on `date`."""
+    """The three checks side by side with the score of every asset on `date`.
+
+    Without `anomalies` they are columns of `fresh`, as `price_checks` gives them.
+    """
     that_day = complete.filter(F.col("date") == F.lit(date).cast("date")).drop("date")
-    joined = fresh.join(that_day, "crypto_id", "left").join(anomalies, "crypto_id", "left")
+    joined = fresh.join(that_day, "crypto_id", "left")
+    if anomalies is not None:
+        joined = joined.join(anomalies, "crypto_id", "left")
     filled = joined.withColumns(
         {
             "anomaly_count": F.coalesce("anomaly_count", F.lit(0)),

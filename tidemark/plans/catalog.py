@@ -657,21 +657,17 @@ def portfolio_returns(s, d):
 
 # ---- observatory ------------------------------------------------------------------------------
 def _present(s, d):
-    p, steps = _prices(s, d), src.step_metrics(s, d)
-    busy = p.groupBy("crypto_id", F.to_date("event_timestamp").alias("date")).agg(
+    """Partitions that exist: one pass over the prices tells those of three datasets."""
+    days = _prices(s, d).groupBy("crypto_id", F.to_date("event_timestamp").alias("date")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    return (
-        obs.partitions_of(p, "event_timestamp", "raw")
-        .unionByName(obs.partitions_of(_windows(s, d), "window_start", "aggregations"))
-        .unionByName(
-            busy.filter("_n >= 70").select("crypto_id", "date", F.lit("technical").alias("dataset"))
-        )
-        .unionByName(
-            obs.partitions_of(
-                steps.filter("status = 'failure' and step = 'alert'"), "recorded_at", "monitoring"
-            )
-        )
+    # An hourly window lies on the day of its events, so a day with prices has aggregates.
+    names = F.array_compact(
+        F.array(F.lit("raw"), F.lit("aggregations"), F.when(F.col("_n") >= 70, F.lit("technical")))
+    )
+    failures = src.step_metrics(s, d).filter("status = 'failure' and step = 'alert'")
+    return days.select("crypto_id", "date", F.explode(names).alias("dataset")).unionByName(
+        obs.partitions_of(failures, "recorded_at", "monitoring")
     )
 
 
@@ -680,10 +676,8 @@ def _completeness(s, d):
 
 
 def _observatory(s, d):
-    p, a = _prices(s, d), src.assets(s, d)
-    return obs.observatory(
-        obs.freshness(a, p, AS_OF), _completeness(s, d), obs.price_anomalies(p), LAST
-    )
+    checks = obs.price_checks(src.assets(s, d), _prices(s, d), AS_OF)
+    return obs.observatory(checks, _completeness(s, d), None, LAST)
 
 
 @query

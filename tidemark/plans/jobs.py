@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, StringType, StructField, StructType
 
 from tidemark import schema
 from tidemark.operators import (
@@ -26,16 +26,21 @@ from tidemark.operators import (
     validation as val,
     versions as ver,
 )
-from tidemark.sinks.lake import Lake
+from tidemark.session import pin
+from tidemark.sinks.lake import Lake, stored_prices
 from tidemark.sources import landed
 
 Frames = dict[str, DataFrame]
+PRICE_KEY = ["crypto_id", "event_timestamp"]
 
 
 def _report(lake: Lake | None, frames: Frames, name: str, date: str, *which: str) -> Frames:
-    if lake is not None:
-        for key in which:
-            lake.report(frames[key], f"{name}_{key}", date)
+    """Store the named frames as reports. They are pinned: what is stored is what is returned, computed once."""
+    if lake is None:
+        return frames
+    frames = {key: pin(df) if key in which else df for key, df in frames.items()}
+    for key in which:
+        lake.report(frames[key], f"{name}_{key}", date)
     return frames
 
 
@@ -46,7 +51,7 @@ def ingest(
     """Batch ingestion: new prices, alerts, dead letters and the totals of the run."""
     checked = val.validate_events(landed.with_event_time(landed.parse_events(raw)), tracked)
     valid, invalid = val.split(checked)
-    keyed = valid.withColumn("_arrival", F.monotonically_increasing_id())
+    keyed = valid.withColumn("_arrival", landed.arrival(valid))
     fresh = dedup.new_rows(keyed, stored, ["crypto_id", "event_timestamp"], "_arrival")
     return {
         "prices": fresh.drop("_arrival"),
@@ -57,19 +62,36 @@ def ingest(
 
 
 def backfill(
-    payloads: DataFrame, stored: DataFrame, as_of: str, days: int = 30, asset: str | None = None,
+    payloads: DataFrame, stored: DataFrame | None, as_of: str, days: int = 30, asset: str | None = None,
     tracked: Sequence[str] = schema.TRACKED_IDS, lake_only: bool = False, table_only: bool = False,
-    dry_run: bool = False,
+    dry_run: bool = False, lake: Lake | None = None,
 ) -> Frames:
-    """Historical load; the target flags are honoured and the counts are those of the data."""
+    """Historical load; the target flags are honoured and the counts are those of the data.
+
+    With a lake the events are written: raw events below `raw`, new prices into `prices`, each key once, so a second
+    run adds nothing. Prices already there are then those of the lake. Without one the frames are returned only.
+    """
     ids = mon.check_backfill(days, asset, tracked)
     history = landed.backfill_events(payloads).filter(F.col("crypto_id").isin(ids))
     if dry_run:
         plan = mon.backfill_plan(history, as_of, days, tracked, asset, lake_only, table_only)
         return {"plan": plan}
     wanted = landed.since(history, "event_timestamp", as_of, days * 24)
-    keyed = wanted.withColumn("_arrival", F.monotonically_increasing_id())
-    fresh = dedup.new_rows(keyed, stored, ["crypto_id", "event_timestamp"], "_arrival").drop("_arrival")
+    keyed = wanted.withColumns({"_arrival": landed.arrival(wanted), "date": F.to_date("event_timestamp")})
+    known = lake.matching(keyed, "prices", PRICE_KEY) if lake is not None else stored
+    fresh = dedup.new_rows(keyed, known, PRICE_KEY, "_arrival").drop("_arrival", "date")
+    if lake is not None:
+        # What is new is settled before it is written, and counted as such.
+        wanted, fresh = pin(wanted), pin(fresh)
+        keyed = wanted.withColumns({"_arrival": landed.arrival(wanted), "date": F.to_date("event_timestamp")})
+        if not table_only:
+            text = F.to_json(F.struct(*wanted.columns))
+            lake.insert_if_absent(
+                keyed.select(text.alias("raw"), *PRICE_KEY, "date", "_arrival"), "raw", PRICE_KEY, "_arrival"
+            )
+        if not lake_only:
+            prices = stored_prices(keyed, F.lit(as_of).cast("timestamp"), "_arrival")
+            lake.insert_if_absent(prices, "prices", PRICE_KEY, "_arrival")
     inserted = fresh.limit(0) if lake_only else fresh
     return {
         "raw": wanted.limit(0) if table_only else wanted,
@@ -79,32 +101,51 @@ def backfill(
 
 
 def warehouse_sync(
-    prices: DataFrame, alerts: DataFrame, raw_prices: DataFrame, raw_alerts: DataFrame, as_of: str,
+    prices: DataFrame, alerts: DataFrame, raw_prices: DataFrame | None, raw_alerts: DataFrame | None, as_of: str,
     lake: Lake | None = None,
 ) -> Frames:
     """Last 24 hours into the warehouse tables, then the daily mart of the touched days.
 
-    Only the touched days of the warehouse take part in the anti-join and in the mart.
+    Only the touched days of the warehouse take part in the anti-join and in the mart. With a lake new prices and
+    alerts are stored in its warehouse datasets, and the mart is merged; a second run adds nothing.
+    Warehouse tables given as None are those of the lake.
     """
     day = F.date_sub(F.to_date(F.lit(as_of)), 1)
+    incoming = dedup.prepare_prices(landed.since(prices, "event_timestamp", as_of, 24))
+    recent_alerts = landed.since(alerts, "created_at", as_of, 24)
+    if raw_prices is None:
+        raw_prices = _warehouse(lake, "warehouse_prices", incoming)
+    if raw_alerts is None:
+        raw_alerts = _warehouse(lake, "warehouse_alerts", recent_alerts)
     touched_prices = raw_prices.filter(F.to_date("event_timestamp") >= day)
     touched_alerts = raw_alerts.filter(F.to_date("created_at") >= day)
-    incoming = dedup.prepare_prices(landed.since(prices, "event_timestamp", as_of, 24))
-    keyed = incoming.withColumn("_arrival", F.monotonically_increasing_id())
-    new_prices = dedup.new_rows(
-        keyed, touched_prices, ["crypto_id", "event_timestamp"], "_arrival"
-    ).drop("_arrival")
-    all_alerts = dedup.sync_alerts(
-        touched_alerts, landed.since(alerts, "created_at", as_of, 24)
-    )
+    keyed = incoming.withColumn("_arrival", landed.arrival(incoming))
+    new_prices = dedup.new_rows(keyed, touched_prices, PRICE_KEY, "_arrival").drop("_arrival")
+    all_alerts = dedup.sync_alerts(touched_alerts, recent_alerts)
+    if lake is not None:
+        new_prices, all_alerts = pin(new_prices), pin(all_alerts)
     mart = marts.daily_mart_exact(
         touched_prices.unionByName(new_prices.select(*touched_prices.columns)), all_alerts
     )
     if lake is not None:
+        mart = pin(mart)
+        dated = new_prices.withColumns({"date": F.to_date("event_timestamp"), "_arrival": F.lit(0)})
+        lake.insert_if_absent(dated, "warehouse_prices", PRICE_KEY, "_arrival")
+        # An alert has no key of its own: the whole row is one.
+        row_id = F.sha2(F.to_json(F.struct(*all_alerts.columns)), 256)
+        dated = all_alerts.withColumns({"row_id": row_id, "date": F.to_date("created_at"), "_arrival": F.lit(0)})
+        lake.insert_if_absent(dated, "warehouse_alerts", ["row_id"], "_arrival")
         lake.upsert(mart, "daily_summary", ["crypto_id", "trade_date"])
     return {"prices": new_prices, "alerts": all_alerts, "mart": mart}
 
 
+def _warehouse(lake: Lake, dataset: str, like: DataFrame) -> DataFrame:
+    """A warehouse table of the lake in the columns of what is about to come in."""
+    fields = [f for f in like.schema if f.name != "date"]
+    found = lake.stored(dataset, StructType([*fields, StructField("date", DateType())]))
+    return found.select(*[f.name for f in fields])
+
+
 def build_marts(raw_prices: DataFrame, raw_alerts: DataFrame) -> Frames:
     """Staging views and marts, with the not-null checks of the staged prices."""
     spark = raw_prices.sparkSession
@@ -133,8 +174,8 @@ def technical_run(prices: DataFrame, date: str, last: int | None = 200, lake: La
 def correlation_run(
     prices: DataFrame, ids: Sequence[str], as_of: str, proxy: str, days: int = 30, lake: Lake | None = None
 ) -> Frames:
-    closes = corr.daily_closes(prices, ids, as_of, days)
-    pairs = corr.correlation_pairs(corr.price_matrix(closes, ids, as_of, days), ids)
+    closes = pin(corr.daily_closes(prices, ids, as_of, days))
+    pairs = pin(corr.correlation_pairs(corr.price_matrix(closes, ids, as_of, days), ids))
     frames = {
         "pairs": pairs.withColumn("correlation", F.round("correlation", 4)),
         "high": corr.high_correlation(pairs),
@@ -168,7 +209,7 @@ def alerting_run(prices: DataFrame, minutes: int = 30, lake: Lake | None = None)
     The history is appended, never replaced.
     """
     fired = al.tiered_alerts(prices, keep=("price_usd", "change_24h_pct"))
-    flagged = al.suppress_alerts(fired, minutes)
+    flagged = pin(al.suppress_alerts(fired, minutes))
     frames = {
         "alerts": flagged,
         "messages": al.alert_messages(flagged.filter(~F.col("suppressed"))),
@@ -183,12 +224,8 @@ def health_run(
     assets: DataFrame, prices: DataFrame, present: DataFrame, as_of: str, date: str, lake: Lake | None = None
 ) -> Frames:
     """Observatory checks and the health report over them."""
-    observed = obs.observatory(
-        obs.freshness(assets, prices, as_of),
-        obs.completeness(assets, present, date, date),
-        obs.price_anomalies(prices),
-        date,
-    )
+    checks = obs.price_checks(assets, prices, as_of)
+    observed = pin(obs.observatory(checks, obs.completeness(assets, present, date, date), None, date))
     frames = {
         "observatory": observed,
         "report": obs.health_report(observed),
@@ -208,8 +245,8 @@ def health_trend_run(lake: Lake, date: str, days: int = 7) -> Frames:
 def quality_run(
     validated: DataFrame, time: str, first: str, last: str, lake: Lake | None = None
 ) -> Frames:
-    hourly = mon.quality_hourly(mon.validation_counters(validated, time), first, last)
-    daily = mon.quality_daily(hourly)
+    hourly = pin(mon.quality_hourly(mon.validation_counters(validated, time), first, last))
+    daily = pin(mon.quality_daily(hourly))
     frames = {
         "hourly": hourly,
         "daily": daily,

@@ -32,6 +32,8 @@ DATASETS: dict[str, tuple[str, ...]] = {
     "raw": ("date", "crypto_id", *BATCH),
     "prices": ("date",),
     "alerts": ("date", "crypto_id", "alert_type", *BATCH),
+    "warehouse_prices": ("date",),
+    "warehouse_alerts": ("date",),
     "alert_history": ("date", *BATCH),
     "aggregations": ("date", "hour", *BATCH),
     "partials": ("date", "hour", *BATCH),
