@@ -443,3 +443,22 @@ def test_tables(spark):
         assert ddl.startswith(f"CREATE TABLE IF NOT EXISTS {name} (") and "USING parquet PARTITIONED BY" in ddl
     assert "price_usd decimal(20,8)" in schema.create_table_sql("crypto_prices")
     assert schema.assets(spark).count() == 5
+
+
+def test_sessions_equal_those_of_spark(spark):
+    """Also with events exactly the gap apart, on slot bounds, and of one instant."""
+    df = spark.range(600).selectExpr(
+        "if(id % 3 = 0, 'a', 'b') crypto_id",
+        "timestamp_seconds(1700000000 + 60 * (pmod(hash(id), 2000) + if(id % 7 = 0, 5, 0))) event_timestamp",
+        "cast(id as double) price_usd", "cast(null as double) change_24h_pct",
+    )
+    df = df.unionByName(spark.sql(
+        "select 'a' crypto_id, t event_timestamp, 1.0D price_usd, 2.0D change_24h_pct "
+        "from values (timestamp'2024-01-01 00:00:00'), (timestamp'2024-01-01 00:10:00'), (timestamp'2024-01-01 00:20:01'), "
+        "(timestamp'2024-01-01 00:20:01'), (cast(null as timestamp)) as v(t)"
+    ))
+    for gap in ("10 minutes", "7 minutes", "1 hour"):
+        got = marts.session_agg(df, gap).select("crypto_id", "session_start", "session_end", "record_count", "min_price", "max_price")
+        own = df.filter("event_timestamp is not null").groupBy("crypto_id", F.session_window("event_timestamp", gap).alias("w"))
+        want = own.agg(F.count(F.lit(1)), F.min("price_usd"), F.max("price_usd"))
+        assert rows(got) == rows(want.select("crypto_id", "w.start", "w.end", *want.columns[2:]))

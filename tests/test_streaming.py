@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.operators import alerts as al
+from tidemark.operators import alerts as al, marts
 from tidemark.sinks.lake import Lake
 from tidemark.sources.landed import read_landed_json
 from tidemark.streaming import ingest, monitor, suppression, windows
@@ -124,6 +124,26 @@ def test_append_mode_with_dedup(spark, topic, tmp_path):
     assert (got.record_count, got.avg_price) == (2, 2.0)
 
 
+def test_sessions_of_a_stream_equal_those_of_a_table(spark, topic, lake, tmp_path):
+    at = [(10, 0), (10, 25), (10, 55), (11, 26), (11, 30), (13, 0), (10, 40)]  # the last one comes late
+    topic.put(*[event(m, 1.0 + i, hour=h) for i, (h, m) in enumerate(at[:3])])
+    topic.put(event(at[6][1], 7.0, hour=10), event(5, 2.0, crypto="solana"), event(at[3][1], 4.0, hour=11))
+    topic.put(event(at[4][1], 5.0, hour=11))
+    topic.put(event(at[5][1], 6.0, hour=13))
+    topic.put(event(0, 1.0, hour=20))
+    run = lambda: finish(windows.start_sessions(topic.stream(), lake, str(tmp_path / "cp"), "30 minutes", "1 hour", trigger=NOW))
+    run()
+    topic.put(event(0, 1.0, hour=23))
+    run()
+    table = spark.read.text(str(topic.folder))
+    from tidemark.sources.landed import parse_events, with_event_time
+
+    prices = with_event_time(parse_events(table)).filter("event_timestamp < '2026-06-09 23:00:00'")
+    want = marts.session_agg(prices, "30 minutes")
+    assert rows(lake.read("sessions"), *want.columns) == rows(want)
+    assert sorted(r.record_count for r in want.collect()) == [1, 1, 1, 2, 4]
+
+
 def test_merge_mode_accepts_any_lateness(spark, topic, lake, tmp_path):
     topic.put(event(0, 1.0), event(0, 3.0, second=30))
     topic.put(event(0, 7.0, hour=20))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import count_where, without_nan
@@ -41,6 +41,50 @@ def window_agg(
     )
 
 
+def session_agg(prices: DataFrame, gap: str = "30 minutes", time: str = "event_timestamp") -> DataFrame:
+    """Price aggregates per asset and session: events of which each is at most `gap` after the one before.
+
+    A session ends `gap` after its last event. On a stream, Spark's own session state merges them, and those the watermark has
+    passed come out. On a table, events are first summed up in slots as long as the gap: those of one slot are
+    always in one session. So a hot asset is combined before the shuffle, and what is put in order for an asset is at
+    most one row per slot, whatever its number of events. Events without a time belong to no session.
+    """
+    rows = without_nan(prices, *NUMBERS).filter(F.col(time).isNotNull())
+    sums = [
+        F.sum("price_usd").alias("price_sum"), F.count("price_usd").alias("price_count"),
+        F.min("price_usd").alias("min_price"), F.max("price_usd").alias("max_price"),
+        F.sum("change_24h_pct").alias("change_sum"), F.count("change_24h_pct").alias("change_count"),
+        F.count(F.lit(1)).alias("record_count"),
+    ]
+    if prices.isStreaming:
+        grouped = rows.groupBy("crypto_id", F.session_window(time, gap).alias("_w")).agg(*sums)
+        sessions = grouped.select(
+            "*", F.col("_w.start").alias("session_start"), F.col("_w.end").alias("session_end")
+        )
+    else:
+        length = F.expr(f"INTERVAL {gap}")
+        slots = rows.groupBy("crypto_id", F.window(time, gap).alias("_w")).agg(
+            *sums, F.min(time).alias("_first"), F.max(time).alias("_last")
+        )
+        by_time = Window.partitionBy("crypto_id").orderBy("_first")
+        begins = F.coalesce(F.col("_first") > F.lag("_last").over(by_time) + length, F.lit(True))
+        islands = slots.withColumn("_begins", begins).withColumn("_island", F.count_if("_begins").over(by_time))
+        added = ["price_sum", "price_count", "change_sum", "change_count", "record_count"]
+        sessions = islands.groupBy("crypto_id", "_island").agg(
+            *[F.sum(c).alias(c) for c in added],
+            F.min("min_price").alias("min_price"), F.max("max_price").alias("max_price"),
+            F.min("_first").alias("session_start"), (F.max("_last") + length).alias("session_end"),
+        )
+
+    def mean(total: str, count: str) -> Column:
+        return F.col(total) / F.when(F.col(count) > 0, F.col(count))
+
+    return sessions.select(
+        "crypto_id", "session_start", "session_end", mean("price_sum", "price_count").alias("avg_price"),
+        "min_price", "max_price", mean("change_sum", "change_count").alias("avg_change_24h"), "record_count",
+    )
+
+
 def window_ohlc(prices: DataFrame, size: str = "1 minute", time: str = "event_timestamp") -> DataFrame:
     """Open, high, low and close per asset and window."""
     return (

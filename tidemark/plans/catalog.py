@@ -31,8 +31,7 @@ from tidemark.session import apply_settings
 from tidemark.sources import adapters as src, landed
 
 Query = Callable[[SparkSession, str], DataFrame]
-IDS, AS_OF = src.ASSET_IDS, src.AS_OF
-FIRST, LAST = src.FIRST_DAY, src.LAST_DAY
+IDS, AS_OF, DAYS = src.ASSET_IDS, src.AS_OF, src.DAYS
 CATALOG: dict[str, Query] = {}
 
 
@@ -159,8 +158,8 @@ def audit_logs(s, d):
 
 @query
 def price_matrix(s, d):
-    closes = corr.daily_closes(_prices(s, d), IDS, AS_OF)
-    return corr.price_matrix(closes, IDS, AS_OF)
+    closes = corr.daily_closes(_prices(s, d), IDS, AS_OF, DAYS)
+    return corr.price_matrix(closes, IDS, AS_OF, DAYS)
 
 
 @query
@@ -428,6 +427,11 @@ def window_agg_minute(s, d):
     return _rounded(_windows(s, d, "1 minute"), "avg_price", "price_range", "avg_change_24h")
 
 
+@query
+def window_sessions(s, d):
+    return _rounded(marts.session_agg(_prices(s, d), "30 minutes"), "avg_price", "avg_change_24h")
+
+
 @query
 def window_agg_sliding(s, d):
     sliding = marts.window_agg(_prices(s, d), "2 hours", "1 hour")
@@ -516,7 +520,7 @@ def peak_hour(s, d):
 
 @query
 def alert_patterns(s, d):
-    return al.alert_patterns(_tiered(s, d), AS_OF, 30)
+    return al.alert_patterns(_tiered(s, d), AS_OF, DAYS)
 
 
 @query
@@ -537,7 +541,7 @@ def step_stats(s, d):
 
 @query
 def hourly_report(s, d):
-    return mon.hourly_report(src.step_metrics(s, d), FIRST, LAST)
+    return mon.hourly_report(src.step_metrics(s, d), *src.day_bounds(s, d))
 
 
 @query
@@ -557,24 +561,24 @@ def sla_overall(s, d):
 
 @query
 def quality_hourly(s, d):
-    return mon.quality_hourly(_counters(s, d), FIRST, LAST)
+    return mon.quality_hourly(_counters(s, d), *src.day_bounds(s, d))
 
 
 @query
 def quality_daily(s, d):
-    return mon.quality_daily(mon.quality_hourly(_counters(s, d), FIRST, LAST))
+    return mon.quality_daily(mon.quality_hourly(_counters(s, d), *src.day_bounds(s, d)))
 
 
 @query
 def quality_alert(s, d):
-    daily = mon.quality_daily(mon.quality_hourly(_counters(s, d), FIRST, LAST))
+    daily = mon.quality_daily(mon.quality_hourly(_counters(s, d), *src.day_bounds(s, d)))
     return mon.quality_alert(daily, 50.0).select("date", "quality_score_pct", "alert")
 
 
 @query
 def quality_trend(s, d):
-    daily = mon.quality_daily(mon.quality_hourly(_counters(s, d), FIRST, LAST))
-    return mon.quality_trend(daily, LAST, 7)
+    daily = mon.quality_daily(mon.quality_hourly(_counters(s, d), *src.day_bounds(s, d)))
+    return mon.quality_trend(daily, src.day_bounds(s, d)[1], 7)
 
 
 @query
@@ -672,12 +676,14 @@ def _present(s, d):
 
 
 def _completeness(s, d):
-    return obs.completeness(src.assets(s, d), _present(s, d), FIRST, LAST)
+    return obs.completeness(src.assets(s, d), _present(s, d), *src.day_bounds(s, d))
 
 
 def _observatory(s, d):
     checks = obs.price_checks(src.assets(s, d), _prices(s, d), AS_OF)
-    return obs.observatory(checks, _completeness(s, d), None, LAST)
+    last = src.day_bounds(s, d)[1]
+    complete = obs.completeness(src.assets(s, d), _present(s, d), last, last)
+    return obs.observatory(checks, complete, None, last)
 
 
 @query
@@ -720,16 +726,16 @@ def health_trend(s, d):
     """Daily success rates as the score history."""
     daily = mon.daily_report(src.step_metrics(s, d)).filter("step = 'ALL'")
     history = daily.select("date", F.col("success_rate_pct").alias("overall_score"))
-    return mon.health_trend(history, LAST, 7)
+    return mon.health_trend(history, src.day_bounds(s, d)[1], 7)
 
 
 # ---- correlation -------------------------------------------------------------------------------
 def _closes(s, d):
-    return corr.daily_closes(_prices(s, d), IDS, AS_OF)
+    return corr.daily_closes(_prices(s, d), IDS, AS_OF, DAYS)
 
 
 def _pairs(s, d):
-    return corr.correlation_pairs(corr.price_matrix(_closes(s, d), IDS, AS_OF), IDS)
+    return corr.correlation_pairs(corr.price_matrix(_closes(s, d), IDS, AS_OF, DAYS), IDS)
 
 
 @query
@@ -739,7 +745,7 @@ def correlation_pairs(s, d):
 
 @query
 def correlation_pairs_returns(s, d):
-    matrix = corr.price_matrix(_closes(s, d), IDS, AS_OF)
+    matrix = corr.price_matrix(_closes(s, d), IDS, AS_OF, DAYS)
     return _rounded(corr.correlation_pairs(corr.matrix_returns(matrix, IDS), IDS), "correlation")
 
 

@@ -77,7 +77,8 @@ PARTS = {
         avg(price_usd) AS avg_price, min(price_usd) AS min_price, max(price_usd) AS max_price,
         max(price_usd) - min(price_usd) AS price_range, avg(change_24h_pct) AS avg_change_24h,
         count(*) AS record_count FROM prices GROUP BY ALL""",
-    "days": """SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS date""",
+    "days": """SELECT CAST(unnest(generate_series((SELECT min(ts)::DATE FROM events), (SELECT max(ts)::DATE FROM events),
+        INTERVAL 1 DAY)) AS DATE) AS date""",
     "hours": "SELECT date, unnest(range(24)) AS hour FROM days",
     "latest": """SELECT crypto_id, price_usd, change_24h_pct, event_timestamp FROM prices
         QUALIFY row_number() OVER (PARTITION BY crypto_id ORDER BY event_timestamp DESC) = 1""",
@@ -163,10 +164,10 @@ PARTS = {
         anomaly_count, anomaly_pct,
         round(CASE WHEN is_fresh THEN 40.0 ELSE 0.0 END + completeness_pct / 100 * 40
               + CASE WHEN anomaly_pct < 5 THEN 20.0 ELSE 10.0 END, 2) AS score
-        FROM fresh f JOIN complete c ON c.crypto_id = f.crypto_id AND c.date = '2024-01-30'
+        FROM fresh f JOIN complete c ON c.crypto_id = f.crypto_id AND c.date = (SELECT CAST(max(ts)::DATE AS VARCHAR) FROM events)
         JOIN odd o ON o.crypto_id = f.crypto_id""",
     "closes": """SELECT crypto_id, CAST(event_timestamp AS DATE) AS date, arg_max(price_usd, event_timestamp) AS close
-        FROM prices WHERE CAST(event_timestamp AS DATE) > DATE '2024-01-01' GROUP BY ALL""",
+        FROM prices WHERE CAST(event_timestamp AS DATE) > DATE '2023-12-31' GROUP BY ALL""",
     "pairs": """SELECT a.crypto_id AS crypto1, b.crypto_id AS crypto2, corr(a.close, b.close) AS correlation
         FROM closes a JOIN closes b ON a.date = b.date AND a.crypto_id < b.crypto_id GROUP BY 1, 2""",
     "returns": """SELECT n.crypto_id, n.date, n.close / b.close - 1 AS r FROM closes n JOIN closes b
@@ -295,7 +296,7 @@ sql("price_matrix", "closes", """SELECT CAST(d.date AS VARCHAR) AS date,
     max(close) FILTER (crypto_id = 'click') AS click, max(close) FILTER (crypto_id = 'error') AS error,
     max(close) FILTER (crypto_id = 'purchase') AS purchase, max(close) FILTER (crypto_id = 'signup') AS signup,
     max(close) FILTER (crypto_id = 'view') AS view
-    FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-02', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS date) d
+    FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS date) d
     LEFT JOIN closes c ON c.date = d.date GROUP BY d.date ORDER BY 1""")
 sql("last_n_prices", "prices", """SELECT crypto_id, event_timestamp, price_usd FROM prices
     QUALIFY row_number() OVER (PARTITION BY crypto_id ORDER BY event_timestamp DESC) <= 200 ORDER BY 1, 2""")
@@ -410,6 +411,14 @@ _WINDOW = f"""{half_up('avg(price_usd)', 6)} AS avg_price, min(price_usd) AS min
 for _name, _size in (("window_agg", "1 HOUR"), ("window_agg_minute", "1 MINUTE")):
     sql(_name, "prices", f"""SELECT crypto_id, time_bucket(INTERVAL {_size}, event_timestamp) AS window_start,
     time_bucket(INTERVAL {_size}, event_timestamp) + INTERVAL {_size} AS window_end, {_WINDOW} FROM prices GROUP BY 1, 2, 3""")
+sql("window_sessions", "prices", f"""SELECT crypto_id, min(event_timestamp) AS session_start,
+    max(event_timestamp) + INTERVAL 30 MINUTE AS session_end, {half_up('avg(price_usd)', 6)} AS avg_price,
+    min(price_usd) AS min_price, max(price_usd) AS max_price, {half_up('avg(change_24h_pct)', 6)} AS avg_change_24h,
+    count(*) AS record_count FROM (
+        SELECT *, count(*) FILTER (begins) OVER (PARTITION BY crypto_id ORDER BY event_timestamp) AS island FROM (
+            SELECT *, coalesce(event_timestamp - lag(event_timestamp) OVER (PARTITION BY crypto_id ORDER BY event_timestamp)
+                > INTERVAL 30 MINUTE, true) AS begins FROM prices))
+    GROUP BY crypto_id, island""")
 sql("window_agg_sliding", "prices", f"""SELECT crypto_id, window_start, window_start + INTERVAL 2 HOUR AS window_end, {_WINDOW}
     FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, event_timestamp) - to_hours(unnest([0, 1])) AS window_start FROM prices)
     GROUP BY 1, 2, 3""")
@@ -458,11 +467,11 @@ sql("peak_hour", "tiered", """SELECT strftime(triggered_at, '%H') AS peak_hour,
 sql("alert_patterns", "tiered", """SELECT kind, key, alerts,
     row_number() OVER (PARTITION BY kind ORDER BY alerts DESC, key) = 1 AS is_top FROM (
     SELECT kind, key, sum(n)::BIGINT AS alerts FROM (
-        SELECT 'crypto' AS kind, crypto_id AS key, 1 AS n FROM tiered WHERE triggered_at >= TIMESTAMP '2024-01-02 00:00:00'
-        UNION ALL SELECT 'rule', rule_id, 1 FROM tiered WHERE triggered_at >= TIMESTAMP '2024-01-02 00:00:00'
-        UNION ALL SELECT 'day', CAST(CAST(triggered_at AS DATE) AS VARCHAR), 1 FROM tiered WHERE triggered_at >= TIMESTAMP '2024-01-02 00:00:00'
+        SELECT 'crypto' AS kind, crypto_id AS key, 1 AS n FROM tiered WHERE triggered_at >= TIMESTAMP '2024-01-01 00:00:00'
+        UNION ALL SELECT 'rule', rule_id, 1 FROM tiered WHERE triggered_at >= TIMESTAMP '2024-01-01 00:00:00'
+        UNION ALL SELECT 'day', CAST(CAST(triggered_at AS DATE) AS VARCHAR), 1 FROM tiered WHERE triggered_at >= TIMESTAMP '2024-01-01 00:00:00'
         UNION ALL SELECT 'day', CAST(CAST(d AS DATE) AS VARCHAR), 0
-            FROM (SELECT unnest(generate_series(DATE '2024-01-02', DATE '2024-01-31', INTERVAL 1 DAY)) AS d)) GROUP BY 1, 2)""")
+            FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d)) GROUP BY 1, 2)""")
 sql("alert_statistics", "tiered", """SELECT 'severity' AS kind, severity AS key, count(*) AS alerts FROM tiered GROUP BY severity
     UNION ALL SELECT 'crypto', crypto_id, count(*) FROM tiered GROUP BY crypto_id
     UNION ALL SELECT 'total', 'all', count(*) FROM tiered""")
@@ -496,7 +505,8 @@ _TREND = """SELECT CASE WHEN days >= 2 AND recent > older + {m} THEN 'improving'
     ELSE 'stable' END AS trend, round(a, {d}) AS avg_score, days FROM (
     SELECT count(*) AS days, avg(s) AS a, avg(s) FILTER (n <= 3) AS recent, avg(s) FILTER (o <= 3) AS older FROM (
         SELECT s, row_number() OVER (ORDER BY date DESC) AS n, row_number() OVER (ORDER BY date) AS o FROM ({src})
-        WHERE date > '2024-01-23' AND date <= '2024-01-30'))"""
+        WHERE date > (SELECT CAST(max(ts)::DATE - 7 AS VARCHAR) FROM events)
+            AND date <= (SELECT CAST(max(ts)::DATE AS VARCHAR) FROM events)))"""
 sql("quality_trend", "dailyquality", _TREND.format(m=2, f="declining", d=1, src="SELECT date, quality_score_pct AS s FROM dailyquality"))
 sql("health_trend", "stepmetrics", _TREND.format(m=5, f="degrading", d=2, src="""SELECT CAST(CAST(recorded_at AS DATE) AS VARCHAR) AS date,
     round(count(*) FILTER (status = 'success') / count(*) * 100.0, 2) AS s FROM stepmetrics GROUP BY 1"""))

@@ -38,6 +38,7 @@ DATASETS: dict[str, tuple[str, ...]] = {
     "aggregations": ("date", "hour", *BATCH),
     "partials": ("date", "hour", *BATCH),
     "event_keys": ("date", *BATCH),
+    "sessions": ("date", *BATCH),
     "dead_letters": ("date", "step", *BATCH),
     "step_metrics": ("date", "step", *BATCH),
     "sla_metrics": ("date", "sla_id"),

@@ -12,9 +12,17 @@ from tidemark.schema import PIPELINE_STEPS, STORAGE_PREFIXES
 
 ASSET_IDS = ["click", "error", "purchase", "signup", "view"]
 AS_OF = "2024-01-31 00:00:00"
+#: Days up to that of AS_OF that hold the whole month; its own day is empty so far.
+DAYS = 31
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
 
 
+def day_bounds(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """First and last day of the events, and so of everything made from them: two values."""
+    found = table(spark, folder, "events").agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
+    return tuple(str(day) if day is not None else default for day, default in zip(found, (FIRST_DAY, LAST_DAY)))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

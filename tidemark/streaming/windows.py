@@ -11,16 +11,16 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions import without_nan
 from tidemark.operators.deadletters import dead_letters
 from tidemark.operators.dedup import new_rows
-from tidemark.operators.marts import NUMBERS, window_agg
+from tidemark.operators.marts import NUMBERS, session_agg, window_agg
 from tidemark.operators.validation import split, validate_aggregates, validate_events
 from tidemark.schema import TRACKED_IDS
-from tidemark.session import pin, shared_dir
+from tidemark.session import apply_settings, pin, shared_dir
 from tidemark.sinks.lake import Lake
 from tidemark.sources.landed import arrival, parse_events, with_event_time
 from tidemark.streaming.monitor import counted, late_rows, step_rows, watched
 
 __all__ = [
-    "aggregate_stream", "late_rows", "merge_batch", "merged_windows", "partial_windows", "start_aggregation", "start_merging",
+    "aggregate_stream", "late_rows", "merge_batch", "merged_windows", "partial_windows", "start_aggregation", "start_merging", "start_sessions",
     "store_aggregates", "valid_stream",
 ]
 
@@ -90,6 +90,33 @@ def start_aggregation(
     return watched(writer, step_rows(lake, "spark_process", run))
 
 
+def start_sessions(
+    raw: DataFrame,
+    lake: Lake,
+    checkpoint: str,
+    gap: str = "30 minutes",
+    delay: str = "10 minutes",
+    tracked: Sequence[str] = TRACKED_IDS,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Session aggregates, each stored once when the watermark has passed its end."""
+    apply_settings(lake.spark)
+    shared_dir(lake.spark)
+    run = lake.run_of(checkpoint)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        lake.write_batch(batch.withColumn("date", F.to_date("session_start")), "sessions", batch_id, run)
+
+    writer = (
+        session_agg(valid_stream(raw, delay, tracked), gap)
+        .writeStream.outputMode("append")
+        .foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+    )
+    return watched(writer, step_rows(lake, "spark_process", run))
+
+
 # ---- any lateness: partial aggregates per batch ---------------------------------------
 def partial_windows(events: DataFrame, size: str = "1 minute") -> DataFrame:
     """Sums and counts from which window aggregates can be merged in any order."""
