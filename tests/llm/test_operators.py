@@ -219,7 +219,7 @@ def test_language_id(spark):
 
 @pytest.mark.parametrize("name", list(queries.QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         spark.read.parquet(f"{FOLDER}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == (name == "op8_chat_format")
 

@@ -14,8 +14,12 @@ in the totals. Late customers of a dish are seated in groups, of whom a binomial
 draw depends on the dish, the chain and the sweep only, so every task that needs a seating draws the
 same one, and a task that runs again repeats it.
 
-All counts are over all training documents. Texts are dealt to chunks, which ask for their distinct
-words and pairs as packed keys (see `chunks`): frequent words are asked for once by a chunk.
+All counts are over all training documents. Each text is split and hashed once: a chunk of texts becomes packed
+rows, one for each part of the pairs, that hold its distinct pairs, how often training texts have them, and in which of
+its texts they stand. By part these rows become one table of pairs, each once, with its count; all seatings are
+drawn on that table, and words are summed up by an exchange of packed rows (see `chunks`). The same rows, shuffled
+once, then give each text's sum over its pairs. A pair belongs to a part by its own hash, so a frequent word's
+pairs are spread over all parts.
 
 Null text is empty: its only token is the end. Rows without an id are trained on. Repeated rows count
 each. Without training texts every token has the base probability. Empty table: no rows.
@@ -27,6 +31,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +47,10 @@ PARENT_DISCOUNT, PARENT_STRENGTH = 0.6, 10.0
 CHUNK_CHARS = 12_000_000
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 PAIR_BASE = np.uint64(0xA0761D6478BD642F)
-#: Kinds of questions, and the numbers of totals (less the chain, and 1000 for each sweep before).
-WORDS, PAIRS, STATE = 0, 1, 2
+#: Chunks whose pairs make a part.
+CHUNKS_PER_PART = 3
+#: Kinds of rows, and the numbers of totals (less the chain, and 1000 for each sweep before).
+WORDS, PAIRS, STATE, DOCS = 0, 1, 2, 9
 TOKENS, DISTINCT, TABLES, CUSTOMERS = -1, -2, -10, -20
 SCORED = pa.schema(
     [
@@ -123,32 +130,170 @@ def few_distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[order], place[codes]
 
 
-class Tokens:
-    """The tokens of a chunk: distinct words and pairs, and where each token stands among them."""
+def planes(values: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte and compressed: high bytes are mostly equal."""
+    wide = np.ascontiguousarray(values)
+    return chunks.small(wide.view(np.uint8).reshape(-1, wide.itemsize).T)
+
+
+def from_planes(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(chunks.large(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
+def several(*packed: bytes) -> bytes:
+    """Byte strings as one, with their lengths ahead."""
+    return np.array([len(packed), *map(len, packed)], np.int64).tobytes() + b"".join(packed)
+
+
+def apart(data: bytes) -> list[bytes]:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    ends = np.cumsum([8 * (n + 1), *np.frombuffer(data, np.int64, n, 8)])
+    return [data[x:y] for x, y in zip(ends, ends[1:])]
+
+
+def packed_chunk(number: int, rows: pa.Table, parts: int) -> list[dict]:
+    """A chunk of texts as rows: the documents, and for each part the pairs that stand in them."""
+    hashed = [common.word_hashes(folded(t.as_py()) if t.is_valid else None) for t in rows.column("text")]
+    sizes = np.array([len(h) + 1 for h in hashed], np.int64)
+    trained = np.array(rows.column("trained").to_pylist(), bool)
+    words, at = few_distinct(np.concatenate([x for h in hashed for x in (h, [END])] + [[START]]).astype(np.uint64))
+    del hashed
+    dish, start = at[:-1], at[-1]
+    context = np.empty_like(dish)
+    context[1:] = dish[:-1]
+    context[np.cumsum(sizes) - sizes] = start
+    n_words, n_docs = len(words), len(sizes)
+    code = (context * n_words + dish) * n_docs + np.repeat(np.arange(n_docs), sizes)
+    code, times = np.unique(code, return_counts=True)
+    pair, doc = np.divmod(code, n_docs)
+    first = np.flatnonzero(np.diff(pair, prepend=-1))
+    per_pair = np.diff(first, append=len(pair))
+    context, dish = np.divmod(pair[first], n_words)
+    learned = np.add.reduceat(times * trained[doc], first)
+    part = (pair_keys(words[context], words[dish]) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    of_entry = np.repeat(part, per_pair)
+    ids = [i.as_py() for i in rows.column("doc_id")]
+    known = np.array([i is not None for i in ids])
+    listed = several(
+        planes(np.array([i or 0 for i in ids], np.int64)), planes(known), planes(trained), planes(sizes.astype(np.uint32))
+    )
+    out = [{"part": number % parts, "chunk": number, "kind": DOCS, "keys": b"", "data": listed}]
+    for p in np.unique(part):
+        mine, entries = part == p, of_entry == p
+        used, place = few_distinct(np.concatenate([context[mine], dish[mine]]))
+        half = len(place) // 2
+        data = several(
+            planes(place[:half].astype(np.uint32)), planes(place[half:].astype(np.uint32)),
+            planes(learned[mine].astype(np.uint32)), planes(per_pair[mine].astype(np.uint32)),
+            planes(doc[entries].astype(np.uint32)), planes(times[entries].astype(np.uint32)),
+        )
+        steps = np.diff(words[used], prepend=np.uint64(0))
+        out.append({"part": int(p), "chunk": number, "kind": PAIRS, "keys": planes(steps), "data": data})
+    return out
 
-    def __init__(self, table: pa.Table) -> None:
-        hashed = [common.word_hashes(folded(t.as_py()) if t.is_valid else None) for t in table.column("text")]
-        self.sizes = np.array([len(h) + 1 for h in hashed], np.int64)
-        words = np.concatenate([x for h in hashed for x in (h, [END])]).astype(np.uint64)
-        before = np.concatenate([x for h in hashed for x in ([START], h)]).astype(np.uint64)
-        pairs = common.mixed(before * PAIR_BASE + words) & np.uint64(0xFFFFFFFFFFFF0000)  # 48 bits are asked with
-        self.words, self.word = few_distinct(words)
-        self.pairs, first, self.pair = np.unique(pairs, return_index=True, return_inverse=True)
-        self.dish = self.word[first]  # of each distinct pair
+
+def packed(parts: int, chunk_chars: int):
+    """A function for mapInArrow: texts gathered to chunks, and each chunk packed."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        number, held, chars = (TaskContext.get().partitionId() << 32) - 1, [], 0
+        for batch in batches:
+            lengths = np.array([len(t.as_buffer() or b"") + 1 if t.is_valid else 1 for t in batch.column("text")])
+            begin = 0
+            while begin < len(lengths):
+                # As many rows as fill the chunk, one at least.
+                room = np.searchsorted(np.cumsum(lengths[begin:]), max(chunk_chars - chars, 1)) + 1
+                piece = batch.slice(begin, int(room))
+                held.append(piece)
+                chars += int(lengths[begin : begin + len(piece)].sum())
+                begin += len(piece)
+                if chars >= chunk_chars:
+                    number += 1
+                    yield from chunks.table_of(packed_chunk(number, pa.Table.from_batches(held), parts)).to_batches()
+                    held, chars = [], 0
+        if held:
+            yield from chunks.table_of(packed_chunk(number + 1, pa.Table.from_batches(held), parts)).to_batches()
+
+    return run
+
+
+def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return common.mixed(before * PAIR_BASE + words)
+
+
+class Packed:
+    """The pairs of one chunk in one part, and the texts they stand in."""
+
+    def __init__(self, row: dict) -> None:
+        words = np.cumsum(from_planes(row["keys"], np.uint64), dtype=np.uint64)
+        data = apart(row["data"])
+        context, dish, self.learned, self.per_pair = (from_planes(d, np.uint32) for d in data[:4])
+        self.entries = data[4:]
+        self.context, self.dish = words[context], words[dish]
+        self.chunk = row["chunk"]
+        self.keys = pair_keys(self.context, self.dish)
+
+    def sums(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts with pairs here, and for each row of `values` by pair its sum over a text's pairs."""
+        doc, times = (from_planes(d, np.uint32) for d in self.entries)
+        each = np.repeat(values, self.per_pair, axis=1) * times
+        there, place = few_distinct(doc)
+        return there, np.array([np.bincount(place, weights=v, minlength=len(there)) for v in each])
+
+
+class Pairs:
+    """The distinct pairs of a part and their words."""
+
+    def __init__(self, keys: np.ndarray, context: np.ndarray, dish: np.ndarray, counts: np.ndarray) -> None:
+        self.pairs, self.counts = keys, counts
+        self.words, place = few_distinct(np.concatenate([np.where(context == START, END, context), dish]))
         # A start is seated as often as an end, so the end's counts serve for it.
-        self.context = np.searchsorted(self.words, np.where(before[first] == START, END, before[first]))
-        self.trained = np.array(table.column("trained").to_pylist(), bool)
-        self.counted = np.repeat(self.trained, self.sizes)
+        self.context, self.dish = place[: len(keys)], place[len(keys) :]
+
+    @staticmethod
+    def of(rows: list[Packed]) -> tuple[Pairs, list[np.ndarray]]:
+        """All pairs of the chunks' rows, each once, and which of them each row's are."""
+        keys, first, which = np.unique(chunks.joined([r.keys for r in rows]), return_index=True, return_inverse=True)
+        context = chunks.joined([r.context for r in rows])[first]
+        dish = chunks.joined([r.dish for r in rows])[first]
+        learned = chunks.joined([r.learned for r in rows], np.uint32)
+        made = Pairs(keys, context, dish, np.bincount(which, weights=learned, minlength=len(keys)))
+        return made, np.split(which, np.cumsum([len(r.keys) for r in rows])[:-1])
+
+    @staticmethod
+    def read(table: pa.Table) -> Pairs:
+        row = table.to_pylist()[0]
+        context, dish, counts = (np.frombuffer(d, np.uint64) for d in apart(row["data"]))
+        return Pairs(np.frombuffer(row["keys"], np.uint64), context, dish, counts.view(np.float64))
+
+
+def packed_rows(table: pa.Table) -> list[Packed]:
+    return [Packed(r) for r in table.filter(pa.compute.equal(table.column("kind"), PAIRS)).to_pylist()]
+
+
+def merged(table: pa.Table) -> list[dict]:
+    """The pairs of a part as one row, under the part's number."""
+    rows = packed_rows(table)
+    if not rows:
+        return []
+    made, _ = Pairs.of(rows)
+    whole = [np.concatenate([getattr(r, name) for r in rows]) for name in ("keys", "context", "dish")]
+    _, first = np.unique(whole[0], return_index=True)
+    data = several(whole[1][first].tobytes(), whole[2][first].tobytes(), made.counts.tobytes())
+    part = table.column("part")[0].as_py()
+    return [{"part": part, "chunk": part, "kind": PAIRS, "keys": made.pairs.tobytes(), "data": data}]
 
 
 def asked(number: int, kind: int, keys: np.ndarray, parts: int, columns: np.ndarray, head: bytes = b"") -> list[dict]:
-    """A question with columns of small counts behind a head; pairs, of which there are most, as distances of keys."""
+    """A question about words, with columns of small counts behind a head."""
     rows = chunks.asked(number, kind, keys, parts, np.arange(len(keys), dtype=np.int64))
     for row in rows:
         where = np.frombuffer(row["data"], np.int64)
         row["data"] = head + chunks.small(columns[:, where[0] : where[-1] + 1].astype(np.uint32))
-        if kind == PAIRS:
-            row["keys"] = chunks.gaps(np.frombuffer(row["keys"], np.uint64))
+        row["keys"] = planes(np.diff(np.frombuffer(row["keys"], np.uint64), prepend=np.uint64(0)))
     return rows
 
 
@@ -157,11 +302,10 @@ class Asked:
 
     def __init__(self, table: pa.Table, kind: int, head: int = 0) -> None:
         rows = [r for r in table.to_pylist() if r["kind"] == kind]
-        read = chunks.from_gaps if kind == PAIRS else lambda b: np.frombuffer(b, np.uint64)
         self.part = table.column("part")[0].as_py()
         self.kind = kind
         self.numbers = [r["chunk"] for r in rows]
-        keys = [read(r["keys"]) for r in rows]
+        keys = [np.cumsum(from_planes(r["keys"], np.uint64), dtype=np.uint64) for r in rows]
         self.sizes = [len(k) for k in keys]
         self.head = rows[0]["data"][:head] if rows else bytes(head)
         data = [chunks.large(r["data"][head:], np.uint32).reshape(-1, len(k)) for r, k in zip(rows, keys)]
@@ -215,23 +359,19 @@ def score(
     Documents for which `trained` holds are learned from; all are scored. After the first seating come `sweeps` more.
     """
     flag = F.coalesce(trained, F.lit(True)).alias("trained")
-    texts, n_chunks = chunks.dealt(docs, id_col, text_col, chunk_chars, flag)
-    parts = max(1, math.ceil(n_chunks / 2))
+    texts = common.documents(docs, id_col, text_col, flag)
+    chars = texts.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1)).first()[0] or 0
+    parts = max(1, math.ceil(chars / chunk_chars / CHUNKS_PER_PART))
 
     def ask_counts(table: pa.Table) -> list[dict]:
-        t = Tokens(table)
-        number = table.column("chunk")[0].as_py()
-        words = np.bincount(t.word[t.counted], minlength=len(t.words))[None]
-        pairs = np.bincount(t.pair[t.counted], minlength=len(t.pairs))[None]
-        return asked(number, WORDS, t.words, parts, words) + asked(number, PAIRS, t.pairs, parts, pairs)
+        t = Pairs.read(table)
+        counts = np.bincount(t.dish, weights=t.counts, minlength=len(t.words))[None]
+        return asked(table.column("chunk")[0].as_py(), WORDS, t.words, parts, counts)
 
     def count(table: pa.Table) -> list[dict]:
-        """Totals of words and pairs, and for which chunk a pair is the one to be seated: the first that trains on it."""
-        words, pairs = Asked(table, WORDS), Asked(table, PAIRS)
-        owner = np.zeros(len(pairs.which))
-        at = np.flatnonzero(pairs.data[0])
-        owner[at[np.unique(pairs.which[at], return_index=True)[1]]] = 1
-        rows = words.told(words.totals[:, words.which]) + pairs.told(np.vstack([pairs.totals[0][pairs.which], owner]))
+        """How often training texts have each word."""
+        words = Asked(table, WORDS)
+        rows = words.told(words.totals[:, words.which])
         return [*rows, total_row(TOKENS, words.totals.sum()), total_row(DISTINCT, (words.totals > 0).sum())]
 
     def base(seen: np.ndarray, totals: dict[int, int]) -> np.ndarray:
@@ -245,8 +385,8 @@ def score(
         backed = spare / (totals.get(DISTINCT, 0) + 1)
         return np.maximum(customers - PARENT_DISCOUNT * own, 0) / (PARENT_STRENGTH + all_customers) + backed
 
-    def drawn(t: Tokens, told: Answers, of_pair: np.ndarray, k: int, sweep: int) -> np.ndarray:
-        """Tables of the chunk's pairs in chain k and a sweep, given the state that the sweep before left."""
+    def drawn(t: Pairs, told: Answers, k: int, sweep: int) -> np.ndarray:
+        """Tables of the part's pairs in chain k and a sweep, given the state that the sweep before left."""
         if sweep:
             state = told.columns(STATE + sweep - 1, 3 * chains)
             prior, opened = parent(state, {**told.totals, **sweep_totals(told, sweep - 1)}, k), state[k]
@@ -254,7 +394,7 @@ def score(
             seen = told.columns(WORDS, 1)[0]
             prior, opened = base(seen, told.totals), seen**0.8
         weight = (STRENGTH + DISCOUNT * opened[t.context]) * prior[t.dish]
-        return tables_drawn(of_pair, weight, DISCOUNT, t.pairs, k + chains * sweep)
+        return tables_drawn(t.counts, weight, DISCOUNT, t.pairs, k + chains * sweep)
 
     def sweep_totals(told: Answers, sweep: int) -> dict[int, int]:
         at = 1000 * sweep
@@ -270,9 +410,8 @@ def score(
         def run(table: pa.Table, answers: pa.Table) -> pa.Table:
             if not table.num_rows:
                 return chunks.empty()
-            t, told = Tokens(table), Answers(answers)
-            of_pair, owner = told.columns(PAIRS, 2)
-            own = [drawn(t, told, of_pair, k, sweep) * owner for k in range(chains)]
+            t, told = Pairs.read(table), Answers(answers)
+            own = [drawn(t, told, k, sweep) for k in range(chains)]
             sums = [np.bincount(by, weights=w, minlength=len(t.words)) for by in (t.context, t.dish) for w in own]
             number = table.column("chunk")[0].as_py()
             return chunks.table_of(asked(number, STATE + sweep, t.words, parts, np.array(sums), parent_weights(told, sweep)))
@@ -302,51 +441,73 @@ def score(
         return run
 
     def with_totals(answers: DataFrame) -> DataFrame:
-        return answers.filter("chunk >= 0").union(chunks.to_all(answers, n_chunks))
+        return answers.filter("chunk >= 0").union(chunks.to_all(answers, parts))
 
-    # Dealt by chunk once, so that its uses share one exchange rather than count anew.
-    counted = chunks.answer(chunks.ask(texts, ask_counts), count).repartition("chunk")
-    counts = known = with_totals(counted)
+    # Exchanges that several steps read have one form each, so that Spark makes them once.
+    rows = texts.mapInArrow(packed(parts, chunk_chars), chunks.ASKED)
+    table = rows.groupBy("part").applyInArrow(lambda t: chunks.table_of(merged(t)), chunks.ASKED).repartition("chunk")
+    counts = known = with_totals(chunks.answer(chunks.ask(table, ask_counts), count).repartition("chunk"))
     for sweep in range(sweeps + 1):
-        states = chunks.beside(texts, known, seat(sweep), chunks.ASKED)
+        states = chunks.beside(table, known, seat(sweep), chunks.ASKED)
         state = with_totals(chunks.answer(states, seat_parent(sweep)).repartition("chunk"))
         # A seating is drawn from the one before it; the last is drawn again where texts are scored.
         last = known if sweep == sweeps else counts
         known = last.union(state)
 
-    def scored(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def summed(table: pa.Table, answers: pa.Table) -> pa.Table:
+        """For each chunk and each of its texts the sums over the pairs of this part."""
         if not table.num_rows:
-            return SCORED.empty_table()
-        t, told = Tokens(table), Answers(answers)
+            return chunks.empty()
+        listed = table.filter(pa.compute.equal(table.column("kind"), DOCS)).to_pylist()
+        of_chunks = packed_rows(table)
+        if not of_chunks:
+            return chunks.table_of(listed)
+        (t, which), told = Pairs.of(of_chunks), Answers(answers)
         seen = told.columns(WORDS, 1)[0]
-        of_pair = told.columns(PAIRS, 2)[0]
         state = told.columns(STATE + sweeps, 3 * chains)
         totals = {**told.totals, **sweep_totals(told, sweeps)}
         guests = seen[t.context]
         mean = np.zeros(len(t.pairs))
         for k in range(chains):
             # The tables are those that the last state sums up, so that probabilities add up to one.
-            tables = drawn(t, told, of_pair, k, sweeps)
+            tables = drawn(t, told, k, sweeps)
             prior = parent(state, totals, k)[t.dish]
-            own = np.maximum(of_pair - DISCOUNT * tables, 0) + (STRENGTH + DISCOUNT * state[k][t.context]) * prior
+            own = np.maximum(t.counts - DISCOUNT * tables, 0) + (STRENGTH + DISCOUNT * state[k][t.context]) * prior
             mean += np.where(guests > 0, own / (STRENGTH + guests), prior) / chains
-        first = np.cumsum(t.sizes) - t.sizes
-        return pa.Table.from_pydict(
-            {
-                "doc_id": table.column("doc_id").to_pylist(),
-                "trained": t.trained,
-                "n_tokens": t.sizes,
-                "n_known": np.add.reduceat((seen > 0)[t.word].astype(np.int64), first),
-                "train_tokens": np.full(len(t.sizes), told.totals.get(TOKENS, 0)),
-                "base_score": np.add.reduceat(np.log10(base(seen, told.totals))[t.word], first),
-                "score": np.add.reduceat(np.log10(mean)[t.pair], first),
-            },
+        values = np.array(
+            [np.ones(len(mean)), (seen > 0)[t.dish], np.log10(base(seen, told.totals))[t.dish], np.log10(mean)]
+        )
+        number, total = table.column("part")[0].as_py(), told.totals.get(TOKENS, 0)
+        for row, mine in zip(of_chunks, which):
+            docs, sums = row.sums(values[:, mine])
+            data = several(docs.astype(np.uint32).tobytes(), sums.tobytes(), np.int64(total).tobytes())
+            listed.append({"part": number, "chunk": row.chunk, "kind": PAIRS, "keys": b"", "data": data})
+        return chunks.table_of(listed)
+
+    def finished(table: pa.Table) -> pa.Table:
+        """The documents of a chunk with their sums over all parts."""
+        found = sorted(table.to_pylist(), key=lambda r: (r["kind"] != DOCS, r["part"]))
+        ids, known_id, flags, sizes = (
+            from_planes(d, k) for d, k in zip(apart(found[0]["data"]), (np.int64, bool, bool, np.uint32))
+        )
+        sums, total = np.zeros((4, len(ids))), 0
+        for r in found[1:]:
+            docs, values, tokens = apart(r["data"])
+            docs = np.frombuffer(docs, np.uint32)
+            sums[:, docs] += np.frombuffer(values, np.float64).reshape(4, -1)
+            total = int(np.frombuffer(tokens, np.int64)[0])
+        if (sums[0] != sizes).any():
+            raise RuntimeError("a chunk of texts was read in another order when a lost task ran again")
+        return pa.Table.from_arrays(
+            [
+                pa.array(ids, mask=~known_id), pa.array(flags), pa.array(sizes.astype(np.int64)),
+                pa.array(sums[1].astype(np.int64)), pa.array(np.full(len(ids), total)), pa.array(sums[2]), pa.array(sums[3]),
+            ],
             schema=SCORED,
         )
 
-    return chunks.beside(
-        texts,
-        known,
-        scored,
+    sums = rows.groupBy("part").cogroup(known.groupBy("chunk")).applyInArrow(summed, chunks.ASKED)
+    return sums.groupBy("chunk").applyInArrow(
+        finished,
         "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
