@@ -48,7 +48,7 @@ CHUNK_CHARS = 12_000_000
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 PAIR_BASE = np.uint64(0xA0761D6478BD642F)
 #: Chunks whose pairs make a part.
-CHUNKS_PER_PART = 3
+CHUNKS_PER_PART = 2
 #: Kinds of rows, and the numbers of totals (less the chain, and 1000 for each sweep before).
 WORDS, PAIRS, STATE, DOCS = 0, 1, 2, 9
 TOKENS, DISTINCT, TABLES, CUSTOMERS = -1, -2, -10, -20
@@ -266,8 +266,10 @@ class Pairs:
     @staticmethod
     def read(table: pa.Table) -> Pairs:
         row = table.to_pylist()[0]
-        context, dish, counts = (np.frombuffer(d, np.uint64) for d in apart(row["data"]))
-        return Pairs(np.frombuffer(row["keys"], np.uint64), context, dish, counts.view(np.float64))
+        words = np.cumsum(from_planes(row["keys"], np.uint64), dtype=np.uint64)
+        context, dish, counts = (from_planes(d, np.uint32) for d in apart(row["data"]))
+        context, dish = words[context], words[dish]
+        return Pairs(pair_keys(context, dish), context, dish, counts.astype(np.float64))
 
 
 def packed_rows(table: pa.Table) -> list[Packed]:
@@ -275,16 +277,26 @@ def packed_rows(table: pa.Table) -> list[Packed]:
 
 
 def merged(table: pa.Table) -> list[dict]:
-    """The pairs of a part as one row, under the part's number."""
+    """The pairs of a part as one row, under the part's number: words, and places of contexts and dishes among them."""
     rows = packed_rows(table)
     if not rows:
         return []
-    made, _ = Pairs.of(rows)
-    whole = [np.concatenate([getattr(r, name) for r in rows]) for name in ("keys", "context", "dish")]
-    _, first = np.unique(whole[0], return_index=True)
-    data = several(whole[1][first].tobytes(), whole[2][first].tobytes(), made.counts.tobytes())
+    keys = chunks.joined([r.keys for r in rows])
+    found, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    counts = np.bincount(which, weights=chunks.joined([r.learned for r in rows], np.uint32), minlength=len(found))
+    context = chunks.joined([r.context for r in rows])[first]
+    dish = chunks.joined([r.dish for r in rows])[first]
+    del keys, found, first, which, rows
+    words, place = few_distinct(np.concatenate([context, dish]))
+    order = np.lexsort((place[len(context) :], place[: len(context)]))
+    data = several(
+        planes(place[: len(context)][order].astype(np.uint32)),
+        planes(place[len(context) :][order].astype(np.uint32)),
+        planes(counts[order].astype(np.uint32)),
+    )
     part = table.column("part")[0].as_py()
-    return [{"part": part, "chunk": part, "kind": PAIRS, "keys": made.pairs.tobytes(), "data": data}]
+    steps = np.diff(words, prepend=np.uint64(0))
+    return [{"part": part, "chunk": part, "kind": PAIRS, "keys": planes(steps), "data": data}]
 
 
 def asked(number: int, kind: int, keys: np.ndarray, parts: int, columns: np.ndarray, head: bytes = b"") -> list[dict]:
@@ -292,7 +304,7 @@ def asked(number: int, kind: int, keys: np.ndarray, parts: int, columns: np.ndar
     rows = chunks.asked(number, kind, keys, parts, np.arange(len(keys), dtype=np.int64))
     for row in rows:
         where = np.frombuffer(row["data"], np.int64)
-        row["data"] = head + chunks.small(columns[:, where[0] : where[-1] + 1].astype(np.uint32))
+        row["data"] = head + planes(columns[:, where[0] : where[-1] + 1].astype(np.uint32).reshape(-1))
         row["keys"] = planes(np.diff(np.frombuffer(row["keys"], np.uint64), prepend=np.uint64(0)))
     return rows
 
@@ -308,7 +320,7 @@ class Asked:
         keys = [np.cumsum(from_planes(r["keys"], np.uint64), dtype=np.uint64) for r in rows]
         self.sizes = [len(k) for k in keys]
         self.head = rows[0]["data"][:head] if rows else bytes(head)
-        data = [chunks.large(r["data"][head:], np.uint32).reshape(-1, len(k)) for r, k in zip(rows, keys)]
+        data = [from_planes(r["data"][head:], np.uint32).reshape(-1, len(k)) for r, k in zip(rows, keys)]
         self.data = np.concatenate(data, axis=1) if data else np.zeros((1, 0), np.uint32)
         self.keys, self.which = np.unique(chunks.joined(keys), return_inverse=True)
         self.totals = np.array([np.bincount(self.which, weights=c, minlength=len(self.keys)) for c in self.data])
@@ -317,7 +329,7 @@ class Asked:
         """Each chunk's columns of values, given for each asked key, in the order of its own keys."""
         out, at = [], 0
         for number, size in zip(self.numbers, self.sizes):
-            data = chunks.small(values[:, at : at + size].astype(np.uint32))
+            data = planes(values[:, at : at + size].astype(np.uint32).reshape(-1))
             out.append({"part": self.part, "chunk": number, "kind": self.kind, "keys": b"", "data": data})
             at += size
         return out
@@ -336,7 +348,7 @@ class Answers:
                 self.parts.setdefault(r["kind"], []).append((r["part"], r["data"]))
 
     def columns(self, kind: int, n: int) -> np.ndarray:
-        told = [chunks.large(d, np.uint32).reshape(n, -1) for _, d in sorted(self.parts.get(kind, []))]
+        told = [from_planes(d, np.uint32).reshape(n, -1) for _, d in sorted(self.parts.get(kind, []))]
         return np.concatenate(told, axis=1).astype(float) if told else np.zeros((n, 0))
 
 
@@ -480,7 +492,10 @@ def score(
         number, total = table.column("part")[0].as_py(), told.totals.get(TOKENS, 0)
         for row, mine in zip(of_chunks, which):
             docs, sums = row.sums(values[:, mine])
-            data = several(docs.astype(np.uint32).tobytes(), sums.tobytes(), np.int64(total).tobytes())
+            data = several(
+                planes(np.diff(docs.astype(np.uint32), prepend=np.uint32(0))), planes(sums[:2].astype(np.uint32).reshape(-1)),
+                sums[2:].tobytes(), np.int64(total).tobytes(),
+            )
             listed.append({"part": number, "chunk": row.chunk, "kind": PAIRS, "keys": b"", "data": data})
         return chunks.table_of(listed)
 
@@ -492,9 +507,10 @@ def score(
         )
         sums, total = np.zeros((4, len(ids))), 0
         for r in found[1:]:
-            docs, values, tokens = apart(r["data"])
-            docs = np.frombuffer(docs, np.uint32)
-            sums[:, docs] += np.frombuffer(values, np.float64).reshape(4, -1)
+            docs, numbers, values, tokens = apart(r["data"])
+            docs = np.cumsum(from_planes(docs, np.uint32))
+            sums[:2, docs] += from_planes(numbers, np.uint32).reshape(2, -1)
+            sums[2:, docs] += np.frombuffer(values, np.float64).reshape(2, -1)
             total = int(np.frombuffer(tokens, np.int64)[0])
         if (sums[0] != sizes).any():
             raise RuntimeError("a chunk of texts was read in another order when a lost task ran again")
