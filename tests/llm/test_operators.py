@@ -99,6 +99,35 @@ def test_near_duplicates_of_edited_copies_in_small_blocks(spark):
     assert [found[i] for i in range(80)] == components
 
 
+def test_rows_of_one_id_and_other_texts_are_one_document(spark, monkeypatch):
+    """Links come in a later round, as the first comparison finds none; no row is lost or doubled."""
+    local = random.Random(8)
+    texts_ = []
+    for i in range(24):
+        words = list(BASE)
+        for k in local.sample(range(120), 2):
+            words[k] = f"y{i}_{k}"
+        texts_.append((i % 12, " ".join(words)))
+    docs = spark.createDataFrame(texts_ + texts_[:3], "doc_id long, text string")
+    verified, calls = neardup.verified, []
+
+    def late(pairs, *rest):
+        calls.append(1)
+        return verified(pairs.limit(0) if len(calls) == 1 else pairs, *rest)
+
+    for first_round_is_empty in (False, True):
+        with monkeypatch.context() as m:
+            if first_round_is_empty:
+                m.setattr(neardup, "verified", late)
+            found = neardup.near_duplicates(docs, width=2, block=8).collect()
+        # Pairs with a bucket's center are not asked for again, so without them a few texts stay alone.
+        assert len(found) == len(texts_) + 3
+        assert len({r["component_id"] for r in found}) <= (4 if first_round_is_empty else 1)
+    assert len(calls) > 1
+    kept = [neardup.keep_one(docs.repartition(n), width=2).collect() for n in (1, 5)]
+    assert kept[0] == kept[1] and len(kept[0]) == 1
+
+
 @pytest.mark.parametrize("which", ["hard", "given"])
 def test_language_model_base_and_gain(request, which):
     docs = request.getfixturevalue(which)

@@ -139,3 +139,25 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables of one run in the shared folder: compressed, read by column, and deleted when the run is over."""
+
+    def __init__(self, spark) -> None:
+        import uuid
+
+        from tidemark.session import shared_dir
+
+        self.spark, self.kept = spark, 0
+        self.folder = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept += 1
+        path = f"{self.folder}/{self.kept}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,8 +7,7 @@ population count tells high similarities apart. A second parity bitmap of the wh
 differing bits than the sets differ in elements, so it rules pairs out for certain; it is sharp for sets up
 to some hundreds of shingles, the sketch for larger ones. Pairs that the sketches leave are compared on whole
 sets, so no false link is made. A true link can be missed: at the threshold a pair misses all bands with
-probability 1e-7, and the odd sketch rejects it with some 3e-7 (`SLACK`, 5 deviations of a normal estimate). The
-limit was 6 deviations and was tightened for fewer candidate pairs. A pair so rejected isn't asked for again.
+probability 1e-7; the odd sketch rejects it with some 1e-9 (`SLACK`, 6 deviations of a normal estimate; computed).
 
 Buckets are not expanded into pairs. First every member is compared with one center of the bucket, the
 class whose bands are shared most: copies that were edited each in their own way are all nearest to
@@ -31,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
@@ -45,7 +44,7 @@ SKETCH_LONGS = 8
 #: Bitmap of the whole set.
 PARITY_LONGS = 16
 #: Deviations of the sketch's estimate below the threshold at which a pair is still compared.
-SLACK = 5.0
+SLACK = 6.0
 BLOCK = 512
 #: Closest members of other components that a member is compared with in the first round; then ever more.
 CLOSEST = 16
@@ -159,30 +158,44 @@ def bits_apart(many: np.ndarray, one: list[int]) -> np.ndarray:
     return np.bitwise_count(many ^ np.array(one, np.int64).view(np.uint64)).sum(axis=1).astype(np.int64)
 
 
-def verified(pairs: DataFrame, rows: DataFrame, width: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def verified(pairs: DataFrame, rows: DataFrame, width: int, threshold: int, block: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough, as (a, b) with a below b.
+
+    `pairs` are of a center and a doc_id. A center's set meets those of its partners in groups of about `block`, so
+    each partner's set is shuffled once for each of its pairs, and a center's once for each group. Texts
+    without a pair are left where they are.
+    """
+    pairs = pin(pairs)
+    many = pairs.groupBy("center").agg(F.expr(f"cast(ceil(count(1) / {block}) as int)").alias("groups"))
+    place = F.pmod(F.xxhash64("doc_id"), F.col("groups")).cast("int").alias("i")
+    partners = pairs.join(many, "center").select("doc_id", "center", place, F.lit(False).alias("is_center"))
+    every = F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("i")
+    centers = many.select(F.col("center").alias("doc_id"), "center", every, F.lit(True).alias("is_center"))
+    roles = common.size_checked(partners.union(centers))
 
     def to_sets(batch: pa.RecordBatch) -> dict:
         sets = [shingle_set(t, width).tobytes() for t in batch.column("text").to_pylist()]
         return {"doc_id": batch.column("doc_id").to_pylist(), "shingles": sets}
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common_ones = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(100 * common_ones >= threshold * (len(p) + len(q) - common_ones))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+    def compared(table: pa.Table) -> pa.Table:
+        found: set[tuple[int, int]] = set()
+        is_center = table.column("is_center").to_pylist()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        ids = table.column("doc_id").to_pylist()
+        for k in (k for k, c in enumerate(is_center) if c):
+            for j in (j for j, c in enumerate(is_center) if not c):
+                common_ones = len(np.intersect1d(sets[k], sets[j], assume_unique=True))
+                if 100 * common_ones >= threshold * (len(sets[k]) + len(sets[j]) - common_ones):
+                    found.add((min(ids[k], ids[j]), max(ids[k], ids[j])))
+        return pa.Table.from_pydict({"a": [a for a, _ in found], "b": [b for _, b in found]}, schema=PAIR)
 
     schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+    wanted = common.size_checked(roles.select("doc_id").distinct())
     sets = rows.join(wanted, "doc_id", "left_semi").mapInArrow(
         common.per_batch(to_sets, schema), "doc_id long, shingles binary"
     )
-    first = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    both = first.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-    return both.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long").distinct()
+    met = sets.join(roles, "doc_id").groupBy("center", "i").applyInArrow(compared, "a long, b long")
+    return met.distinct()
 
 
 def labels_of(edges: DataFrame) -> DataFrame:
@@ -203,7 +216,8 @@ def labels_of(edges: DataFrame) -> DataFrame:
 
 def with_links(labels: DataFrame, edges: DataFrame, classes: DataFrame) -> DataFrame:
     """The labels after more links: only the components that the new links touch are joined anew."""
-    nodes = classes.select(F.col("doc_id").alias("node")).join(labels, "node", "left")
+    # Rows of one id and several texts are several classes, but one node.
+    nodes = classes.select(F.col("doc_id").alias("node")).distinct().join(labels, "node", "left")
     named = nodes.select("node", F.coalesce("label", "node").alias("label"))
     of_a = named.select(F.col("node").alias("a"), F.col("label").alias("p"))
     of_b = named.select(F.col("node").alias("b"), F.col("label").alias("q"))
@@ -319,10 +333,11 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     rows = common.documents(docs, id_col, text_col)
-    own = pin(signed(rows, width, bands, band_rows))
+    scratch = common.Scratch(docs.sparkSession)
+    own = scratch.keep(signed(rows, width, bands, band_rows))
     most = most_bits(threshold, bands * band_rows)
     named = own.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = pin(
+    classes = scratch.keep(
         named.groupBy("set_hash").agg(
             F.min("doc_id").alias("doc_id"),
             F.any_value("n_shingles").alias("n_shingles"),
@@ -333,7 +348,7 @@ def near_duplicates(
     )
     buckets = classes.select("doc_id", F.explode("bands").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = pin(buckets.join(sizes, "key"))
+    shared = scratch.keep(buckets.join(sizes, "key"))
     rank = shared.groupBy("doc_id").agg(F.sum("n").alias("shared"))
     centers = (
         shared.select("key", "doc_id")
@@ -342,7 +357,7 @@ def near_duplicates(
         .agg(F.max(F.struct("shared", (-F.col("doc_id")).alias("minus"))).alias("top"))
         .select("key", (-F.col("top.minus")).alias("center"))
     )
-    members = pin(shared.join(centers, "key"))
+    members = scratch.keep(shared.join(centers, "key"))
     star = members.filter("doc_id <> center").select(F.least("center", "doc_id").alias("a"), F.greatest("center", "doc_id").alias("b")).distinct()
     mine = ["doc_id", "n_shingles", "sketch", "parity"]
     side_a = classes.select(*mine).toDF("a", "m", "s", "p")
@@ -352,14 +367,19 @@ def near_duplicates(
     likely = differing("s", "t", SKETCH_LONGS) <= most
     close = pin(star.join(side_b, "b").join(side_a, "a").filter(sized & bound & likely).select("a", "b"))
     texts = rows.filter(F.col("doc_id").isNotNull())
-    labels = labels_of(verified(close, texts, width, threshold))
+    # A center is one for many members: the pair is turned so that its set meets theirs.
+    turned = close.join(centers.select(F.col("center").alias("a")).distinct().withColumn("_top", F.lit(True)), "a", "left")
+    center = F.when(F.col("_top"), F.col("a")).otherwise(F.col("b"))
+    turned = turned.select(center.alias("center"), F.when(F.col("_top"), F.col("b")).otherwise(F.col("a")).alias("doc_id"))
+    labels = labels_of(verified(turned, texts, width, threshold, block))
     tested = close
     closest = CLOSEST
     while True:
         found = pin(left_over(members, labels, classes, most, threshold, block, closest))
         new = pin(found.filter("a is not null").join(tested, ["a", "b"], "left_anti"))
         if new.limit(1).count():
-            labels = with_links(labels, verified(new, texts, width, threshold), classes)
+            asked = new.toDF("center", "doc_id")
+            labels = with_links(labels, verified(asked, texts, width, threshold, block), classes)
             tested = tested.union(new)
         if not found.filter("a is null").limit(1).count():
             break
@@ -369,17 +389,23 @@ def near_duplicates(
     placed = own.select("doc_id", "n_shingles", "set_hash").join(of_set, "set_hash", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
-    return placed.select(
-        "doc_id",
-        "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+    found = pin(
+        placed.select(
+            "doc_id",
+            "n_shingles",
+            component.alias("component_id"),
+            F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        )
     )
+    scratch.clear()
+    return found
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents that stay, one of each component, with all their columns; of equal ids one row."""
     kept = near_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
     stays = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    nameless = stays.filter(F.col("doc_id").isNull())
-    return stays.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(nameless)
+    # Of rows with one id the same one stays whenever a task runs again.
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*stays.columns))
+    one = stays.filter(F.col("doc_id").isNotNull()).withColumn("_row_of_id", F.row_number().over(order))
+    return one.filter("_row_of_id = 1").drop("_row_of_id").unionByName(stays.filter(F.col("doc_id").isNull()))
