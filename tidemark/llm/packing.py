@@ -65,9 +65,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def tokenizer_of(path: str):
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True  # their strings in a text are ordinary text
-    return made
+    return Tokenizer.from_file(path)
 
 
 def word_encoder(tokenizer, end_id: int) -> Callable[[list[str | None]], list[bytes]]:
@@ -75,8 +73,11 @@ def word_encoder(tokenizer, end_id: int) -> Callable[[list[str | None]], list[by
 
     The vocabulary lower-cases, drops white space and merges only inside words, so the ids of a text
     are those of its words in order. Each word is encoded once and looked up after that; words that
-    have not been met for a while are forgotten.
+    have not been met for a while are forgotten. The strings of the vocabulary's added tokens are found in the
+    text as it is, across words, so a text that may hold one is encoded whole.
     """
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    whole = re.compile("|".join(re.escape(c) for c in added), re.IGNORECASE) if added else None
     known: dict[bytes, bytes] = {}
     older: dict[bytes, bytes] = {}
     end = np.array([end_id], "<u4").tobytes()
@@ -85,7 +86,12 @@ def word_encoder(tokenizer, end_id: int) -> Callable[[list[str | None]], list[by
         nonlocal known, older
         if len(known) > WORDS_KEPT:
             known, older = {}, known
-        split = [INSIDE.sub(b" ", (t or "").encode("utf-8", "replace").lower()).split() for t in texts]
+        texts = [t or "" for t in texts]
+        at_once = {i for i, t in enumerate(texts) if whole is not None and whole.search(t)}
+        split = [
+            [] if i in at_once else INSIDE.sub(b" ", t.encode("utf-8", "replace").lower()).split()
+            for i, t in enumerate(texts)
+        ]
         new = []
         for w in {w for words in split for w in words if w not in known}:
             if w in older:
@@ -94,7 +100,11 @@ def word_encoder(tokenizer, end_id: int) -> Callable[[list[str | None]], list[by
                 new.append(w)
         found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
         known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
-        return [b"".join(map(known.__getitem__, words)) + end for words in split]
+        out = [b"".join(map(known.__getitem__, words)) + end for words in split]
+        for i in at_once:
+            text = texts[i].encode("utf-8", "replace").decode()
+            out[i] = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + end
+        return out
 
     return encode
 
