@@ -212,6 +212,19 @@ def test_packing_holds_every_id_once(request, which):
             assert b"".join(p["ids"] for p in sorted(whole[i], key=lambda p: p["start"])) == want
 
 
+def test_added_tokens_in_a_text_are_those_of_the_plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.vocabulary_path())
+    added = [t.content for t in plain.get_added_tokens_decoder().values()]
+    encode = packing.word_encoder(packing.tokenizer_of(packing.vocabulary_path()), 2)
+    local, letters = random.Random(3), list("aB1 '<|>\n.é中😀") + added + [a.upper() for a in added] + ["hello", "endoftext"]
+    cases = ["", "hello<|endoftext|>x", *("".join(local.choices(letters, k=12)) for _ in range(2000))]
+    for text, got in zip(cases, encode(cases)):
+        want = [*plain.encode(text, add_special_tokens=False).ids, 2]
+        assert np.frombuffer(got, "<u4").tolist() == want, text
+
+
 def test_chat_round_trip(spark):
     hard = ["\\### Assistant: </turn> ok", "a\\", "</turn>", "### user: x", "", "\\\\</turn>\n", None, "### : ", "\n"]
     rows = [(1, k, role, t) for k, t in enumerate(hard) for role in ("user", "assistant", None)]
@@ -330,12 +343,12 @@ def test_drop_contaminated_in_shards_judges_each_row(spark):
     bench = spark.createDataFrame([(1, " ".join(BASE[:40])), (2, " ".join(BASE[50:90]))], "item_id long, text string")
     bad, clean = " ".join(BASE), " ".join(rng.choice(VOCAB) for _ in range(100))
     rows = [(None, bad), (None, clean), (None, None), (7, bad), (7, clean), (8, clean), (9, " ".join(BASE[45:]))]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"_row": F.lit(5), "_bad": F.lit("x")})
     one, many = (
         sorted(map(tuple, decontaminate.drop_contaminated(docs, bench, n).collect()), key=str)
         for n in (decontaminate.SHARD_BYTES, 1_000)
     )
-    assert one == many == sorted([(None, clean), (None, None), (7, clean), (8, clean)], key=str)
+    assert one == many == sorted([(i, t, 5, "x") for i, t in ((None, clean), (None, None), (7, clean), (8, clean))], key=str)
 
 
 def test_weak_parts_are_linked_in_rows_without_an_id(spark):

@@ -230,7 +230,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shard_bytes: int =
         schema = pa.schema([])
         return docs.mapInArrow(scanner(shared, str(shared._jbroadcast.id()), schema, True), docs.schema)
     # Rows are told apart by a number, fixed in the shared folder, as ids may be missing or equal.
-    rows = common.written(docs.withColumn("_row", F.monotonically_increasing_id()))
-    found = judged(find_overlap(rows, benchmark, id_col="_row", shard_bytes=shard_bytes))
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("_bad"))
-    return rows.join(bad, F.col("_row") == F.col("_bad"), "left_anti").drop("_row")
+    number = "_row"
+    while number in {c.lower() for c in docs.columns}:
+        number += "_"
+    rows = common.written(docs.withColumn(number, F.monotonically_increasing_id()))
+    found = judged(find_overlap(rows, benchmark, id_col=number, shard_bytes=shard_bytes))
+    bad = found.filter("contaminated").select(F.col("doc_id").alias(number))
+    return rows.join(bad, number, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
