@@ -44,11 +44,15 @@ SWEEPS = 2
 #: Discount and strength of the context restaurants and of their parent.
 DISCOUNT, STRENGTH = 0.8, 2.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.6, 10.0
-CHUNK_CHARS = 12_000_000
-START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
+CHUNK_CHARS = 10_000_000
+#: Words are told apart by 56 bits of their hash: the byte left out is shuffled with every word.
+WORD_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
+START, END = np.uint64(0x243F6A8885A30800), np.uint64(0x13198A2E03707300)
+#: Sums of logarithms are whole numbers of this part, so that no order of parts changes them.
+UNIT = 2.0**32
 PAIR_BASE = np.uint64(0xA0761D6478BD642F)
 #: Chunks whose pairs make a part.
-CHUNKS_PER_PART = 2
+CHUNKS_PER_PART = 3
 #: Kinds of rows, and the numbers of totals (less the chain, and 1000 for each sweep before).
 WORDS, PAIRS, STATE, DOCS = 0, 1, 2, 9
 TOKENS, DISTINCT, TABLES, CUSTOMERS = -1, -2, -10, -20
@@ -157,7 +161,7 @@ def packed_chunk(number: int, rows: pa.Table, parts: int) -> list[dict]:
     hashed = [common.word_hashes(folded(t.as_py()) if t.is_valid else None) for t in rows.column("text")]
     sizes = np.array([len(h) + 1 for h in hashed], np.int64)
     trained = np.array(rows.column("trained").to_pylist(), bool)
-    words, at = few_distinct(np.concatenate([x for h in hashed for x in (h, [END])] + [[START]]).astype(np.uint64))
+    words, at = few_distinct(np.concatenate([x for h in hashed for x in (h & WORD_BITS, [END])] + [[START]]).astype(np.uint64))
     del hashed
     dish, start = at[:-1], at[-1]
     context = np.empty_like(dish)
@@ -305,19 +309,22 @@ def asked(number: int, kind: int, keys: np.ndarray, parts: int, columns: np.ndar
     for row in rows:
         where = np.frombuffer(row["data"], np.int64)
         row["data"] = head + planes(columns[:, where[0] : where[-1] + 1].astype(np.uint32).reshape(-1))
-        row["keys"] = planes(np.diff(np.frombuffer(row["keys"], np.uint64), prepend=np.uint64(0)))
+        # Only the first question names the words; later ones are about the same, in the same order.
+        steps = np.diff(np.frombuffer(row["keys"], np.uint64), prepend=np.uint64(0))
+        row["keys"] = planes(steps) if kind == WORDS else b""
     return rows
 
 
 class Asked:
     """All questions of a kind to a part: distinct keys, and which of them each asked key is."""
 
-    def __init__(self, table: pa.Table, kind: int, head: int = 0) -> None:
-        rows = [r for r in table.to_pylist() if r["kind"] == kind]
+    def __init__(self, table: pa.Table, kind: int, head: int = 0, named: pa.Table | None = None) -> None:
+        rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
+        names = {r["chunk"]: r["keys"] for r in (table if named is None else named).to_pylist()}
         self.part = table.column("part")[0].as_py()
         self.kind = kind
         self.numbers = [r["chunk"] for r in rows]
-        keys = [np.cumsum(from_planes(r["keys"], np.uint64), dtype=np.uint64) for r in rows]
+        keys = [np.cumsum(from_planes(names[r["chunk"]], np.uint64), dtype=np.uint64) for r in rows]
         self.sizes = [len(k) for k in keys]
         self.head = rows[0]["data"][:head] if rows else bytes(head)
         data = [from_planes(r["data"][head:], np.uint32).reshape(-1, len(k)) for r, k in zip(rows, keys)]
@@ -431,8 +438,10 @@ def score(
         return run
 
     def seat_parent(sweep: int):
-        def run(table: pa.Table) -> list[dict]:
-            words = Asked(table, STATE + sweep, 8 * chains)
+        def run(table: pa.Table, named: pa.Table) -> pa.Table:
+            if not table.num_rows:
+                return chunks.empty()
+            words = Asked(table, STATE + sweep, 8 * chains, named)
             weights = np.frombuffer(words.head, np.float64)
             own = [
                 tables_drawn(
@@ -448,7 +457,7 @@ def score(
             for k in range(chains):
                 rows.append(total_row(TABLES - k - 1000 * sweep, own[k].sum()))
                 rows.append(total_row(CUSTOMERS - k - 1000 * sweep, words.totals[chains + k].sum()))
-            return rows
+            return chunks.table_of(rows)
 
         return run
 
@@ -458,10 +467,12 @@ def score(
     # Exchanges that several steps read have one form each, so that Spark makes them once.
     rows = texts.mapInArrow(packed(parts, chunk_chars), chunks.ASKED)
     table = rows.groupBy("part").applyInArrow(lambda t: chunks.table_of(merged(t)), chunks.ASKED).repartition("chunk")
-    counts = known = with_totals(chunks.answer(chunks.ask(table, ask_counts), count).repartition("chunk"))
+    questions = chunks.ask(table, ask_counts)
+    counts = known = with_totals(chunks.answer(questions, count).repartition("chunk"))
     for sweep in range(sweeps + 1):
         states = chunks.beside(table, known, seat(sweep), chunks.ASKED)
-        state = with_totals(chunks.answer(states, seat_parent(sweep)).repartition("chunk"))
+        replies = states.groupBy("part").cogroup(questions.groupBy("part")).applyInArrow(seat_parent(sweep), chunks.ASKED)
+        state = with_totals(replies.repartition("chunk"))
         # A seating is drawn from the one before it; the last is drawn again where texts are scored.
         last = known if sweep == sweeps else counts
         known = last.union(state)
@@ -494,7 +505,7 @@ def score(
             docs, sums = row.sums(values[:, mine])
             data = several(
                 planes(np.diff(docs.astype(np.uint32), prepend=np.uint32(0))), planes(sums[:2].astype(np.uint32).reshape(-1)),
-                sums[2:].tobytes(), np.int64(total).tobytes(),
+                planes(np.round(sums[2:] * UNIT).astype(np.int64).reshape(-1)), np.int64(total).tobytes(),
             )
             listed.append({"part": number, "chunk": row.chunk, "kind": PAIRS, "keys": b"", "data": data})
         return chunks.table_of(listed)
@@ -505,19 +516,19 @@ def score(
         ids, known_id, flags, sizes = (
             from_planes(d, k) for d, k in zip(apart(found[0]["data"]), (np.int64, bool, bool, np.uint32))
         )
-        sums, total = np.zeros((4, len(ids))), 0
+        sums, total = np.zeros((4, len(ids)), np.int64), 0
         for r in found[1:]:
             docs, numbers, values, tokens = apart(r["data"])
             docs = np.cumsum(from_planes(docs, np.uint32))
             sums[:2, docs] += from_planes(numbers, np.uint32).reshape(2, -1)
-            sums[2:, docs] += np.frombuffer(values, np.float64).reshape(2, -1)
+            sums[2:, docs] += from_planes(values, np.int64).reshape(2, -1)
             total = int(np.frombuffer(tokens, np.int64)[0])
         if (sums[0] != sizes).any():
             raise RuntimeError("a chunk of texts was read in another order when a lost task ran again")
         return pa.Table.from_arrays(
             [
                 pa.array(ids, mask=~known_id), pa.array(flags), pa.array(sizes.astype(np.int64)),
-                pa.array(sums[1].astype(np.int64)), pa.array(np.full(len(ids), total)), pa.array(sums[2]), pa.array(sums[3]),
+                pa.array(sums[1]), pa.array(np.full(len(ids), total)), pa.array(sums[2] / UNIT), pa.array(sums[3] / UNIT),
             ],
             schema=SCORED,
         )
