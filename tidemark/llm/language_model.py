@@ -232,13 +232,14 @@ class Packed:
     """The pairs of one chunk in one part, and the texts they stand in."""
 
     def __init__(self, row: dict) -> None:
-        words = np.cumsum(from_planes(row["keys"], np.uint64), dtype=np.uint64)
+        self.words = np.cumsum(from_planes(row["keys"], np.uint64), dtype=np.uint64)
         data = apart(row["data"])
-        context, dish, self.learned, self.per_pair = (from_planes(d, np.uint32) for d in data[:4])
+        self.at_context, self.at_dish, self.learned, self.per_pair = (from_planes(d, np.uint32) for d in data[:4])
         self.entries = data[4:]
-        self.context, self.dish = words[context], words[dish]
         self.chunk = row["chunk"]
-        self.keys = pair_keys(self.context, self.dish)
+
+    def keys(self) -> np.ndarray:
+        return pair_keys(self.words[self.at_context], self.words[self.at_dish])
 
     def sums(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The texts with pairs here, and for each row of `values` by pair its sum over a text's pairs."""
@@ -257,16 +258,6 @@ class Pairs:
         # A start is seated as often as an end, so the end's counts serve for it.
         self.context, self.dish = place[: len(keys)], place[len(keys) :]
 
-    @staticmethod
-    def of(rows: list[Packed]) -> tuple[Pairs, list[np.ndarray]]:
-        """All pairs of the chunks' rows, each once, and which of them each row's are."""
-        keys, first, which = np.unique(chunks.joined([r.keys for r in rows]), return_index=True, return_inverse=True)
-        context = chunks.joined([r.context for r in rows])[first]
-        dish = chunks.joined([r.dish for r in rows])[first]
-        learned = chunks.joined([r.learned for r in rows], np.uint32)
-        made = Pairs(keys, context, dish, np.bincount(which, weights=learned, minlength=len(keys)))
-        return made, np.split(which, np.cumsum([len(r.keys) for r in rows])[:-1])
-
     @staticmethod
     def read(table: pa.Table) -> Pairs:
         row = table.to_pylist()[0]
@@ -280,17 +271,32 @@ def packed_rows(table: pa.Table) -> list[Packed]:
     return [Packed(r) for r in table.filter(pa.compute.equal(table.column("kind"), PAIRS)).to_pylist()]
 
 
+def distinct(rows: list[Packed]) -> tuple[tuple[np.ndarray, ...], list[np.ndarray]]:
+    """Keys, contexts, dishes and counts of all pairs of the chunks' rows, each once; which of them each row's are."""
+    keys, first, which = np.unique(np.concatenate([r.keys() for r in rows]), return_index=True, return_inverse=True)
+    which = which.astype(np.int32)
+    counts = np.zeros(len(keys))
+    context, dish = np.empty(len(keys), np.uint64), np.empty(len(keys), np.uint64)
+    mine, begin = [], 0
+    for r in rows:
+        end = begin + len(r.at_context)
+        # The words of a pair come from the first row that has it.
+        at = np.flatnonzero((first >= begin) & (first < end))
+        context[at] = r.words[r.at_context[first[at] - begin]]
+        dish[at] = r.words[r.at_dish[first[at] - begin]]
+        mine.append(which[begin:end])
+        counts[mine[-1]] += r.learned  # a row has each pair once
+        begin = end
+    return (keys, context, dish, counts), mine
+
+
 def merged(table: pa.Table) -> list[dict]:
     """The pairs of a part as one row, under the part's number: words, and places of contexts and dishes among them."""
     rows = packed_rows(table)
     if not rows:
         return []
-    keys = chunks.joined([r.keys for r in rows])
-    found, first, which = np.unique(keys, return_index=True, return_inverse=True)
-    counts = np.bincount(which, weights=chunks.joined([r.learned for r in rows], np.uint32), minlength=len(found))
-    context = chunks.joined([r.context for r in rows])[first]
-    dish = chunks.joined([r.dish for r in rows])[first]
-    del keys, found, first, which, rows
+    (_, context, dish, counts), _ = distinct(rows)
+    del rows
     words, place = few_distinct(np.concatenate([context, dish]))
     order = np.lexsort((place[len(context) :], place[: len(context)]))
     data = several(
@@ -485,7 +491,9 @@ def score(
         of_chunks = packed_rows(table)
         if not of_chunks:
             return chunks.table_of(listed)
-        (t, which), told = Pairs.of(of_chunks), Answers(answers)
+        found, which = distinct(of_chunks)
+        t, told = Pairs(*found), Answers(answers)
+        del found
         seen = told.columns(WORDS, 1)[0]
         state = told.columns(STATE + sweeps, 3 * chains)
         totals = {**told.totals, **sweep_totals(told, sweeps)}
@@ -497,6 +505,7 @@ def score(
             prior = parent(state, totals, k)[t.dish]
             own = np.maximum(t.counts - DISCOUNT * tables, 0) + (STRENGTH + DISCOUNT * state[k][t.context]) * prior
             mean += np.where(guests > 0, own / (STRENGTH + guests), prior) / chains
+            del tables, prior, own
         values = np.array(
             [np.ones(len(mean)), (seen > 0)[t.dish], np.log10(base(seen, told.totals))[t.dish], np.log10(mean)]
         )
