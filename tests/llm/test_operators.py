@@ -357,3 +357,38 @@ def test_weak_parts_are_linked_in_rows_without_an_id(spark):
     assert {s for i, s in found if i is None} == {next(s for i, s in found if i == 1), ""}
     masked = [r["text"] for r in secrets.mask_secrets(docs).collect()]
     assert not any("alice99" in t for t in masked) and "secret=shorty1" in masked
+
+
+@pytest.fixture(scope="module")
+def long_texts(spark):
+    """Texts of many credentials among letters of several widths, some overlapping."""
+    local = random.Random(12)
+    made = []
+    for i, n in enumerate((1, 127, 128, 129, 3000)):
+        pieces = []
+        for k in range(n):
+            key = "".join(local.choices("abcdef0123456789", k=local.randint(4, 40)))
+            pieces.append(local.choice([f"secret={key}", f"user: bob{k} token = {key}", f"AKIA{key.upper()}", "é\U0001f600" * 9, key, f"http://h{k}.x/"]))
+        made.append((i, " ".join(pieces)))
+    return spark.createDataFrame(made, "doc_id long, text string")
+
+
+def test_many_secrets_in_one_text(spark, long_texts):
+    found = {r["doc_id"]: r for r in secrets.digests(secrets.scan(long_texts)).collect()}
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(long_texts).collect()}
+    for i, text in texts(long_texts):
+        assert found[i]["base_sha256"] == brute.sha(",".join(brute.secret_base(text)))
+        spans = [tuple(map(int, s.split(":")[1:])) for s in found[i]["spans"].split(",") if s]
+        want, at = [], 0
+        for start, end in spans:
+            if start >= at:
+                want.append(text[at:start])
+            at = max(at, end)
+        assert masked[i] == "[secret]".join([*want, text[at:]])
+
+
+def test_many_turns_in_one_conversation(spark):
+    local = random.Random(4)
+    rows = [(1, k, ("user", "assistant")[k % 2], "é\U0001f600x </turn> " * local.randint(0, 60)) for k in range(1500)]
+    got = chat.digests(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
+    assert got["round_trip"] and got["loss_sha256"] == brute.sha("".join(r[3] for r in rows[1::2]))

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import common
+
 ROLE = r"[A-Za-z0-9.*_%+-]*"
 CONTROL = rf"### {ROLE}: |</turn>"
 END = " </turn>\n"
@@ -129,15 +131,14 @@ def loss_runs(written: Column, head: Column, learned_role: str) -> Column:
 
 def masked_texts(formatted: Column, runs: Column) -> Column:
     """What stands under the loss mask, run by run, read from the formatted text."""
-    placed = F.aggregate(
-        runs,
-        F.struct(F.lit(1).cast("long").alias("at"), F.lit(None).cast("array<string>").alias("out")),
-        lambda a, r: F.struct(
-            (a["at"] + r["chars"]).alias("at"),
-            F.when(r["loss"], F.concat(F.coalesce(a["out"], F.array().cast("array<string>")), F.array(F.substring(formatted, a["at"].cast("int"), r["chars"].cast("int"))))).otherwise(a["out"]).alias("out"),
-        ),
-    )
-    return F.coalesce(placed["out"], F.array().cast("array<string>"))
+    cut = "array<struct<start: bigint, end: bigint>>"
+
+    def step(at: Column, r: Column) -> tuple[Column, Column]:
+        end = at + r["chars"]
+        inside = F.array(F.struct(at.alias("start"), end.alias("end")))
+        return end, F.when(r["loss"], inside).otherwise(F.array().cast(cut))
+
+    return common.cut_out(formatted, common.walked(runs, step, cut))
 
 
 def digests(formatted: DataFrame) -> DataFrame:

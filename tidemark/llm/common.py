@@ -38,6 +38,55 @@ def words_column(text: Column) -> Column:
     return F.filter(F.split(plain, " "), lambda w: w != "")
 
 
+# Long arrays and texts inside one row
+
+
+def walked(items: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str, block: int = 128) -> Column:
+    """What `step(at, item)`, which gives the next `at` and an array to add, adds from `at` = 0 on, in order.
+
+    Spark copies an array to append to it. So `block` items at a time are walked into an array of their
+    own, which keeps the copies short however many items there are; `kind` is the type of the result.
+    """
+
+    def one(a: Column, x: Column) -> Column:
+        at, more = step(a["at"], x)
+        return F.struct(at.cast("long").alias("at"), F.concat(a["out"], more).alias("out"))
+
+    def several(done: Column, some: Column) -> Column:
+        at = F.coalesce(F.get(done, F.size(done) - 1)["at"], F.lit(0).cast("long"))
+        begin = F.struct(at.alias("at"), F.array().cast(kind).alias("out"))
+        return F.concat(done, F.array(F.aggregate(some, begin, one)))
+
+    numbers = F.sequence(F.lit(0), F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / block).cast("int"))
+    blocks = F.transform(numbers, lambda k: F.slice(items, k * block + 1, block))
+    begin = F.array().cast(f"array<struct<at: bigint, out: {kind}>>")
+    return F.flatten(F.transform(F.aggregate(blocks, begin, several), lambda a: a["out"]))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, with the value made once a row, also where `use` needs it inside a loop."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def cut_out(text: Column, ranges: Column, block: int = 512) -> Column:
+    """The pieces of the text at (start, end) in code points, end exclusive.
+
+    The text is cut into blocks once, so that a piece is sought from its block and not from the start.
+    """
+
+    def pieces(blocks: Column) -> Column:
+        def piece(r: Column) -> Column:
+            first = F.floor(r["start"] / block).cast("int")
+            n = F.greatest(F.floor((r["end"] - 1) / block).cast("int") - first + 1, F.lit(0))
+            some = F.array_join(F.slice(blocks, first + 1, n), "")
+            size = F.greatest(r["end"] - r["start"], F.lit(0)).cast("int")
+            return F.substring(some, (r["start"] - first * block + 1).cast("int"), size)
+
+        return F.transform(ranges, piece)
+
+    return bound(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{block}}}"), F.lit(0)), pieces)
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker, for tables that are costly to build."""
     name = "_tidemark_llm_worker"

@@ -75,19 +75,18 @@ def spans(text: Column, kind: str) -> Column:
     between = F.split(text, pattern, -1)
     number = KINDS.index(kind) + 1
 
-    def step(a: Column, m: Column) -> Column:
-        start = a["at"] + F.length(m["before"])
+    def step(at: Column, m: Column) -> tuple[Column, Column]:
+        start = at + F.length(m["before"])
         end = start + F.length(m["whole"])
         size = F.length(m["part"])
         good = (size >= least) & (size <= most) if most else size >= least
         one = F.array(F.struct(start.alias("start"), F.lit(number).alias("no"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(good, F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
+        return end, F.when(good, one).otherwise(F.array().cast(SPAN))
 
     zipped = F.arrays_zip(
         F.slice(between, 1, F.size(found)).alias("before"), found.alias("whole"), measured.alias("part")
     )
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
-    walked = F.aggregate(zipped, begin, step, lambda a: a["out"])
+    walked = common.bound(zipped, lambda z: common.walked(z, step, SPAN))
     return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(SPAN))
 
 
@@ -182,19 +181,15 @@ def digests(scanned: DataFrame) -> DataFrame:
 
 def masked(text: Column, found: Column, mark: str = MASKED) -> Column:
     """The text with each stretch of spans, ordered by start, replaced by the mark."""
+    cut = "array<struct<start: bigint, end: bigint>>"
 
-    def step(a: Column, s: Column) -> Column:
-        begins = s["start"] >= a["at"]
-        between = F.substring(text, (a["at"] + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
-        return F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(begins, F.concat(a["out"], between, F.lit(mark))).otherwise(a["out"]).alias("out"),
-        )
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        before = F.array(F.struct(at.alias("start"), s["start"].alias("end")))
+        return F.greatest(at, s["end"]), F.when(s["start"] >= at, before).otherwise(F.array().cast(cut))
 
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    return F.aggregate(
-        found, begin, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text)))
-    )
+    end = F.array_max(F.transform(found, lambda s: s["end"]))
+    tail = F.struct(F.coalesce(end, F.lit(0).cast("long")).alias("start"), F.length(text).cast("long").alias("end"))
+    return F.array_join(common.cut_out(text, F.concat(common.walked(found, step, cut), F.array(tail))), mark)
 
 
 def mask_secrets(docs: DataFrame, scope: int = SCOPE, mark: str = MASKED) -> DataFrame:
