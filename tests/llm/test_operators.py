@@ -392,3 +392,12 @@ def test_many_turns_in_one_conversation(spark):
     rows = [(1, k, ("user", "assistant")[k % 2], "é\U0001f600x </turn> " * local.randint(0, 60)) for k in range(1500)]
     got = chat.digests(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
     assert got["round_trip"] and got["loss_sha256"] == brute.sha("".join(r[3] for r in rows[1::2]))
+
+
+def test_a_part_names_the_words_of_a_row_and_a_column():
+    for n in (0, 1, 2, 3, 7, 18, 1000):
+        rows, columns = language_model.grid_of(n)
+        assert max(n, 1) <= rows * columns < max(n, 1) + rows and columns - rows in (0, 1, 2)
+    words = np.random.default_rng(6).integers(0, 1 << 63, 4000, dtype=np.uint64)
+    sizes = np.bincount(language_model.grouped(words, 7), minlength=7)
+    assert len(sizes) == 7 and sizes.min() > 400

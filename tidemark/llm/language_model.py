@@ -18,8 +18,9 @@ All counts are over all training documents. Each text is split and hashed once:
 rows, one for each part of the pairs, that hold its distinct pairs, how often training texts have them, and in which of
 its texts they stand. By part these rows become one table of pairs, each once, with its count; all seatings are
 drawn on that table, and words are summed up by an exchange of packed rows (see `chunks`). The same rows, shuffled
-once, then give each text's sum over its pairs. A pair belongs to a part by its own hash, so a frequent word's
-pairs are spread over all parts.
+once, then give each text's sum over its pairs. Parts are the fields of a grid: the context's hash gives a pair's row,
+the dish's hash its column. So a part names the words of one row and one column only, not of all pairs, while the
+pairs of a frequent word are spread over all parts of its row and column.
 
 Null text is empty: its only token is the end. Rows without an id are trained on. Repeated rows count
 each. Without training texts every token has the base probability. Empty table: no rows.
@@ -156,7 +157,18 @@ def apart(data: bytes) -> list[bytes]:
     return [data[x:y] for x, y in zip(ends, ends[1:])]
 
 
-def packed_chunk(number: int, rows: pa.Table, parts: int) -> list[dict]:
+def grid_of(parts: int) -> tuple[int, int]:
+    """Rows and columns of a grid with so many fields or a few more."""
+    rows = max(1, math.isqrt(parts))  # an empty table has one field
+    return rows, max(1, math.ceil(parts / rows))
+
+
+def grouped(words: np.ndarray, groups: int) -> np.ndarray:
+    """The group of each word, by its hash."""
+    return ((common.mixed(words) >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+
+
+def packed_chunk(number: int, rows: pa.Table, grid: tuple[int, int]) -> list[dict]:
     """A chunk of texts as rows: the documents, and for each part the pairs that stand in them."""
     hashed = [common.word_hashes(folded(t.as_py()) if t.is_valid else None) for t in rows.column("text")]
     sizes = np.array([len(h) + 1 for h in hashed], np.int64)
@@ -175,14 +187,14 @@ def packed_chunk(number: int, rows: pa.Table, parts: int) -> list[dict]:
     per_pair = np.diff(first, append=len(pair))
     context, dish = np.divmod(pair[first], n_words)
     learned = np.add.reduceat(times * trained[doc], first)
-    part = (pair_keys(words[context], words[dish]) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    part = grouped(words, grid[0])[context] * grid[1] + grouped(words, grid[1])[dish]
     of_entry = np.repeat(part, per_pair)
     ids = [i.as_py() for i in rows.column("doc_id")]
     known = np.array([i is not None for i in ids])
     listed = several(
         planes(np.array([i or 0 for i in ids], np.int64)), planes(known), planes(trained), planes(sizes.astype(np.uint32))
     )
-    out = [{"part": number % parts, "chunk": number, "kind": DOCS, "keys": b"", "data": listed}]
+    out = [{"part": number % math.prod(grid), "chunk": number, "kind": DOCS, "keys": b"", "data": listed}]
     for p in np.unique(part):
         mine, entries = part == p, of_entry == p
         used, place = few_distinct(np.concatenate([context[mine], dish[mine]]))
@@ -197,7 +209,7 @@ def packed_chunk(number: int, rows: pa.Table, parts: int) -> list[dict]:
     return out
 
 
-def packed(parts: int, chunk_chars: int):
+def packed(grid: tuple[int, int], chunk_chars: int):
     """A function for mapInArrow: texts gathered to chunks, and each chunk packed."""
 
     def run(batches):
@@ -216,10 +228,10 @@ def packed(parts: int, chunk_chars: int):
                 begin += len(piece)
                 if chars >= chunk_chars:
                     number += 1
-                    yield from chunks.table_of(packed_chunk(number, pa.Table.from_batches(held), parts)).to_batches()
+                    yield from chunks.table_of(packed_chunk(number, pa.Table.from_batches(held), grid)).to_batches()
                     held, chars = [], 0
         if held:
-            yield from chunks.table_of(packed_chunk(number + 1, pa.Table.from_batches(held), parts)).to_batches()
+            yield from chunks.table_of(packed_chunk(number + 1, pa.Table.from_batches(held), grid)).to_batches()
 
     return run
 
@@ -386,7 +398,8 @@ def score(
     flag = F.coalesce(trained, F.lit(True)).alias("trained")
     texts = common.documents(docs, id_col, text_col, flag)
     chars = texts.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1)).first()[0] or 0
-    parts = max(1, math.ceil(chars / chunk_chars / CHUNKS_PER_PART))
+    grid = grid_of(math.ceil(chars / chunk_chars / CHUNKS_PER_PART))
+    parts = math.prod(grid)
 
     def ask_counts(table: pa.Table) -> list[dict]:
         t = Pairs.read(table)
@@ -471,7 +484,7 @@ def score(
         return answers.filter("chunk >= 0").union(chunks.to_all(answers, parts))
 
     # Exchanges that several steps read have one form each, so that Spark makes them once.
-    rows = texts.mapInArrow(packed(parts, chunk_chars), chunks.ASKED)
+    rows = texts.mapInArrow(packed(grid, chunk_chars), chunks.ASKED)
     table = rows.groupBy("part").applyInArrow(lambda t: chunks.table_of(merged(t)), chunks.ASKED).repartition("chunk")
     questions = chunks.ask(table, ask_counts)
     counts = known = with_totals(chunks.answer(questions, count).repartition("chunk"))
