@@ -280,7 +280,14 @@ def test_pipeline(spark):
     assert not any(h and 20 * h >= n for n, h in hits.values())
     packed = corpus_pipeline.run(spark, FOLDER)
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == set(left)
-    assert os.path.isdir(spark.conf.get("spark.checkpoint.dir"))
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert [os.listdir(f"{shared}/{f}") for f in os.listdir(shared) if f.startswith("pipeline-")] == [["sequence_packing"]]
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    for t in ("documents", "benchmark"):
+        spark.read.parquet(f"{FOLDER}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
 @pytest.mark.parametrize("name", [n for n in oc.entry_module.oracle_sql() if n.startswith("op")])

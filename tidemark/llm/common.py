@@ -190,6 +190,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark, folder: str) -> None:
+    """Remove a folder that this run has made in the shared store."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Scratch:
     """Tables of one run in the shared folder: compressed, read by column, and deleted when the run is over."""
 
@@ -208,5 +214,4 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.folder)
