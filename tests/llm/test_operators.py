@@ -185,6 +185,21 @@ def test_personal_scan_is_exact_on_random_texts():
         assert [f"{names[k]}:{a}:{b}" for a, k, b in pii.base_spans(text)] == brute.pii_base(text)
 
 
+def test_personal_spans_are_counted_by_kind(spark):
+    docs = spark.createDataFrame(
+        [
+            (1, "1.2.3.4 and 5.6.7.8 and 9.9.9.9"),
+            (2, "a@b.cd, e@f.gh, 10.0.0.1, 4111 1111 1111 1111, +49 (170) 1234567"),
+            (3, "4111 1111 1111 1111"),
+            (4, None),
+        ],
+        "doc_id long, text string",
+    )
+    found = pii.digests(pii.scan(docs, pii.fit(docs))).collect()
+    counts = {r["doc_id"]: (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) for r in found}
+    assert counts == {1: (0, 3, 0, 0), 2: (2, 1, 1, 1), 3: (0, 0, 1, 0), 4: (0, 0, 0, 0)}
+
+
 def test_repeats_without_the_prefix_are_labelled_too(spark, given):
     docs = spark.createDataFrame([(1, "call +1 (132) 555-1352 now, or (132) 555-1352 later")], "doc_id long, text string")
     spans = pii.digests(pii.scan(docs, pii.fit(given))).first()["spans"]

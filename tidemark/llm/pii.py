@@ -339,13 +339,15 @@ def listed(spans: Column) -> Column:
     )
 
 
+def number_of(spans: Column, no: int) -> Column:
+    # A second parameter of the lambda, even one with a default, would be given the place in the array.
+    return F.size(F.filter(spans, lambda s: F.get(s, 1) == no)).cast("long")
+
+
 def digests(scanned: DataFrame) -> DataFrame:
     return scanned.select(
         "doc_id",
-        *(
-            F.size(F.filter("base", lambda s, no=no: F.get(s, 1) == no)).cast("long").alias(f"n_{kind}")
-            for no, kind in enumerate(KINDS, 1)
-        ),
+        *(number_of(F.col("base"), no).alias(f"n_{kind}") for no, kind in enumerate(KINDS, 1)),
         F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
