@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests import oracle_check as oc
 from tests.llm import brute
-from tidemark.llm import chat, chunks, decontaminate, language_model, neardup, packing, pii, quality, queries, secrets, substring
+from tidemark.llm import chat, chunks, common, decontaminate, language_model, neardup, packing, pii, quality, queries, secrets, substring
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_words long"
@@ -128,6 +128,31 @@ def test_rows_of_one_id_and_other_texts_are_one_document(spark, monkeypatch):
     assert kept[0] == kept[1] and len(kept[0]) == 1
 
 
+def test_texts_of_single_ids_are_not_shuffled_to_be_kept(spark):
+    other = " ".join(f"z{k}" for k in range(60))
+    rows = [(1, " ".join(BASE)), (2, " ".join(BASE)), (3, other), (4, ""), (5, None)]
+    kept = neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), width=2)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 5]
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Final Plan" in plan and "Window" not in plan and "Exchange hashpartitioning" not in plan
+
+    more = [*rows, (3, other), (5, "a b c d"), (None, other), (None, other), (None, None)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in more], "doc_id long, text string, lang string")
+    found = neardup.keep_one(docs, width=2)
+    assert found.columns == docs.columns
+    texts_of = sorted(((r["doc_id"] or 0, r["text"] or "") for r in found.collect()))
+    assert [t for t in texts_of if t[0] != 5] == sorted([(0, other), (0, other), (0, ""), (1, " ".join(BASE)), (3, other), (4, "")])
+    assert [i for i, _ in texts_of].count(5) == 1
+
+
+def test_near_duplicates_take_small_batches(spark, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(neardup, "components_of", lambda *_: seen.append(spark.conf.get(key)))
+    neardup.near_duplicates(spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), width=2)
+    assert seen == ["1000"] and spark.conf.get(key) == before
+
+
 @pytest.mark.parametrize("which", ["hard", "given"])
 def test_language_model_base_and_gain(request, which):
     docs = request.getfixturevalue(which)

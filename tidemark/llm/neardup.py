@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
-from tidemark.session import pin
+from tidemark.session import pin, setting
 
 SHINGLE = 5
 THRESHOLD = 80
@@ -46,6 +46,8 @@ PARITY_LONGS = 16
 #: Deviations of the sketch's estimate below the threshold at which a pair is still compared.
 SLACK = 6.0
 BLOCK = 512
+#: Rows that go to Python at a time: a batch is held by the JVM, by Arrow and as Python objects at once.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 #: Closest members of other components that a member is compared with in the first round; then ever more.
 CLOSEST = 16
 #: Factor of that number from round to round.
@@ -308,7 +310,7 @@ def left_over(
                 if group and (row["key"], row["i"], row["j"]) != (group[0]["key"], group[0]["i"], group[0]["j"]):
                     found.update(pairs_of(group))
                     group = []
-                    if len(found) > 100_000:
+                    if len(found) > 20_000:
                         yield flushed()
                 group.append(row)
         if group:
@@ -332,8 +334,12 @@ def near_duplicates(
     block: int = BLOCK,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    rows = common.documents(docs, id_col, text_col)
-    scratch = common.Scratch(docs.sparkSession)
+    with setting(docs.sparkSession, BATCH):
+        return components_of(common.documents(docs, id_col, text_col), width, threshold, bands, band_rows, block)
+
+
+def components_of(rows: DataFrame, width: int, threshold: int, bands: int, band_rows: int, block: int) -> DataFrame:
+    scratch = common.Scratch(rows.sparkSession)
     own = scratch.keep(signed(rows, width, bands, band_rows))
     most = most_bits(threshold, bands * band_rows)
     named = own.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
@@ -402,10 +408,22 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stay, one of each component, with all their columns; of equal ids one row."""
-    kept = near_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    stays = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """The documents that stay, one of each component, with all their columns; of equal ids one row.
+
+    Rows are counted by id on the ids alone, so that only rows whose id comes again are shuffled and
+    ordered with their texts.
+    """
+    found = near_duplicates(docs, **options).filter(F.col("doc_id").isNotNull())
+    ids = found.groupBy(F.col("doc_id").alias("_kept")).agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    ids = pin(ids.filter("stays").select("_kept", "n"))
+    single = common.size_checked(ids.filter("n = 1").select("_kept"))
+    alone = docs.join(single, docs["doc_id"] == single["_kept"], "left_semi")
+    stays = alone.unionByName(docs.filter(F.col("doc_id").isNull()))
+    if ids.filter("n > 1").isEmpty():
+        return stays
+    several = common.size_checked(ids.filter("n > 1").select("_kept"))
+    again = docs.join(several, docs["doc_id"] == several["_kept"], "left_semi")
     # Of rows with one id the same one stays whenever a task runs again.
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*stays.columns))
-    one = stays.filter(F.col("doc_id").isNotNull()).withColumn("_row_of_id", F.row_number().over(order))
-    return one.filter("_row_of_id = 1").drop("_row_of_id").unionByName(stays.filter(F.col("doc_id").isNull()))
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    first = again.withColumn("_row_of_id", F.row_number().over(order)).filter("_row_of_id = 1").drop("_row_of_id")
+    return stays.unionByName(first)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,19 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings for the jobs that run inside the block; those of before come back after it."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one only in local mode without the setting."""
     context = spark.sparkContext
