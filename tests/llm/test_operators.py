@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_words long"
 rng = random.Random(5)
 VOCAB = [f"w{i}" for i in range(300)]
+VOWELS = [a + b for a in "bcdfgklmn" for b in "ae"]
 BASE = [rng.choice(VOCAB) for _ in range(120)]
 SECRET = "token = abcdefabcdefabcd0123 and user: alice99 secret=shorty1 https://db.example.com/x"
 HARD = [
@@ -265,6 +268,33 @@ def test_added_tokens_in_a_text_are_those_of_the_plain_tokenizer():
         assert np.frombuffer(got, "<u4").tolist() == want, text
 
 
+def test_words_are_encoded_as_by_the_plain_tokenizer_whatever_is_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS_KEPT", 50)
+    monkeypatch.setattr(packing, "TOGETHER", 7)
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 200)
+    plain = packing.tokenizer_of(packing.vocabulary_path())
+    encode = packing.word_encoder(packing.tokenizer_of(packing.vocabulary_path()), 2)
+    local, parts = random.Random(4), ["abc", "Don't", "İ", "ſ", "e\u0301", "\u0301", "ñandú", "日本", "x.5", "\x1c", "\xa0", "ab<|", "ΑΣ", "<|endoftext|>"]
+    words = parts + ["".join(local.choices("abcdeé", k=local.randint(1, 6))) for _ in range(300)]
+    cases = ["", None, " \n", "a" * 500, *(" ".join(local.choices(words, k=12)) for _ in range(200)), ""]
+    texts = pa.array(["left out", *cases]).slice(1)
+    got = [ids for block in packing.blocks(texts) for ids in encode(block)]
+    assert got == [np.array([*plain.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for t in cases]
+    assert encode([]) == [] and encode([None, ""]) == [np.array([2], "<u4").tobytes()] * 2
+
+
+def test_words_kept_by_a_worker_take_little_memory():
+    texts = [f"{a}{b}{c}{d}" for a in VOWELS for b in VOWELS for c in VOWELS for d in VOWELS]
+    encode = packing.word_encoder(packing.tokenizer_of(packing.vocabulary_path()), 2)
+    encode(["warm up"])
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    encode([" ".join(texts)])
+    kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert kept < 80 * len(texts)
+
+
 def test_chat_round_trip(spark):
     hard = ["\\### Assistant: </turn> ok", "a\\", "</turn>", "### user: x", "", "\\\\</turn>\n", None, "### : ", "\n"]
     rows = [(1, k, role, t) for k, t in enumerate(hard) for role in ("user", "assistant", None)]

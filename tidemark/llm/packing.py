@@ -17,12 +17,12 @@ each. No rows: no pieces.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -31,10 +31,26 @@ from tidemark.llm import common
 LENGTH = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose ids a worker keeps: so many new ones, and as many of those before that were met again.
-WORDS_KEPT = 500_000
-#: Where a word of ASCII letters or digits meets other ASCII; the vocabulary never merges across.
-INSIDE = re.compile(rb"(?<=[a-z0-9])(?=[^\sa-z0-9'<\x80-\xff])")
+#: Words whose ids a worker keeps, also while it is idle: so many met of late, and as many of those before.
+WORDS_KEPT = 300_000
+#: Words of letters that are encoded as one text.
+TOGETHER = 500
+#: Bytes of texts whose words are looked up at a time.
+BLOCK_BYTES = 4 << 20
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+FOLDED = np.frombuffer(FOLD, np.uint8)
+#: Kinds of bytes. Where a word of ASCII letters or digits meets other ASCII, it is cut; the vocabulary never merges across.
+SPACE, LETTER, OTHER, REST = range(4)
+KIND = np.array(
+    [
+        SPACE if chr(c) in common.SPACES
+        else LETTER if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789"
+        else OTHER if c < 128 and chr(c) not in "'<"
+        else REST
+        for c in range(256)
+    ],
+    np.uint8,
+)
 #: Bytes of ids in one Arrow batch of results.
 BATCH_BYTES = 4 << 20
 
@@ -68,47 +84,140 @@ def tokenizer_of(path: str):
     return Tokenizer.from_file(path)
 
 
-def word_encoder(tokenizer, end_id: int) -> Callable[[list[str | None]], list[bytes]]:
+def word_encoder(tokenizer, end_id: int) -> Callable[[pa.Array | list[str | None]], list[bytes]]:
     """Ids of texts as little-endian bytes, with the end id.
 
     The vocabulary lower-cases, drops white space and merges only inside words, so the ids of a text
-    are those of its words in order. Each word is encoded once and looked up after that; words that
-    have not been met for a while are forgotten. The strings of the vocabulary's added tokens are found in the
+    are those of its words in order. Words are cut out of all the texts at once by array work and told apart by
+    Arrow, so that Python sees each of the distinct ones once. A word is encoded once and looked up after that; words
+    that have not been met for a while are forgotten. The strings of the vocabulary's added tokens are found in the
     text as it is, across words, so a text that may hold one is encoded whole.
     """
-    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    whole = re.compile("|".join(re.escape(c) for c in added), re.IGNORECASE) if added else None
-    known: dict[bytes, bytes] = {}
-    older: dict[bytes, bytes] = {}
-    end = np.array([end_id], "<u4").tobytes()
-
-    def encode(texts: list[str | None]) -> list[bytes]:
-        nonlocal known, older
-        if len(known) > WORDS_KEPT:
-            known, older = {}, known
-        texts = [t or "" for t in texts]
-        at_once = {i for i, t in enumerate(texts) if whole is not None and whole.search(t)}
-        split = [
-            [] if i in at_once else INSIDE.sub(b" ", t.encode("utf-8", "replace").lower()).split()
-            for i, t in enumerate(texts)
-        ]
-        new = []
-        for w in {w for words in split for w in words if w not in known}:
-            if w in older:
-                known[w] = older[w]
-            else:
-                new.append(w)
-        found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
-        out = [b"".join(map(known.__getitem__, words)) + end for words in split]
-        for i in at_once:
-            text = texts[i].encode("utf-8", "replace").decode()
-            out[i] = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + end
+    added = [t.content.encode().translate(FOLD) for t in tokenizer.get_added_tokens_decoder().values()]
+    known = Words(tokenizer)
+
+    def encode(texts: pa.Array | list[str | None]) -> list[bytes]:
+        if isinstance(texts, list):
+            texts = pa.array([t and t.encode("utf-8", "replace") for t in texts], pa.binary())
+        texts = texts.cast(pa.binary()).fill_null(b"")
+        if not len(texts):
+            return []
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        low = FOLDED[data]
+        words, starts = words_of(low, ends)
+        coded = words.dictionary_encode()
+        flat, sizes, first = known.ids_of(coded.dictionary)
+        flat, sizes, first = np.append(flat, np.uint32(end_id)), np.append(sizes, 1), np.append(first, len(flat))
+        # The end id comes as one more word behind each text.
+        behind = np.searchsorted(starts, ends[1:])
+        word = np.insert(coded.indices.to_numpy(), behind, len(sizes) - 1)
+        n = sizes[word]
+        stops = np.cumsum(n)
+        source = np.repeat(first[word] - (stops - n), n)
+        source += np.arange(len(source))
+        ids = flat[source].tobytes()
+        cuts = [0, *(4 * stops[behind + np.arange(len(texts))]).tolist()]
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        folded = low.tobytes()
+        if any(c in folded for c in added):
+            for i, text in enumerate(texts.to_pylist()):
+                if any(c in text.translate(FOLD) for c in added):
+                    whole = tokenizer.encode(text.decode(), add_special_tokens=False).ids
+                    out[i] = np.array([*whole, end_id], "<u4").tobytes()
         return out
 
     return encode
 
 
+class Words:
+    """Words with their ids, in arrays, which take a fraction of the memory of Python objects."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        top = max(tokenizer.get_vocab().values()) + 1
+        self.ends_word = np.zeros(top, bool)
+        if suffix:
+            self.ends_word[[i for token, i in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.words = pa.array([], pa.binary())
+        self.ids = np.zeros(0, "<u4")
+        self.sizes = np.zeros(0, np.int64)
+        self.met = np.zeros(0, bool)
+
+    def ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids back to back, and of each of the (distinct) words their number and where they begin."""
+        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = len(self.words) + np.arange(len(new))
+            some = words.take(pa.array(new))
+            ids, sizes = self.encoded(some.to_pylist())
+            self.words = pa.concat_arrays([self.words, some])
+            self.ids, self.sizes = np.append(self.ids, ids), np.append(self.sizes, sizes)
+            self.met = np.append(self.met, np.ones(len(new), bool))
+        self.met[at] = True
+        found = self.ids, self.sizes[at], (np.cumsum(self.sizes) - self.sizes)[at]
+        if self.met.sum() > WORDS_KEPT:
+            self.words = self.words.filter(pa.array(self.met))
+            self.ids, self.sizes = self.ids[np.repeat(self.met, self.sizes)], self.sizes[self.met]
+            self.met = np.zeros(len(self.sizes), bool)
+        return found
+
+    def encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words back to back, and their numbers.
+
+        Words of letters are encoded many at a time as one text. Each has at least one id that ends a word, so
+        if there are as many of these as words, each of them ends one; otherwise the words are encoded one by one.
+        """
+        texts = [w.decode() for w in words]
+        plain = [i for i, t in enumerate(texts) if t.isalpha()]
+        groups = [plain[k : k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
+        found: list[tuple[list[int], np.ndarray, np.ndarray]] = []
+        joined = self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in g) for g in groups], add_special_tokens=False)
+        apart = sorted({*range(len(words))}.difference(plain))
+        for group, encoding in zip(groups, joined):
+            ids = np.array(encoding.ids, np.int64)
+            stops = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(stops) == len(group) and stops[-1] == len(ids):
+                found.append((group, ids, np.diff(stops, prepend=0)))
+            else:
+                apart += group
+        each = [e.ids for e in self.tokenizer.encode_batch_fast([texts[i] for i in apart], add_special_tokens=False)]
+        found.append((apart, np.array([x for ids in each for x in ids], np.int64), np.array([len(ids) for ids in each], np.int64)))
+        # From the order of encoding to that of the words.
+        place = np.argsort(np.array([i for group, _, _ in found for i in group], np.int64))
+        sizes = np.concatenate([n for _, _, n in found])
+        begin = (np.cumsum(sizes) - sizes)[place]
+        sizes = sizes[place]
+        source = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.concatenate([ids for _, ids, _ in found])[source].astype("<u4"), sizes
+
+
+def words_of(low: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of the texts that lie back to back in `low`, and where each begins there."""
+    kind = KIND[low]
+    before = np.zeros_like(kind)
+    before[1:] = kind[:-1]
+    before[ends[:-1][ends[:-1] < len(low)]] = SPACE
+    solid = kind != SPACE
+    first = solid & ((before == SPACE) | ((kind == OTHER) & (before == LETTER)))
+    letters = low[solid]
+    offsets = np.append(np.flatnonzero(first[solid]), len(letters)).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers), np.flatnonzero(first)
+
+
+def blocks(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in runs of some `BLOCK_BYTES`; a text is not cut."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    number = (np.cumsum(sizes) - sizes) // BLOCK_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield texts.slice(a, b - a)
+
+
 class Packer:
     """Places documents one after another; `take` yields the pieces of sequences that are complete."""
 
@@ -194,10 +303,10 @@ def packing(path: str | None, length: int, end_id: int):
 
         def sequences() -> Iterator[list[tuple]]:
             for batch in batches:
-                ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-                for at in range(0, len(texts), 256):
-                    for doc_id, encoded in zip(ids[at : at + 256], encode(texts[at : at + 256])):
-                        yield from packer.take(doc_id, encoded)
+                ids = iter(batch.column("doc_id").to_pylist())
+                for texts in blocks(batch.column("text")):
+                    for encoded in encode(texts):
+                        yield from packer.take(next(ids), encoded)
             yield from packer.rest()
 
         for sequence in sequences():
