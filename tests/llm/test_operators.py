@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import tracemalloc
+import types
 import zlib
 
 import numpy as np
@@ -295,6 +296,17 @@ def test_words_kept_by_a_worker_take_little_memory():
     assert kept < 80 * len(texts)
 
 
+def test_a_worker_keeps_no_reserve_when_its_task_is_over(monkeypatch):
+    calls: list = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append("back"))
+    monkeypatch.setattr(packing, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", None]})
+    for run in (packing.packing(None, 4096, 2), common.per_batch(lambda b: b.to_pydict(), batch.schema)):
+        made = run(iter([batch]))
+        assert sum(b.num_rows for b in made) >= 2 and calls == ["back"]
+        calls.clear()
+
+
 def test_chat_round_trip(spark):
     hard = ["\\### Assistant: </turn> ok", "a\\", "</turn>", "### user: x", "", "\\\\</turn>\n", None, "### : ", "\n"]
     rows = [(1, k, role, t) for k, t in enumerate(hard) for role in ("user", "assistant", None)]

@@ -105,6 +105,11 @@ def cached(key: Any, build: Callable[[], Any]) -> Any:
     return kept[key]
 
 
+def give_back() -> None:
+    """Return the memory that Arrow holds in reserve; a worker stays alive when its task is over, beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+
+
 def per_batch(function: Callable[[pa.RecordBatch], dict[str, Any]], schema: pa.Schema):
     """A function for mapInArrow that makes the columns of `schema` from each batch."""
 
@@ -115,6 +120,7 @@ def per_batch(function: Callable[[pa.RecordBatch], dict[str, Any]], schema: pa.S
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made[f.name], type=f.type) for f in schema], schema=schema
                 )
+        give_back()
 
     return run
 

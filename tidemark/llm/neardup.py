@@ -316,6 +316,7 @@ def left_over(
         if group:
             found.update(pairs_of(group))
         yield flushed()
+        common.give_back()
 
     return dealt.mapInArrow(search, "a long, b long").distinct()
 

@@ -35,6 +35,8 @@ VOCABULARY = "word_bpe_49k.json"
 WORDS_KEPT = 300_000
 #: Words of letters that are encoded as one text.
 TOGETHER = 500
+#: New words whose encodings are held at a time.
+AT_ONCE = 5_000
 #: Bytes of texts whose words are looked up at a time.
 BLOCK_BYTES = 4 << 20
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -153,9 +155,10 @@ class Words:
         if len(new):
             at[new] = len(self.words) + np.arange(len(new))
             some = words.take(pa.array(new))
-            ids, sizes = self.encoded(some.to_pylist())
+            made = [self.encoded(some.slice(k, AT_ONCE).to_pylist()) for k in range(0, len(some), AT_ONCE)]
             self.words = pa.concat_arrays([self.words, some])
-            self.ids, self.sizes = np.append(self.ids, ids), np.append(self.sizes, sizes)
+            self.ids = np.concatenate([self.ids, *(ids for ids, _ in made)])
+            self.sizes = np.concatenate([self.sizes, *(sizes for _, sizes in made)])
             self.met = np.append(self.met, np.ones(len(new), bool))
         self.met[at] = True
         found = self.ids, self.sizes[at], (np.cumsum(self.sizes) - self.sizes)[at]
@@ -318,6 +321,7 @@ def packing(path: str | None, length: int, end_id: int):
                 ready, held = [], 0
         if ready:
             yield as_batch(ready)
+        common.give_back()
 
     return run
 
