@@ -32,13 +32,13 @@ LENGTH = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a worker keeps, also while it is idle: so many met of late, and as many of those before.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 #: Words of letters that are encoded as one text.
 TOGETHER = 500
 #: New words whose encodings are held at a time.
 AT_ONCE = 5_000
 #: Bytes of texts whose words are looked up at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 FOLDED = np.frombuffer(FOLD, np.uint8)
 #: Kinds of bytes. Where a word of ASCII letters or digits meets other ASCII, it is cut; the vocabulary never merges across.
@@ -310,6 +310,7 @@ def packing(path: str | None, length: int, end_id: int):
                 for texts in blocks(batch.column("text")):
                     for encoded in encode(texts):
                         yield from packer.take(next(ids), encoded)
+                    common.give_back()
             yield from packer.rest()
 
         for sequence in sequences():
